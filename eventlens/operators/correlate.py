@@ -20,8 +20,7 @@ def entityless(envelopes: DataFrame) -> DataFrame:
 def per_entity(envelopes: DataFrame) -> DataFrame:
     """One row per envelope and distinct entity; blank sources and entities are left out."""
     kept = ["event_id", "source", "ts_ms"]
-    if "event_time" in envelopes.columns:
-        kept.append("event_time")
+    kept += [c for c in ("event_time", "position") if c in envelopes.columns]
     return (
         envelopes.filter(F.trim("source") != "")
         .select(*kept, F.explode(F.array_distinct("entities")).alias("entity"))

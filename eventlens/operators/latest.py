@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,21 +68,23 @@ def since(feed: DataFrame, after: dict) -> DataFrame:
     return feed.filter(F.col("timestamp") >= F.lit(after["timestamp"])).filter(here > there)
 
 
-def peek(bus: DataFrame, topic: str, n: int = 5) -> DataFrame:
-    """The last ``n`` records of a topic, oldest first, with their error and value.
+def peek(bus: DataFrame, topics: Sequence[str], n: int = 5) -> DataFrame:
+    """The last ``n`` records of each topic, oldest first, with their error and value.
 
     Per partition only offsets within ``n`` of the end count, as after a seek there.
     """
-    by_partition = Window.partitionBy("partition")
-    # The rank limit is applied per task before the shuffle, so a partition never
-    # gathers more than its own last n rows; the end is then read off those.
+    by_partition = Window.partitionBy("topic", "partition")
+    by_topic = Window.partitionBy("topic").orderBy(F.desc("offset"), F.desc("partition"))
+    # Both rank limits are applied per task before their shuffle, so neither a partition
+    # nor a topic ever gathers more than n rows per task; the end is read off those.
     tail = (
-        bus.filter(F.col("topic") == topic)
+        bus.filter(F.col("topic").isin(*topics))
         .withColumn("_rank", F.row_number().over(by_partition.orderBy(F.desc("offset"))))
         .filter(F.col("_rank") <= n)
         .withColumn("_end", F.max("offset").over(by_partition))
         .filter(F.col("offset") > F.col("_end") - n)
-        .orderBy(F.desc("offset"), F.desc("topic"), F.desc("partition")).limit(n)
+        .withColumn("_rank", F.row_number().over(by_topic))
+        .filter(F.col("_rank") <= n)
     )
     text = F.col("value").cast("string")
     raw = F.to_json(F.struct(F.substring(text, 1, J.RAW_CHARS).alias("raw")))
@@ -88,5 +92,4 @@ def peek(bus: DataFrame, topic: str, n: int = 5) -> DataFrame:
         "topic", "partition", "offset",
         header(F.col("headers"), ERROR_HEADER, last=True).alias("error"),
         F.coalesce(F.to_json(F.try_parse_json(text)), raw).alias("value"),
-    ).orderBy("offset", "topic", "partition")
-
+    ).orderBy("topic", "offset", "partition")

@@ -29,6 +29,10 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bus_rows(table(spark, sf_dir, "events"))
+
+
+def bus_rows(events: DataFrame) -> DataFrame:
     """The same events as bus rows, every 97th broken and dead-lettered."""
     c = F.col
     broken = c("event_id") % 97 == 0
@@ -39,7 +43,7 @@ def bus(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.array(F.concat(F.lit("U"), c("user_id").cast("string"))))
     value = J.serialize(own_id, c("event_type"), entities,
                         F.when(~broken, ts_ms), c("props"))
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.when(broken, dlq_topic(c("event_type"))).otherwise(bus_topic(c("event_type")))
         .alias("topic"),
         (c("event_id") % 6).cast("int").alias("partition"),

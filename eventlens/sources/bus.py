@@ -59,14 +59,17 @@ def topic_filter(bus: DataFrame, pattern: str = Config.topic_pattern) -> DataFra
     return bus.filter(F.col("topic").rlike(f"^(?:{pattern})$"))
 
 
-def parse_envelopes(bus: DataFrame) -> DataFrame:
+def parse_envelopes(bus: DataFrame, position: bool = False) -> DataFrame:
     """Envelopes of a bus frame; rows without an id or a usable time are left out.
 
     A time outside the years 1 to 9999 would overflow timestamp arithmetic and stop a
-    stream, so it counts as unusable; ``unparsed`` returns those rows.
+    stream, so it counts as unusable; ``unparsed`` returns those rows. ``position`` adds
+    a hash of the row's place on the bus, which tells copies of an envelope apart.
     """
     e = F.from_json(F.col("value").cast("string"), ENVELOPE)
-    return bus.select(e.alias("e")).select("e.*").filter(_usable())
+    extra = [F.xxhash64("topic", "partition", "offset").alias("position")] if position else []
+    rows = bus.select(e.alias("e"), *extra)
+    return rows.select("e.*", *rows.columns[1:]).filter(_usable())
 
 
 def unparsed(bus: DataFrame) -> DataFrame:
