@@ -255,17 +255,17 @@ def stocks_envelopes(spark, sf_dir):
         F.round(_payload("price").cast("double") * 100).cast("bigint").alias("cents"))
 
 
-# Half the sources have a cursor, in the middle of their events.
-_CURSORS = """cursors AS (SELECT source, max(ts_ms) AS cursor_ms FROM env
-WHERE n % 3 = 0 AND ts < TIMESTAMP '2024-01-15' AND source < 'q' GROUP BY source)"""
+# Three sources have a cursor: one a day past its last event, two halfway through.
+_CURSORS = """cursors AS (SELECT source, CASE WHEN source = 'click' THEN max(ts_ms) + 86400000
+ELSE (min(ts_ms) + max(ts_ms)) // 2 END AS cursor_ms FROM env WHERE source < 'q' GROUP BY source)"""
 
 
 def _cursors(spark, sf_dir):
-    mid = F.lit("2024-01-15").cast("timestamp")
-    third = F.split_part("event_id", F.lit(":"), F.lit(2)).cast("bigint") % 3 == 0
-    some = W.envelopes(spark, sf_dir).filter(
-        third & (T.event_time(c("ts_ms")) < mid) & (c("source") < "q"))
-    return some.groupBy("source").agg(F.max("ts_ms").alias("cursor_ms"))
+    some = W.envelopes(spark, sf_dir).filter(c("source") < "q").groupBy("source")
+    return some.agg(F.min("ts_ms").alias("lo"), F.max("ts_ms").alias("hi")).select(
+        "source",
+        F.when(c("source") == "click", c("hi") + T.DAY_MS)
+        .otherwise(F.floor((c("lo") + c("hi")) / 2)).alias("cursor_ms"))
 
 
 @query(f"""WITH {ENV}, {_CURSORS}
@@ -525,6 +525,19 @@ def route_dead_letters(spark, sf_dir):
                           B.header(c("headers"), B.ERROR_HEADER).alias("error"))
 
 
+@query(f"""WITH {_PROBLEMS} SELECT 'schema: ' || problems AS error, 'no broker' AS dlq_error,
+CASE WHEN kind = 7 THEN 'not json ' || event_id END AS raw,
+CASE WHEN kind IN (2, 7) THEN NULL ELSE event_type END AS source FROM mut WHERE problems != ''""")
+def spool(spark, sf_dir):
+    checked = V.check(_mutated(spark, sf_dir), W.registry()).filter(F.size("problems") > 0)
+    path = sinks.scratch_dir(spark, "spool")
+    B.write_spool(checked.withColumn("reason", V.reason(c("problems"))), path, "no broker")
+    lines = "error string, dlq_error string, envelope struct<raw:string, source:string>"
+    return spark.read.schema(lines).json(path).select(
+        "error", "dlq_error", "envelope.raw",
+        F.when(c("envelope.source") != "", c("envelope.source")).alias("source"))
+
+
 # ---- pairs --------------------------------------------------------------------------
 
 @query(f"WITH {PAIRS} SELECT entity, a_id, b_id, ts_ms, {DAY} AS dt FROM pairs")
@@ -578,25 +591,33 @@ def stream_raw_to_sink(spark, sf_dir):
     return _text_dt(sinks.read_raw(spark, cfg).drop("entities"))
 
 
-@query(f"""WITH {PAIRS.replace('FROM env)', 'FROM env WHERE n % 97 != 0)')}
+# Every 97th event is broken and never reaches the sinks.
+_SINK_TOTALS = f"""WITH {PAIRS.replace('FROM env)', 'FROM env WHERE n % 97 != 0)')}
 SELECT 'correlated' AS sink, count(*) AS n, max(ts_ms) AS last_ts_ms FROM pairs
 UNION ALL SELECT 'events_raw', count(*), max(ts_ms) FROM env
-WHERE n % 97 != 0 AND len(entities) = 0""")
+WHERE n % 97 != 0 AND len(entities) = 0"""
+
+
+@query(_SINK_TOTALS)
 def backfill(spark, sf_dir):
     cfg = _scratch(spark, "backfill")
     jobs.backfill(W.bus(spark, sf_dir), cfg)
     return S.sink_totals(sinks.read_pairs(spark, cfg), sinks.read_raw(spark, cfg))
 
 
-@query()
+# How many bytes a sink takes is the writer's affair, so only their presence is compared.
+@query(_SINK_TOTALS.replace("AS last_ts_ms FROM", "AS last_ts_ms, 'yes' AS has_bytes FROM")
+       .replace("max(ts_ms) FROM env", "max(ts_ms), 'yes' FROM env"))
 def sink_overview(spark, sf_dir):
     cfg = _scratch(spark, "overview")
     jobs.backfill(W.bus(spark, sf_dir), cfg)
     found, raw = sinks.read_pairs(spark, cfg), sinks.read_raw(spark, cfg)
-    return S.sink_overview(found, raw, sinks.sink_bytes(spark, cfg))
+    rows = S.sink_overview(found, raw, sinks.sink_bytes(spark, cfg))
+    return rows.select("sink", "n", "last_ts_ms",
+                       F.when((c("bytes") > 0) & (c("share") < 1), "yes").alias("has_bytes"))
 
 
-@query("""SELECT 'raw' AS query, 0 AS planned, 0 AS committed, 'no' AS running""")
+@query("""SELECT 'raw' AS query, 0::BIGINT AS planned, 0::BIGINT AS committed, 'no' AS running""")
 def query_progress(spark, sf_dir):
     cfg = _scratch(spark, "progress")
     envelopes = B.parse_envelopes(_bus_stream(spark, sf_dir))
@@ -669,12 +690,12 @@ def dlq_depths(spark, sf_dir):
     return S.dlq_depths(W.registry().frame(spark), W.bus(spark, sf_dir))
 
 
-_NOW_MS = 1_705_400_000_000
+_NOW_MS = 1_705_600_000_000
 _STATUS = f"""WITH {ENV}, {_CURSORS}, {BUS.strip()},
 registry AS (SELECT unnest(['click', 'error', 'ghost', 'purchase', 'signup', 'view']) AS name),
 status AS (SELECT name, 'events.' || name AS topic,
 CASE WHEN name < 'm' THEN '60s' ELSE '5m' END AS interval,
-CASE WHEN name < 'm' THEN 60 ELSE 300 END AS interval_s,
+CASE WHEN name < 'm' THEN 60 ELSE 300 END::BIGINT AS interval_s,
 (SELECT count(*) FROM bus WHERE topic = 'events.' || name) AS n,
 (SELECT count(*) FROM bus WHERE topic = 'events.' || name || '.dlq') AS dlq, cursor_ms,
 CASE WHEN cursor_ms IS NULL THEN 'never' WHEN {_NOW_MS} - cursor_ms > 86400000 THEN 'stale'
@@ -699,12 +720,10 @@ def source_share(spark, sf_dir):
 
 
 @query(f"""WITH {ENV}, {_CURSORS}, allc AS (SELECT source, cursor_ms FROM cursors
-UNION ALL SELECT source, ts_ms FROM env WHERE ts < TIMESTAMP '2024-01-10')
+UNION ALL SELECT source, ts_ms FROM env)
 SELECT source, max(cursor_ms) AS cursor_ms FROM allc GROUP BY source""")
 def advance_cursors(spark, sf_dir):
-    until = F.lit("2024-01-10").cast("timestamp")
-    early = W.envelopes(spark, sf_dir).filter(T.event_time(c("ts_ms")) < until)
-    return S.advance_cursors(_cursors(spark, sf_dir), early)
+    return S.advance_cursors(_cursors(spark, sf_dir), W.envelopes(spark, sf_dir))
 
 
 @query(f"""WITH {PAIRS}, raw AS (SELECT * FROM env WHERE len(entities) = 0)
