@@ -1,0 +1,64 @@
+import pytest
+
+from eventlens.config import Config, window_ms
+
+
+def test_defaults():
+    cfg = Config.from_env({})
+    assert cfg == Config()
+    assert cfg.pairs_path == "file:///tmp/eventlens/correlated"
+    assert cfg.raw_path == "file:///tmp/eventlens/events_raw"
+    assert cfg.checkpoint("raw") == "file:///tmp/eventlens/checkpoints/raw"
+
+
+def test_sink_dir_moves_checkpoints_and_tables():
+    cfg = Config.from_env({"EVENTLENS_SINK_DIR": "hdfs://nn:8020/data"})
+    assert cfg.raw_path == "hdfs://nn:8020/data/events_raw"
+    assert cfg.checkpoint("raw") == "hdfs://nn:8020/data/checkpoints/raw"
+    assert cfg.raw_location == "hdfs://nn:8020/data/events_raw"
+
+
+def test_table_locations_take_no_scheme():
+    cfg = Config.from_env({"EVENTLENS_TABLE_BASE": "/warehouse"})
+    assert cfg.raw_location == "/warehouse/events_raw"
+    assert cfg.pairs_location == "/warehouse/correlated"
+
+
+@pytest.mark.parametrize(("text", "seconds"), [("5", 5), ("-3", 0), ("junk", 30), ("", 30)])
+def test_repair_seconds(text, seconds):
+    assert Config.from_env({"EVENTLENS_REPAIR_MIN_SECONDS": text}).repair_min_seconds == seconds
+
+
+@pytest.mark.parametrize(("text", "trigger"), [("", None), ("  ", None), (" 10 seconds ", "10 seconds")])
+def test_blank_trigger_means_none(text, trigger):
+    assert Config.from_env({"EVENTLENS_TRIGGER": text}).trigger == trigger
+
+
+def test_hive_needs_exactly_true():
+    assert Config.from_env({"EVENTLENS_HIVE_ENABLED": "true"}).hive_enabled
+    assert not Config.from_env({"EVENTLENS_HIVE_ENABLED": "TRUE"}).hive_enabled
+
+
+def test_metastore_becomes_a_session_setting():
+    cfg = Config.from_env({"EVENTLENS_HIVE_METASTORE_URI": "thrift://m:9083"})
+    assert cfg.spark_confs == {"hive.metastore.uris": "thrift://m:9083"}
+    assert Config().spark_confs == {}
+
+
+def test_cluster_needs_a_shared_sink():
+    with pytest.raises(ValueError, match="SINK_DIR"):
+        Config.from_env({"SPARK_MASTER": "spark://m:7077"})
+
+
+@pytest.mark.parametrize(("text", "ms"), [
+    ("10 minutes", 600_000), ("1 hour 30 minutes", 5_400_000), ("250 milliseconds", 250),
+    ("1 DAY", 86_400_000),
+])
+def test_window(text, ms):
+    assert window_ms(text) == ms
+
+
+@pytest.mark.parametrize("text", ["", "10", "1 month", "10 minutes; DROP TABLE x", "-5 minutes"])
+def test_window_rejects_anything_else(text):
+    with pytest.raises(ValueError):
+        window_ms(text)
