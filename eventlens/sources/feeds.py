@@ -67,7 +67,8 @@ _FEED_XML = (
 
 
 def _feed_items(docs: DataFrame, *keep: str) -> DataFrame:
-    parsed = docs.withColumn("_x", F.from_xml("document", _FEED_XML))
+    parsed = docs.withColumn("_x", F.from_xml(
+        "document", _FEED_XML, {"ignoreSurroundingSpaces": "false"}))
     items = F.concat(*[
         F.coalesce(c, F.array()) for c in (F.col("_x.channel.item"), F.col("_x.item"))
     ])
