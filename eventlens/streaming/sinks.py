@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventlens.config import Config
 from eventlens.functions.times import event_date
 from eventlens.operators.correlate import entityless
+from eventlens.sources.sinks import path_exists
 
 # The suffix goes up whenever the join's state changes shape: a query cannot restart
 # from a checkpoint of another shape.
@@ -52,6 +53,9 @@ def write_batch(df: DataFrame, path: str, partitions: list[str]) -> None:
     """Appends a batch frame to a sink.
 
     The rebalance brings a partition's rows together so files come out few and even, and
-    splits a partition that is too large for one task.
+    splits a partition that is too large for one task. A folder that a stream writes is
+    refused: readers follow the stream's file log there and would not see these files.
     """
+    if path_exists(df.sparkSession, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} belongs to a stream; write the batch to another folder")
     df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)
