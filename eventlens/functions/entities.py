@@ -24,8 +24,10 @@ STOP_WORDS = (
 
 # The patterns an entity has to match.
 CASHTAG = r"\$([A-Za-z]{1,5})(?![\p{L}\p{N}_])"
-SYMBOL = r"^[A-Z][A-Z.\-]{0,9}$"
-TICKER = r"^[A-Z]{1,5}$"
+SYMBOL = r"[A-Z][A-Z.\-]{0,9}"
+TICKER = r"[A-Z]{1,5}"
+# Characters that may surround a bare ticker.
+EDGE = r"""$.()\[\]"'"""
 
 
 def strip(text: Column) -> Column:
@@ -49,21 +51,19 @@ def cashtags(text: Column) -> Column:
 
 def symbol_tokens(text: Column) -> Column:
     """White-space tokens that look like an exchange symbol (``BRK.B``)."""
-    tokens = F.transform(F.split(text, f"[{SPACE}]+"), F.upper)
-    return F.coalesce(F.array_distinct(F.filter(tokens, lambda t: t.rlike(SYMBOL))), _none())
+    whole = f"(?<![^{SPACE}])({SYMBOL})(?![^{SPACE}])"
+    found = F.regexp_extract_all(F.upper(text), F.lit(whole), F.lit(1))
+    return F.coalesce(F.array_distinct(found), _none())
 
 
 def tickers(text: Column) -> Column:
     """Cashtags when there are any, else bare ticker-like tokens minus stop words."""
     tags = cashtags(text)
-    edge = r"""[$.,;()\[\]"']+"""
-    tokens = F.transform(
-        F.split(text, f"[{SPACE},;]+"),
-        lambda t: F.upper(F.regexp_replace(t, f"^{edge}|{edge}$", "")),
-    )
-    bare = F.array_distinct(
-        F.filter(tokens, lambda t: t.rlike(TICKER) & ~t.isin(*STOP_WORDS))
-    )
+    # One pass over the text: a token stands between separators, brackets and quotes aside.
+    gap = f"{SPACE},;"
+    whole = f"(?<![^{gap}])[{EDGE}]*+({TICKER})[{EDGE}]*+(?![^{gap}])"
+    found = F.regexp_extract_all(F.upper(text), F.lit(whole), F.lit(1))
+    bare = F.array_except(found, F.array(*[F.lit(w) for w in STOP_WORDS]))
     return F.coalesce(F.when(F.size(tags) > 0, tags).otherwise(bare), _none())
 
 

@@ -71,9 +71,19 @@ def spaced_json(text: Column, limit: int) -> Column:
     )
 
 
-def summary(payload: Column) -> Column:
-    """One line a person can scan: a quote, a headline, or the payload itself."""
-    value = F.try_parse_json(payload)
+def object_text(text: Column, value: Column) -> Column:
+    """Whether JSON text holds an object; ``value`` is its parsed form."""
+    # Parsed text is valid JSON, so its first character tells, and no type has to be built.
+    return value.isNotNull() & F.startswith(F.ltrim(text), F.lit("{"))
+
+
+def summary(payload: Column, value: Column | None = None) -> Column:
+    """One line a person can scan: a quote, a headline, or the payload itself.
+
+    ``value`` is the parsed payload where the caller already has it in a column.
+    """
+    if value is None:
+        value = F.try_parse_json(payload)
 
     def has(name: str) -> Column:
         return field(value, f"$.{name}").isNotNull()
@@ -95,10 +105,10 @@ def summary(payload: Column) -> Column:
     ).otherwise(text("title"))
     plain = F.substring(F.coalesce(value.cast("string"), payload), 1, SUMMARY_CHARS)
     return (
-        F.when(payload.isNull() | (kind(value) == "VOID"), F.lit(""))
-        .when(~is_object(value), plain)
+        F.when(payload.isNull() | (F.trim(payload) == "null"), F.lit(""))
+        .when(~object_text(payload, value), plain)
         .when(has("price") & has("symbol"), quote)
-        .when(truthy("title"), titled)
+        .when(has("title") & truthy("title"), titled)
         .otherwise(spaced_json(F.to_json(value), SUMMARY_CHARS))
     )
 

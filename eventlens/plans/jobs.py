@@ -130,6 +130,7 @@ def overview(spark: SparkSession, registry: Registry, cursors: DataFrame, bus: D
     """Every frame the operations views show."""
     feed = B.decode_feed(B.topic_filter(bus, B.ALL_TOPICS))
     events, dead = latest.ring(feed, cap)
+    known = latest.last_by_id(events.select(*latest.ARRIVAL, "event_id", "ts_ms", "summary"))
     raw, found = sinks.read_raw(spark, cfg), sinks.read_pairs(spark, cfg)
     sources = status.source_status(registry.frame(spark), cursors, bus, now_ms)
     rates = status.rate(bus, now_ms // 1000)
@@ -143,7 +144,7 @@ def overview(spark: SparkSession, registry: Registry, cursors: DataFrame, bus: D
         "stream": events,
         "dlq": dead,
         "stored": latest.store_view(raw),
-        "correlated": views.resolve_pairs(latest.store_view(found), latest.last_by_id(events)),
+        "correlated": views.resolve_pairs(latest.store_view(found), known),
     }
 
 

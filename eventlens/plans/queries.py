@@ -638,8 +638,9 @@ known AS (SELECT * FROM feed WHERE topic NOT LIKE '%.dlq')"""
 
 
 def _resolved(spark, sf_dir):
-    events = L.last_by_id(_feed(spark, sf_dir).filter(~B.is_dead_letter()))
-    return views.resolve_pairs(C.pairs(W.envelopes(spark, sf_dir)), events)
+    events = _feed(spark, sf_dir).filter(~B.is_dead_letter()).select(
+        *L.ARRIVAL, "event_id", "ts_ms", "summary")
+    return views.resolve_pairs(C.pairs(W.envelopes(spark, sf_dir)), L.last_by_id(events))
 
 
 @query(f"{_RESOLVED} {_INDEX}")
@@ -761,7 +762,8 @@ WHERE len(entities) > 0) SELECT entities[1] AS event_id, topic, "offset", ts_ms,
 FROM keyed WHERE r = 1""")
 def last_by_id(spark, sf_dir):
     # Keyed by user, so that an id occurs many times.
-    by_user = _feed(spark, sf_dir).withColumn("event_id", F.try_element_at("entities", F.lit(1)))
+    by_user = _feed(spark, sf_dir).select(
+        *L.ARRIVAL, F.try_element_at("entities", F.lit(1)).alias("event_id"), "ts_ms", "summary")
     return L.last_by_id(by_user).select("event_id", "topic", "offset", "ts_ms", "summary")
 
 

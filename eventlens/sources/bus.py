@@ -175,13 +175,11 @@ def decode_feed(bus: DataFrame) -> DataFrame:
 
     ``error`` is filled for dead-letter rows only. ``seq`` orders rows by arrival.
     """
-    text = F.col("value").cast("string")
-    v = F.col("_v")
-    payload = F.when(
-        J.is_object(v), F.to_json(J.field(v, "$.payload"))
-    ).otherwise(F.to_json(F.struct(F.substring(text, 1, J.RAW_CHARS).alias("raw"))))
+    text, v = F.col("value").cast("string"), F.col("_v")
+    raw = F.struct(F.substring(text, 1, J.RAW_CHARS).alias("raw"))
+    body = F.when(J.object_text(text, v), J.field(v, "$.payload")).otherwise(
+        F.parse_json(F.to_json(raw)))
     own_source = J.string_or_null(J.field(v, "$.source"))
-    is_dlq = F.endswith(F.col("topic"), F.lit(".dlq"))
     shown = bus.withColumn("_v", F.try_parse_json(text)).select(
         "topic", "partition", "offset", "timestamp",
         F.try_variant_get(v, "$.event_id", "string").alias("event_id"),
@@ -190,10 +188,16 @@ def decode_feed(bus: DataFrame) -> DataFrame:
         F.coalesce(F.try_variant_get(v, "$.entities", "array<string>"),
                    F.array().cast("array<string>")).alias("entities"),
         F.try_variant_get(v, "$.ts_ms", "bigint").alias("ts_ms"),
-        F.when(payload != "null", payload).alias("payload"),
-        F.when(is_dlq, header(F.col("headers"), ERROR_HEADER)).alias("error"),
+        F.when(is_dead_letter(), header(F.col("headers"), ERROR_HEADER)).alias("error"),
+        body.alias("_body"),
+    )
+    # One step at a time: each column is worked out once and then only read.
+    payload = F.to_json("_body")
+    shown = shown.withColumn("payload", F.when(payload != "null", payload))
+    return shown.select(
+        "topic", "partition", "offset", "timestamp", "event_id", "source", "entities", "ts_ms",
+        "payload", "error", J.summary(F.col("payload"), F.col("_body")).alias("summary"),
     )
-    return shown.withColumn("summary", J.summary(F.col("payload")))
 
 
 def is_dead_letter() -> Column:
