@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions import jsontext as J
+from eventlens.functions.once import with_once
 from eventlens.registry import Registry
 from eventlens.sources.bus import to_dlq
 
@@ -175,9 +176,7 @@ def _with_problems(frame: DataFrame, text: str, facts: _Facts, problems: Column,
     rows = frame.withColumn("_v", F.try_parse_json(text)).withColumns(facts.columns)
     if shape is not None:
         rows = rows.withColumn("_shape", shape)
-    # Spark would copy the whole expression into any filter on ``problems``. It does not
-    # push filters below a generator, so a one-element one keeps it evaluated once.
-    return rows.select(*frame.columns, F.explode(F.array(problems)).alias("problems"))
+    return with_once(rows, "problems", problems).select(*frame.columns, "problems")
 
 
 def reason(problems: Column) -> Column:

@@ -128,7 +128,7 @@ def unparsed(spark, sf_dir):
 
 
 def _hn_documents(spark, sf_dir):
-    return W.table(spark, sf_dir, "documents").select(F.to_json(F.struct(
+    return W.spread(W.table(spark, sf_dir, "documents")).select(F.to_json(F.struct(
         c("doc_id").alias("id"),
         F.when(c("doc_id") % 4 == 0, "job").otherwise("story").alias("type"),
         (c("doc_id") * 60 + 1_700_000_000).alias("time"),
@@ -166,7 +166,7 @@ def _lobsters_documents(spark, sf_dir):
         c("n_chars").alias("score")))
     stories = F.concat(F.lit("["), story, F.lit(',"not a story",null,'), late, F.lit("]"))
     other = F.lit('{"error": "rate limited"}')
-    return W.table(spark, sf_dir, "documents").select(
+    return W.spread(W.table(spark, sf_dir, "documents")).select(
         F.when(c("doc_id") % 10 == 0, other).otherwise(stories).alias("document"))
 
 
@@ -194,7 +194,7 @@ def _escaped(text: Column) -> Column:
 def _xml_documents(spark, sf_dir):
     at = F.timestamp_seconds(c("doc_id") * 60 + 1_700_000_000)
     link = F.concat(F.lit("https://example.com/"), c("doc_id"))
-    return W.table(spark, sf_dir, "documents").select(
+    return W.spread(W.table(spark, sf_dir, "documents")).select(
         F.upper("lang").alias("symbol"),
         (c("doc_id") * 1000 + 1_800_000_000_000).alias("ingest_ms"),
         F.when(c("doc_id") % 20 == 0, F.lit("<rss><channel><item>")).otherwise(F.concat(
@@ -245,7 +245,7 @@ def stocks_envelopes(spark, sf_dir):
     ))
     quote = F.concat(F.lit('{"chart":{"result":[{"meta":'), meta, F.lit("}]}}"))
     empty = F.lit('{"chart":{"result":[]}}')
-    docs = W.table(spark, sf_dir, "events").select(
+    docs = W.spread(W.table(spark, sf_dir, "events")).select(
         F.concat(F.lit("U"), c("user_id")).alias("symbol"),
         F.when(kind == 0, empty).otherwise(quote).alias("document"),
         (c("event_id") + 1_800_000_000_000).alias("ingest_ms"))
@@ -301,7 +301,7 @@ def per_entity(spark, sf_dir):
 
 @query("""SELECT doc_id, md5(text || ' ' || source) AS digest FROM documents""")
 def entity_text(spark, sf_dir):
-    docs = W.table(spark, sf_dir, "documents")
+    docs = W.spread(W.table(spark, sf_dir, "documents"))
     payload = F.to_json(F.struct(c("text").alias("title"), c("source").alias("url"), "lang"))
     return docs.select(
         "doc_id", F.md5(E.entity_text(payload, ["title", "absent", "url"])).alias("digest"))
@@ -318,7 +318,7 @@ def _title() -> Column:
 
 @query(f"SELECT event_id, {_first_seen(_CASHTAGS.format(_TITLE))} AS tags FROM events")
 def cashtags(spark, sf_dir):
-    events = W.table(spark, sf_dir, "events")
+    events = W.spread(W.table(spark, sf_dir, "events"))
     return events.select("event_id", F.array_join(E.cashtags(_title()), " ").alias("tags"))
 
 
@@ -333,7 +333,7 @@ _WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 SELECT doc_id, md5({_first_seen('tokens')}) AS digest FROM t""")
 def symbol_tokens(spark, sf_dir):
     found = F.array_join(E.symbol_tokens(c("text")), " ")
-    return W.table(spark, sf_dir, "documents").select("doc_id", F.md5(found).alias("digest"))
+    return W.spread(W.table(spark, sf_dir, "documents")).select("doc_id", F.md5(found).alias("digest"))
 
 
 _STOP = ", ".join(f"'{w}'" for w in E.STOP_WORDS)
@@ -348,7 +348,7 @@ SELECT doc_id, md5(CASE WHEN len(tags) > 0 THEN {_first_seen('tags')}
  ELSE {_first_seen('bare')} END) AS digest FROM t""")
 def tickers(spark, sf_dir):
     found = F.array_join(E.tickers(c("text")), " ")
-    return W.table(spark, sf_dir, "documents").select("doc_id", F.md5(found).alias("digest"))
+    return W.spread(W.table(spark, sf_dir, "documents")).select("doc_id", F.md5(found).alias("digest"))
 
 
 @query(f"""WITH t AS (SELECT doc_id, list_filter(list_transform(string_split(text, '.'),
@@ -357,12 +357,12 @@ FROM documents)
 SELECT doc_id, md5({_first_seen('parts')}) AS digest FROM t""")
 def normalize_entities(spark, sf_dir):
     parts = E.normalize_entities(F.split("text", r"\."))
-    return W.table(spark, sf_dir, "documents").select(
+    return W.spread(W.table(spark, sf_dir, "documents")).select(
         "doc_id", F.md5(F.array_join(parts, " ")).alias("digest"))
 
 
 def _titled(spark, sf_dir):
-    return W.table(spark, sf_dir, "events").select(
+    return W.spread(W.table(spark, sf_dir, "events")).select(
         F.concat_ws(":", "event_type", c("event_id").cast("string")).alias("event_id"),
         c("event_type").alias("source"),
         F.array(F.lit("PREFILLED")).alias("entities"),
@@ -410,7 +410,7 @@ def summary(spark, sf_dir):
         .when(kind == 5, F.concat(F.lit('{"price":7,"currency":null,"symbol":"'), user,
                                   F.lit('"}')))
     )
-    return W.table(spark, sf_dir, "events").select("event_id", J.summary(payload).alias("summary"))
+    return W.spread(W.table(spark, sf_dir, "events")).select("event_id", J.summary(payload).alias("summary"))
 
 
 @query("""SELECT event_id, CASE
@@ -427,7 +427,7 @@ FROM (SELECT event_id, event_id * event_id * event_id * 8 AS b FROM events)""")
 def readable_texts(spark, sf_dir):
     n = c("event_id")
     unit = F.element_at(F.array(F.lit("s"), F.lit("m"), F.lit("h")), (n % 3 + 1).cast("int"))
-    return W.table(spark, sf_dir, "events").select(
+    return W.spread(W.table(spark, sf_dir, "events")).select(
         "event_id", T.age(n * 4567).alias("age"),
         T.interval_seconds(F.concat((n % 100).cast("string"), unit)).alias("interval_s"),
         J.human_bytes(n * n * n * 8).alias("size"))
@@ -447,7 +447,7 @@ def headers(spark, sf_dir):
         .otherwise(F.array(one("other", user), one(B.ERROR_HEADER, c("event_type")),
                            one(B.ERROR_HEADER, user)))
     )
-    return W.table(spark, sf_dir, "events").select(
+    return W.spread(W.table(spark, sf_dir, "events")).select(
         "event_id", B.header(made, B.ERROR_HEADER).alias("first_error"),
         B.header(made, B.ERROR_HEADER, last=True).alias("last_error"))
 
@@ -489,7 +489,7 @@ def _mutated(spark, sf_dir):
         F.lit("}"),
     )
     value = F.when(kind == 7, F.concat(F.lit("not json "), c("event_id").cast("string")))
-    return W.table(spark, sf_dir, "events").select("event_id", value.otherwise(whole).alias("value"))
+    return W.spread(W.table(spark, sf_dir, "events")).select("event_id", value.otherwise(whole).alias("value"))
 
 
 _PROBLEMS = """mut AS (SELECT event_id, event_type, event_id % 13 AS kind, CASE event_id % 13

@@ -14,6 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spreads a scan of fewer tasks than cores, before work that is heavy per row.
+
+    A small file is a single row group and so a single task. A scan that already fills
+    the cores, as at any real size, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One envelope per event: source = event type, entity = user, every fifth without."""
     c = F.col
@@ -29,7 +39,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bus_rows(table(spark, sf_dir, "events"))
+    return bus_rows(spread(table(spark, sf_dir, "events")))
 
 
 def bus_rows(events: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from eventlens.config import Config
 from eventlens.functions import jsontext as J
+from eventlens.functions.once import with_once
 from eventlens.functions.times import MAX_TS_MS, MIN_TS_MS
 
 ERROR_HEADER = "eventlens.error"
@@ -68,18 +69,15 @@ def parse_envelopes(bus: DataFrame, position: bool = False) -> DataFrame:
     """
     e = F.from_json(F.col("value").cast("string"), ENVELOPE)
     extra = [F.xxhash64("topic", "partition", "offset").alias("position")] if position else []
-    rows = bus.select(e.alias("e"), *extra)
-    return rows.select("e.*", *rows.columns[1:]).filter(_usable())
+    rows = with_once(bus.select("value", *extra), "e", e)
+    return rows.select("e.*", *rows.columns[1:-1]).filter(_usable())
 
 
 def unparsed(bus: DataFrame) -> DataFrame:
     """Bus rows that ``parse_envelopes`` drops, unchanged."""
     e = F.from_json(F.col("value").cast("string"), ENVELOPE)
-    return (
-        bus.withColumn("_e", e)
-        .filter(~F.coalesce(_usable("_e."), F.lit(False)))
-        .drop("_e")
-    )
+    rows = with_once(bus, "_e", e)
+    return rows.filter(~F.coalesce(_usable("_e."), F.lit(False))).drop("_e")
 
 
 def _usable(prefix: str = "") -> Column:
@@ -180,7 +178,7 @@ def decode_feed(bus: DataFrame) -> DataFrame:
     body = F.when(J.object_text(text, v), J.field(v, "$.payload")).otherwise(
         F.parse_json(F.to_json(raw)))
     own_source = J.string_or_null(J.field(v, "$.source"))
-    shown = bus.withColumn("_v", F.try_parse_json(text)).select(
+    shown = with_once(bus, "_v", F.try_parse_json(text)).select(
         "topic", "partition", "offset", "timestamp",
         F.try_variant_get(v, "$.event_id", "string").alias("event_id"),
         F.coalesce(F.when(own_source != "", own_source),
