@@ -802,13 +802,22 @@ def peek(spark, sf_dir):
     return tail.select("topic", "offset", "error", number.cast("bigint").alias("n"))
 
 
+def _over_views(spark: SparkSession, cfg: Config, statement: str) -> DataFrame:
+    """A statement over the sinks' views, which are gone again once it is resolved."""
+    sinks.register_views(spark, cfg)
+    df = spark.sql(statement)
+    for view in (sinks.RAW_TABLE, sinks.PAIRS_TABLE):
+        spark.catalog.dropTempView(view)
+    return df
+
+
 @query(f"""WITH {ENV} SELECT event_id, source, ts_ms FROM env
 WHERE len(entities) = 0 AND source = 'view'""")
 def sql_by_source(spark, sf_dir):
     cfg = _scratch(spark, "sql")
     K.write_batch(K.raw_rows(W.envelopes(spark, sf_dir)), cfg.raw_path, ["dt", "source"])
-    sinks.register_views(spark, cfg)
-    return spark.sql("SELECT event_id, source, ts_ms FROM events_raw WHERE source = 'view'")
+    return _over_views(spark, cfg, "SELECT event_id, source, ts_ms FROM events_raw "
+                       "WHERE source = 'view'")
 
 
 @query(f"""WITH {PAIRS} SELECT entity, a_id, b_id, ts_ms FROM pairs
@@ -816,9 +825,8 @@ WHERE a_id LIKE '%click%' ORDER BY {DAY} DESC""")
 def sql_pairs_by_id(spark, sf_dir):
     cfg = _scratch(spark, "sql")
     K.write_batch(C.pairs(W.envelopes(spark, sf_dir)), cfg.pairs_path, ["dt"])
-    sinks.register_views(spark, cfg)
-    return spark.sql("SELECT entity, a_id, b_id, ts_ms FROM correlated "
-                     "WHERE a_id LIKE '%click%' ORDER BY dt DESC")
+    return _over_views(spark, cfg, "SELECT entity, a_id, b_id, ts_ms FROM correlated "
+                       "WHERE a_id LIKE '%click%' ORDER BY dt DESC")
 
 
 # ---- views --------------------------------------------------------------------------
