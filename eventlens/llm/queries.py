@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import quality_rules, sharding, warc
+from eventlens.llm import bpe, html_text, quality_rules, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file the queries use; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @query()
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.summary_rows(table(spark, sf_dir, "documents"))
