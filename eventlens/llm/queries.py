@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import bpe, html_text, quality_rules, sharding, warc
+from eventlens.llm import bpe, decontaminate, html_text, quality_rules, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,13 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query()
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents, with the item, the place and the distance."""
+    return decontaminate.matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 @query()
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("text_key")
