@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import bpe, decontaminate, html_text, quality_rules, sharding, warc
+from eventlens.llm import bpe, decontaminate, html_text, lm_score, quality_rules, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query()
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.cross_entropy_difference(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
