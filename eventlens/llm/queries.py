@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import bpe, decontaminate, html_text, lm_score, quality_rules, sharding, warc
+from eventlens.llm import bpe, decontaminate, html_text, lm_score, quality_rules, secret_scan, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query()
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets that the forest confirms; their texts are shown as hashes only."""
+    return secret_scan.findings(table(spark, sf_dir, "documents")).drop("text_key", "candidate")
+
+
 @query()
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contaminated documents, with the item, the place and the distance."""
