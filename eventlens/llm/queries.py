@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import bpe, decontaminate, html_text, lm_score, quality_rules, secret_scan, sharding, warc
+from eventlens.llm import bpe, decontaminate, html_text, jaccard_join, lm_score, quality_rules, secret_scan, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.cluster(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
