@@ -32,8 +32,11 @@ import regex
 from pyspark.sql import DataFrame
 
 MAX_FILE_BYTES = 64 << 20
-CACHED_PIECES = 1 << 18
+CACHED_PIECES = 1 << 19
 CACHED_CHARS = 48
+SHORT = 64
+ID_BITS = 24
+NEVER = 1 << 40
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -57,7 +60,10 @@ class Merges:
         self.added = dict(added or {})
         self.tokens |= {i: t.encode() for t, i in self.added.items()}
         pairs = [tuple(map(raw, m.split(" ") if isinstance(m, str) else m)) for m in merges]
-        self.ranks = {pair: rank for rank, pair in reversed(list(enumerate(pairs)))}
+        self.bytes_ids = [self.ids[bytes([b])] for b in range(256)]
+        self.made = [self.ids[x + y] for x, y in pairs]
+        self.rank_of = {self.ids[x] << ID_BITS | self.ids[y]: rank
+                        for rank, (x, y) in reversed(list(enumerate(pairs)))}
         self.lookahead = self._lookahead(pairs)
 
     @classmethod
@@ -91,37 +97,54 @@ class Merges:
             longest = max(longest, chain)
         return longest
 
-    def merge(self, data: bytes) -> list[bytes]:
-        """The tokens of ``data``: the lowest rank first, leftmost first."""
-        ranks, n = self.ranks, len(data)
-        parts: list[bytes | None] = [data[i:i + 1] for i in range(n)]
+    def merge(self, data: bytes) -> list[int]:
+        """Token ids of ``data``: pairs are merged lowest rank first, leftmost first."""
+        parts = [self.bytes_ids[b] for b in data]
+        return self._merge_short(parts) if len(parts) <= SHORT else self._merge_long(parts)
+
+    def _merge_short(self, parts: list[int]) -> list[int]:
+        rank_of, made = self.rank_of, self.made
+        ranks = [rank_of.get(a << ID_BITS | b, NEVER) for a, b in zip(parts, parts[1:])]
+        while ranks and (rank := min(ranks)) != NEVER:
+            i = ranks.index(rank)
+            parts[i:i + 2] = [token := made[rank]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank_of.get(parts[i - 1] << ID_BITS | token, NEVER)
+            if i < len(ranks):
+                ranks[i] = rank_of.get(token << ID_BITS | parts[i + 1], NEVER)
+        return parts
+
+    def _merge_long(self, parts: list[int | None]) -> list[int]:
+        rank_of, made, n = self.rank_of, self.made, len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i) for i in range(n - 1)
-                if (r := ranks.get((parts[i], parts[i + 1]))) is not None]
+                if (r := rank_of.get(parts[i] << ID_BITS | parts[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             rank, i = heapq.heappop(heap)
             left, j = parts[i], after[i]
-            if left is None or j >= n or ranks.get((left, parts[j])) != rank:
+            if left is None or j >= n or rank_of.get(left << ID_BITS | parts[j]) != rank:
                 continue
-            parts[i], parts[j] = left + parts[j], None
+            token = made[rank]
+            parts[i], parts[j] = token, None
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := ranks.get((parts[i], parts[k]))) is not None:
+                if (r := rank_of.get(token << ID_BITS | parts[k])) is not None:
                     heapq.heappush(heap, (r, i))
-            if (h := before[i]) >= 0 and (r := ranks.get((parts[h], parts[i]))) is not None:
+            if (h := before[i]) >= 0 and (r := rank_of.get(parts[h] << ID_BITS | token)) is not None:
                 heapq.heappush(heap, (r, h))
         return [p for p in parts if p is not None]
 
 
 class Encoder:
-    """Tokens of one piece of text whose bytes arrive bit by bit."""
+    """Token ids of one piece of text whose bytes arrive bit by bit."""
 
     def __init__(self, merges: Merges, step: int = 4096):
         self.merges, self.step, self.held = merges, step, bytearray()
 
-    def feed(self, data: bytes) -> Iterator[bytes]:
+    def feed(self, data: bytes) -> Iterator[int]:
         """Takes bytes; yields the tokens that no later byte can change."""
         for at in range(0, len(data), self.step):
             self.held += data[at:at + self.step]
@@ -130,13 +153,13 @@ class Encoder:
                 continue  # too little to be worth merging again
             done = 0
             for token in self.merges.merge(bytes(self.held)):
-                if done + len(token) > stable:
+                if done + (n := len(self.merges.tokens[token])) > stable:
                     break
-                done += len(token)
+                done += n
                 yield token
             del self.held[:done]
 
-    def flush(self) -> Iterator[bytes]:
+    def flush(self) -> Iterator[int]:
         yield from self.merges.merge(bytes(self.held))
         self.held.clear()
 
@@ -148,8 +171,9 @@ class Decoder:
         self.merges = merges
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def feed(self, token_id: int) -> str:
-        return self.state.decode(self.merges.tokens.get(token_id, b""))
+    def feed(self, ids: Iterable[int]) -> str:
+        """The characters that these tokens complete."""
+        return self.state.decode(b"".join([self.merges.tokens.get(i, b"") for i in ids]))
 
     def flush(self) -> str:
         return self.state.decode(b"", True)
@@ -163,11 +187,14 @@ class _Pieces(dict):
         self.merges = merges
 
     def __missing__(self, piece: str) -> tuple[str, int, str]:
-        encoder, decoder = Encoder(self.merges), Decoder(self.merges)
-        data = piece.encode()
-        ids = [self.merges.ids[t] for part in (encoder.feed(data), encoder.flush()) for t in part]
+        data, decoder = piece.encode(), Decoder(self.merges)
+        if len(data) <= self.merges.lookahead:  # nothing is stable before the piece's end
+            ids = self.merges.merge(data)
+        else:
+            encoder = Encoder(self.merges)
+            ids = [*encoder.feed(data), *encoder.flush()]
         # A piece is whole characters, so the decoder's state is empty before and after it.
-        text = "".join(map(decoder.feed, ids)) + decoder.flush()
+        text = decoder.feed(ids) + decoder.flush()
         found = (",".join(map(str, ids)), len(ids), text)
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED_PIECES:
@@ -197,7 +224,7 @@ class Tokenizer:
 
     def decode(self, ids: Iterable[int]) -> str:
         decoder = Decoder(self.merges)
-        return "".join(map(decoder.feed, ids)) + decoder.flush()
+        return "".join(decoder.feed((i,)) for i in ids) + decoder.flush()
 
     def round_trip(self, text: str | None) -> tuple[int, str, str]:
         """Number of tokens, SHA-256 of the ids joined by commas, SHA-256 of the decoded text."""
