@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from eventlens.llm import words as W
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which the driver and all executors see.
@@ -32,18 +34,30 @@ def new_dir(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Computes ``df`` once, into the shared folder, and cuts its lineage."""
+    """Computes ``df`` once, into the shared folder, and cuts its lineage.
+
+    Spark deletes shuffle files once the driver's garbage collector finds their frames out of reach,
+    which a large heap may put off for hours; asking for a collection here frees the disk of
+    earlier steps.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return done
 
 
 def arrow_map(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
+    text: int | None = None,
 ) -> DataFrame:
-    """``mapInArrow`` for a function of one batch."""
+    """``mapInArrow`` for a function of one batch.
+
+    ``text`` is the place of a text column; batches are then cut to few megabytes of text.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
-                yield out
+            for part in [batch] if text is None else W.slices(batch, text):
+                if part.num_rows and (out := fn(part)) is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)

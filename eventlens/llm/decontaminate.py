@@ -252,7 +252,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, edit_share: float = EDIT_S
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            for batch in batches:
+            for batch in (part for whole in batches for part in W.slices(whole, 2)):
                 found = list(items.match(W.words_of(batch.column(2))))
                 if found:
                     at = pa.array([f[0] for f in found])

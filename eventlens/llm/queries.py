@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm import bpe, decontaminate, html_text, jaccard_join, lm_score, quality_rules, secret_scan, sharding, warc
+from eventlens.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    jaccard_join,
+    lm_score,
+    quality_rules,
+    secret_scan,
+    sharding,
+    suffix_dedup,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +54,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 @query()
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.cluster(table(spark, sf_dir, "documents"))

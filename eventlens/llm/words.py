@@ -6,6 +6,7 @@ end between words, so memory is a small multiple of the batch, however long one
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -13,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 20
+SLICE = 4 << 20
 _rng = np.random.default_rng(20_26)
 _LETTER = _rng.integers(1, 2**64, 256, dtype=np.uint64)
 _LETTER[ord("A"):ord("Z") + 1] = _LETTER[ord("a"):ord("z") + 1]
@@ -57,6 +59,18 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batch in rows whose texts have ``size`` bytes together, or one longer text."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    ends = np.cumsum(lengths)
+    low = 0
+    while low < len(ends):
+        before = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def _long_word(raw: np.ndarray) -> np.uint64:
     """The hash of one word that does not fit a piece."""
     total, shift = np.uint64(0), np.uint64(1)
