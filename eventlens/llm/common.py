@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventlens.llm import words as W
 
@@ -28,6 +31,43 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='package-')}/{package.name}", "zip", package.parent, package.name)
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """``names``, each made different from all ``taken`` column names."""
+    used = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name = f"{name}_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def join_rows(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined to rows of (doc_id, text_key, ...); null ids are equal to each other.
+
+    ``text_key`` is ``xxhash64`` of the text, so that two texts under one id stay apart.
+    """
+    key, text = found.columns[:2]
+    same = (docs["doc_id"].cast("bigint").eqNullSafe(found[key])
+            & (F.xxhash64(docs["text"]) == found[text]))
+    return docs.join(found, same, how)
+
+
 def new_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier call has returned."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm import words as W
+from eventlens.llm.common import fresh, join_rows
 
 EDIT_SHARE = 0.2
 WALKS, REPEATS, SAMPLED = 8, 64, 3
@@ -268,8 +269,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, edit_share: float = EDIT_S
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a match, with the columns they came with."""
-    found = matches(docs, benchmark).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(
-        found, docs["doc_id"].cast("bigint").eqNullSafe(F.col("_id"))
-        & (F.xxhash64(docs["text"]) == F.col("_key")), "left_anti")
+    names = fresh(docs.columns, "found_id", "found_key")
+    found = matches(docs, benchmark).select("doc_id", "text_key").distinct().toDF(*names)
+    return join_rows(docs, found, "left_anti")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import arrow_map, materialize
+from eventlens.llm.common import arrow_map, fresh, join_rows, materialize
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -128,7 +128,7 @@ def judge(
         F.coalesce(host if host is not None else F.col("source"), F.lit("")).alias("host"),
         F.xxhash64(text).alias("text_key"), text.alias("text"))
     # The narrow features serve three passes; the text is read and parsed once.
-    features = keep(arrow_map(rows, _features, FEATURES)
+    features = keep(arrow_map(rows, _features, FEATURES, text=3)
                     .withColumn("row_id", F.monotonically_increasing_id()))
     lines = features.select(
         "row_id", "host", "family",
@@ -160,8 +160,6 @@ def judge(
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns they came with."""
-    passed = (judge(docs).filter("kept")
-              .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
-    return docs.join(
-        passed, docs["doc_id"].cast("bigint").eqNullSafe(F.col("_id"))
-        & (F.xxhash64(docs["text"]) == F.col("_key")), "left_semi")
+    names = fresh(docs.columns, "kept_id", "kept_key")
+    passed = judge(docs).filter("kept").select("doc_id", "text_key").distinct().toDF(*names)
+    return join_rows(docs, passed, "left_semi")

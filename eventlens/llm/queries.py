@@ -19,6 +19,7 @@ from eventlens.llm import (
     suffix_dedup,
     warc,
 )
+from eventlens.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +30,11 @@ ORACLES: dict[str, str] = {}
 def query(sql: str | None = None):
     """Registers a query under its function name, and the SQL with the same result."""
     def add(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             ORACLES[fn.__name__] = sql
         return fn

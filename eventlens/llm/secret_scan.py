@@ -23,7 +23,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.llm.common import materialize
+from eventlens.llm.common import fresh, join_rows, materialize
 
 MIN_LENGTH = 16
 AROUND = 40
@@ -173,25 +173,27 @@ def findings(docs: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
 
 def redact(docs: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """The documents with ``MARK`` in place of each secret; all rows and columns stay."""
+    names = fresh(docs.columns, "found_id", "found_key", "places")
     # A document's places, at most as many as its text has room for.
-    places = (findings(docs, max_labelled).groupBy("doc_id", "text_key")
-              .agg(F.sort_array(F.collect_set(F.struct("start", "n_chars"))).alias("_places"))
-              .withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}))
-    joined = docs.join(
-        places, docs["doc_id"].cast("bigint").eqNullSafe(F.col("_id"))
-        & (F.xxhash64(docs["text"]) == F.col("_key")), "left")
+    found = (findings(docs, max_labelled).groupBy("doc_id", "text_key")
+             .agg(F.sort_array(F.collect_set(F.struct("start", "n_chars"))).alias("places"))
+             .toDF(*names))
+    joined = join_rows(docs, found, "left")
+    places = F.col(names[2])
     text = F.col("text")
     start = F.struct(F.lit("").alias("done"), F.lit(1).cast("bigint").alias("at"))
     cut = F.aggregate(
-        "_places", start,
+        places, start,
         lambda s, p: F.struct(
             F.concat(s["done"], F.substr(text, s["at"].cast("int"),
                                          (p["start"] + 1 - s["at"]).cast("int")), F.lit(MARK)
                      ).alias("done"),
             (p["start"] + p["n_chars"] + 1).alias("at")),
         lambda s: F.concat(s["done"], F.substr(text, s["at"].cast("int"))))
-    clean = F.when(F.col("_places").isNull(), text).otherwise(cut)
+    clean = F.when(places.isNull(), text).otherwise(cut)
+    n_chars = (F.length("text") + F.size(places) * len(MARK)
+               - F.aggregate(places, F.lit(0).cast("bigint"), lambda n, p: n + p["n_chars"]))
     columns = [clean.alias(c) if c == "text" else
-               F.when(F.col("_places").isNull(), F.col(c)).otherwise(F.length(clean)).cast(t).alias(c)
+               F.when(places.isNull(), F.col(c)).otherwise(n_chars).cast(t).alias(c)
                if c == "n_chars" else F.col(c) for c, t in docs.dtypes]
     return joined.select(*columns)

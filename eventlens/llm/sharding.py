@@ -48,27 +48,31 @@ def _place(rows: DataFrame, group: list[str], cell: str, order: list, name: str)
 def assign(
     rows: DataFrame, key: str, source: str, n_shards: int, *, seed: int = SEED, cells: int = CELLS
 ) -> DataFrame:
-    """``rows`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 in each shard)."""
+    """``rows`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 in each shard).
+
+    Columns that already have these names are replaced.
+    """
     if n_shards < 1:
         raise ValueError("n_shards has to be positive")
-    keyed = (rows
-             .withColumn("_source", F.concat(F.col(source).isNull().cast("int").cast("string"),
-                                             F.coalesce(F.col(source).cast("string"), F.lit(""))))
-             .withColumn("_hash", shuffle_key(F.col(key), seed))
-             .withColumn("_cell", F.shiftright("_hash", 52 - (cells.bit_length() - 1))))
+    kept = [c for c in rows.columns if c not in ("shard", "slot")]
+    source = F.col(source)
+    keyed = rows.select(
+        F.struct(*kept).alias("row"), F.col(key).alias("key"),
+        F.concat(source.isNull().cast("int").cast("string"),
+                 F.coalesce(source.cast("string"), F.lit(""))).alias("source"),
+        shuffle_key(F.col(key), seed).alias("hash"), F.xxhash64(*kept).alias("whole")
+    ).withColumn("cell", F.shiftright("hash", 52 - (cells.bit_length() - 1)))
     # The hash, then the key and the whole row: repeated keys stay in one order.
-    order = ["_hash", key, F.xxhash64(*rows.columns)]
-    ranked = _place(keyed, ["_source"], "_cell", order, "_rank").drop("_cell")
-    spread = (ranked
-              .withColumn("_at", (F.col("_rank") + 0.5) / F.col("_total")).drop("_total")
-              .withColumn("_cell", F.floor(F.col("_at") * cells)))
-    placed = _place(spread, [], "_cell", ["_at", "_source", *order], "_position")
-    shard = F.expr(f"(_position * {n_shards}L) div _total")
+    order = ["hash", "key", "whole"]
+    ranked = _place(keyed, ["source"], "cell", order, "rank").drop("cell")
+    spread = (ranked.withColumn("at", (F.col("rank") + 0.5) / F.col("_total")).drop("_total")
+              .withColumn("cell", F.floor(F.col("at") * cells)))
+    placed = _place(spread, [], "cell", ["at", "source", *order], "position")
+    shard = F.expr(f"(position * {n_shards}L) div _total")
     first = F.expr(f"(shard * _total + {n_shards - 1}L) div {n_shards}L")
-    return (placed
-            .withColumn("shard", shard.cast("int"))
-            .withColumn("slot", (F.col("_position") - first).cast("bigint"))
-            .select(*rows.columns, "shard", "slot"))
+    return (placed.withColumn("shard", shard.cast("int"))
+            .withColumn("slot", (F.col("position") - first).cast("bigint"))
+            .select("row.*", "shard", "slot"))
 
 
 def summary_rows(docs: DataFrame) -> DataFrame:
