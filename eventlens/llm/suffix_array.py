@@ -1,8 +1,8 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
 
-The algorithm is SA-IS: classify suffixes, sort the leftmost-smaller (LMS) substrings by inducing,
-name them, recurse on the names while two are equal, and induce all suffixes from the sorted LMS
-suffixes. An inducing scan reads and writes one array in order; here it advances by blocks, each
+The algorithm is SA-IS: classify suffixes, sort and name the leftmost-smaller (LMS) substrings,
+recurse on the names while two are equal, and induce all suffixes from the sorted LMS suffixes.
+(The substrings themselves are sorted as packed integers, which arrays do faster than inducing.) An inducing scan reads and writes one array in order; here it advances by blocks, each
 the longest whose own insertions all land behind it, so a block is a handful of array operations.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 _FIRST_BLOCK = 64
+_COUNT = np.arange(1 << 16)
 
 
 def _suffix_types(text: np.ndarray) -> np.ndarray:
@@ -28,40 +29,59 @@ def _suffix_types(text: np.ndarray) -> np.ndarray:
 def _scan(text, smaller, sa, bounds, forward: bool) -> None:
     """Induces larger suffixes from the left (forward) or smaller ones from the right."""
     n, size, i = len(text), _FIRST_BLOCK, 0
-    free = bounds.copy()  # per symbol the next free place, as a distance from the scan's start
+    free = bounds.copy()  # per symbol the next free place
+    late = 2 * n
     while i < n:
-        block = sa[i:i + size] if forward else sa[n - i - size if n - i > size else 0:n - i][::-1]
+        block = sa[i:i + size] if forward else sa[max(0, n - i - size):n - i][::-1]
+        width = len(block)
         source = block - 1
-        use = np.flatnonzero(block > 0)
-        use = use[smaller[source[use]] != forward]
-        symbol = text[source[use]]
+        use = (source >= 0).nonzero()[0]
+        source = source[use]
+        mine = smaller[source] != forward
+        use, source = use[mine], source[mine]
+        symbol = text[source]
         place = free[symbol] if forward else n - 1 - free[symbol]
         # Entry k may take part if no entry up to k lands inside the block that ends with k.
-        nearest = np.full(len(block), n + len(block) + 1, np.int64)
+        nearest = np.full(width, late)
         nearest[use] = place
-        good = np.minimum.accumulate(nearest) >= i + np.arange(1, len(block) + 1)
-        m = len(block) if good.all() else max(1, int(good.argmin()))
-        k = int(np.searchsorted(use, m))
-        if k:
-            symbol, entries = symbol[:k], source[use[:k]]
-            order = np.argsort(symbol, kind="stable")
+        good = np.minimum.accumulate(nearest) > _COUNT[:width] + i if width <= len(_COUNT) else (
+            np.minimum.accumulate(nearest) > np.arange(i, i + width))
+        m = int(good.argmin())
+        m = width if m == 0 and good[0] else max(1, m)
+        k = int(use.searchsorted(m))
+        if k == 1:
+            c = symbol[0]
+            sa[free[c]] = source[0]
+            free[c] += 1 if forward else -1
+        elif k:
+            symbol, source = symbol[:k], source[:k]
+            order = symbol.argsort(kind="stable")
             symbol = symbol[order]
-            new = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1]))
-            counts = np.diff(np.append(new, k))
-            rank = np.arange(k) - np.repeat(new, counts)
+            first = np.empty(k, bool)
+            first[0] = True
+            np.not_equal(symbol[1:], symbol[:-1], out=first[1:])
+            new = first.nonzero()[0]
+            rank = _COUNT[:k] if k <= len(_COUNT) else np.arange(k)
+            rank = rank - new[first.cumsum() - 1]
+            heads = symbol[new]
             if forward:
-                sa[free[symbol] + rank] = entries[order]
-                free[symbol[new]] += counts
+                sa[free[symbol] + rank] = source[order]
             else:
-                sa[free[symbol] - rank] = entries[order]
-                free[symbol[new]] -= counts
+                sa[free[symbol] - rank] = source[order]
+            counts = np.empty(len(new), np.int64)
+            counts[:-1] = new[1:] - new[:-1]
+            counts[-1] = k - new[-1]
+            if forward:
+                free[heads] += counts
+            else:
+                free[heads] -= counts
         i += m
-        size = max(_FIRST_BLOCK, 2 * m)
+        size = max(_FIRST_BLOCK, min(2 * m, n))
 
 
 def _induce(text, smaller, starts, ends, lms: np.ndarray) -> np.ndarray:
     """All suffixes in order, from LMS suffixes that are in order within their first symbol."""
-    sa = np.full(len(text), -1, np.int64)
+    sa = np.full(len(text), -1, np.int32)  # a shard is far below 2^31 symbols
     symbol = text[lms]
     order = np.argsort(symbol, kind="stable")
     symbol = symbol[order]
@@ -76,44 +96,59 @@ def _induce(text, smaller, starts, ends, lms: np.ndarray) -> np.ndarray:
     return sa
 
 
-def _same_neighbours(text: np.ndarray, order: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Whether an LMS substring equals the one before it in ``order``."""
-    same = np.zeros(len(order), bool)
-    at = np.flatnonzero(length[1:] == length[:-1]) + 1
-    offset = 0
-    while len(at):
-        done = offset > length[at]
-        same[at[done]] = True
-        at = at[~done]
-        at = at[text[order[at] + offset] == text[order[at - 1] + offset]]
-        offset += 1
-    return same
+def _names(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """Ranks of the LMS substrings, each from its LMS position to the next one, both included.
+
+    Symbols are compared with their suffix's type, so that no substring begins another one; as many
+    as fit into 32 bits are compared at once, and only unequal-length rests go on.
+    """
+    symbols = 2 * text.astype(np.int64) + smaller
+    bits = int(symbols.max()).bit_length()
+    each = max(1, 32 // bits)
+    stop = np.append(lms[1:], lms[-1]) + 1
+    # A rank is the number of smaller substrings known so far; equal ranks are told apart further.
+    ranks, at = np.zeros(len(lms), np.int64), lms.copy()
+    tied = np.arange(len(lms))
+    while len(tied):
+        part = np.zeros(len(tied), np.int64)
+        for k in range(each):
+            place = at[tied] + k
+            inside = place < stop[tied]
+            part = (part << bits) | np.where(inside, symbols[np.minimum(place, len(text) - 1)], 0)
+        key = (ranks[tied] << (bits * each)) | part
+        order = key.argsort()
+        key, tied = key[order], tied[order]
+        old, count = ranks[tied], np.arange(len(tied))
+        group = np.append(True, old[1:] != old[:-1])
+        new = np.append(True, key[1:] != key[:-1])
+        ranks[tied] = old + np.maximum.accumulate(np.where(new, count, 0)) - np.maximum.accumulate(
+            np.where(group, count, 0))
+        at[tied] += each
+        alone = new & np.append(new[1:], True)
+        tied = tied[~alone & (at[tied] < stop[tied])]
+    present = np.zeros(len(lms), np.int64)
+    present[ranks] = 1
+    return (present.cumsum() - 1)[ranks]
 
 
 def induced_sort(text: np.ndarray) -> np.ndarray:
     """The suffix array of small integers whose last one is 0 and the only 0."""
     n = len(text)
     if n == 1:
-        return np.zeros(1, np.int64)
+        return np.zeros(1, np.int32)
+    # A stable sort of 16-bit symbols is a radix sort.
+    text = text.astype(np.uint16 if int(text.max()) < 1 << 16 else np.int32)
     smaller = _suffix_types(text)
     counts = np.bincount(text)
     ends = np.cumsum(counts)
-    starts = ends - counts
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
-    sa = _induce(text, smaller, starts, ends, lms)
-    is_lms = np.zeros(n, bool)
-    is_lms[lms] = True
-    order = sa[is_lms[sa]]
-    number = np.empty(n, np.int64)
-    number[lms] = np.arange(len(lms))
-    length = np.diff(np.append(lms, n - 1))[number[order]]
-    length[0] = -1  # the final 0 equals nothing
-    names_in_order = np.cumsum(~_same_neighbours(text, order, length)) - 1
-    if names_in_order[-1] + 1 < len(lms):
-        names = np.empty(len(lms), np.int64)
-        names[number[order]] = names_in_order
+    names = _names(text, smaller, lms)
+    if int(names.max()) + 1 < len(lms):
         order = lms[induced_sort(names)]
-    return _induce(text, smaller, starts, ends, order)
+    else:
+        order = np.empty(len(lms), np.int64)
+        order[names] = lms
+    return _induce(text, smaller, ends - counts, ends, order)
 
 
 def permuted_common_prefixes(
