@@ -36,6 +36,7 @@ PAIR_BITS = 20
 INTERPOLATION = 0.6
 ADDED = 0.1
 CHUNK = 1 << 13
+MAX_BROADCAST_IDS = 1_000_000
 SCORES = ("doc_id bigint, n_tokens bigint, target_loss double, background_loss double, "
           "score double")
 
@@ -94,7 +95,7 @@ def _counter(word_bits: int, pair_bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, size), np.int32)
-        for batch in batches:
+        for batch in (part for whole in batches for part in W.slices(whole, 0)):
             tokens = tokens_of(batch.column(0), word_bits, pair_bits)
             if not len(tokens.words):
                 continue
@@ -140,6 +141,10 @@ def train(docs: DataFrame, labels: DataFrame, *, word_bits: int = WORD_BITS,
         F.max(F.coalesce("quality", F.lit(0))).alias("_quality"),
         F.max(F.coalesce("toxic", F.lit(0))).alias("_toxic"))
     good = judged.filter("_quality = 1 AND _toxic = 0").select("_id", F.lit(True).alias("_good"))
+    # Ids are narrow and texts are not: below the bound texts stay where they are, beyond it both
+    # are shuffled.
+    if good.count() <= MAX_BROADCAST_IDS:
+        good = F.broadcast(good)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").join(
         good, "_id", "left").select("text", F.coalesce("_good", F.lit(False)).alias("target"))
     chunks = rows.mapInArrow(_counter(word_bits, pair_bits),
@@ -171,7 +176,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             columns, ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return arrow_map(rows, of, SCORES)
+    return arrow_map(rows, of, SCORES, text=1)
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
