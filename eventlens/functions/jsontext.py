@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SUMMARY_CHARS = 200
-RAW_CHARS = 500
-
-
 def kind(value: Column) -> Column:
     """VARIANT type name: STRING, BIGINT, DECIMAL(p,s), OBJECT<..>, VOID; null when missing."""
     return F.schema_of_variant(value)
@@ -29,13 +25,17 @@ def string_or_null(value: Column) -> Column:
 
 def serialize(envelope_id: Column, source: Column, entities: Column, ts_ms: Column,
               payload: Column) -> Column:
-    """Envelope as JSON text with sorted keys at every level."""
+    """Envelope as JSON text with sorted keys at every level.
+
+    A payload that is no JSON is carried as ``{"raw": text}``, so it is never lost.
+    """
     # Object keys of a VARIANT are kept sorted, so only this struct's order matters.
     return F.to_json(
         F.struct(
             entities.alias("entities"),
             envelope_id.alias("event_id"),
-            F.try_parse_json(payload).alias("payload"),
+            F.coalesce(F.try_parse_json(payload), F.parse_json(F.to_json(
+                F.when(payload.isNotNull(), F.struct(payload.alias("raw")))))).alias("payload"),
             source.alias("source"),
             ts_ms.alias("ts_ms"),
         ),
@@ -43,11 +43,15 @@ def serialize(envelope_id: Column, source: Column, entities: Column, ts_ms: Colu
     )
 
 
-def spaced_json(text: Column, limit: int) -> Column:
-    """The first ``limit`` characters of compact JSON text, written with a space
-    after each comma and colon and with non-ASCII characters escaped."""
+def _cut(text: Column, limit: int | None) -> Column:
+    return text if limit is None else F.substring(text, 1, limit)
+
+
+def spaced_json(text: Column, limit: int | None = None) -> Column:
+    """Compact JSON text written with a space after each comma and colon and with non-ASCII
+    characters escaped; its first ``limit`` characters if a limit is given."""
     # The result never gets shorter, so only the first `limit` characters matter.
-    head = F.substring(text, 1, limit)
+    head = _cut(text, limit)
     # Whole strings (an unfinished last one included) are skipped over, and \G
     # makes every match start where the previous one ended.
     spaced = F.regexp_replace(
@@ -66,9 +70,7 @@ def spaced_json(text: Column, limit: int) -> Column:
         )
 
     escaped = F.array_join(F.transform(F.split(spaced, ""), escape), "")
-    return F.substring(
-        F.when(spaced.rlike(r"[^\x00-\x7F]"), escaped).otherwise(spaced), 1, limit
-    )
+    return _cut(F.when(spaced.rlike(r"[^\x00-\x7F]"), escaped).otherwise(spaced), limit)
 
 
 def object_text(text: Column, value: Column) -> Column:
@@ -77,9 +79,10 @@ def object_text(text: Column, value: Column) -> Column:
     return value.isNotNull() & F.startswith(F.ltrim(text), F.lit("{"))
 
 
-def summary(payload: Column, value: Column | None = None) -> Column:
+def summary(payload: Column, value: Column | None = None, limit: int | None = None) -> Column:
     """One line a person can scan: a quote, a headline, or the payload itself.
 
+    ``limit`` bounds how much of a payload is shown; without it the payload is whole.
     ``value`` is the parsed payload where the caller already has it in a column.
     """
     if value is None:
@@ -103,13 +106,13 @@ def summary(payload: Column, value: Column | None = None) -> Column:
     titled = F.when(
         truthy("symbol"), F.concat(text("symbol"), F.lit(" · "), text("title"))
     ).otherwise(text("title"))
-    plain = F.substring(F.coalesce(value.cast("string"), payload), 1, SUMMARY_CHARS)
+    plain = _cut(F.coalesce(value.cast("string"), payload), limit)
     return (
         F.when(payload.isNull() | (F.trim(payload) == "null"), F.lit(""))
         .when(~object_text(payload, value), plain)
         .when(has("price") & has("symbol"), quote)
         .when(has("title") & truthy("title"), titled)
-        .otherwise(spaced_json(F.to_json(value), SUMMARY_CHARS))
+        .otherwise(spaced_json(F.to_json(value), limit))
     )
 
 

@@ -20,13 +20,19 @@ def event_date(ts_ms: Column) -> Column:
     return F.date_from_unix_date(_div(ts_ms, DAY_MS).cast("int"))
 
 
+def bounded(ts_ms: Column) -> Column:
+    """The time if a timestamp can hold it, else null."""
+    return F.when(ts_ms.between(MIN_TS_MS, MAX_TS_MS), ts_ms)
+
+
 def isotime(ts_ms: Column) -> Column:
-    return F.date_format(F.timestamp_millis(ts_ms), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.date_format(F.timestamp_millis(bounded(ts_ms)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def short_time(ts_ms: Column) -> Column:
     """``MM-DD HH:MM:SS``, or ``-`` without a time."""
-    return F.coalesce(F.date_format(F.timestamp_millis(ts_ms), "MM-dd HH:mm:ss"), F.lit("-"))
+    shown = F.date_format(F.timestamp_millis(bounded(ts_ms)), "MM-dd HH:mm:ss")
+    return F.coalesce(shown, F.lit("-"))
 
 
 def age(ms: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.config import window_ms
+from eventlens.settings import window_ms
 from eventlens.functions.times import event_date
 
 # Rows one side of a join block may hold, so a block compares at most CHUNK^2 pairs.

@@ -22,15 +22,18 @@ def latest_pairs(pairs: DataFrame, n: int = 10) -> DataFrame:
     return pairs.orderBy(F.desc("ts_ms"), "entity", "a_id", "b_id").limit(n)
 
 
-def store_view(df: DataFrame, n: int = 2000) -> DataFrame:
-    """The newest rows of a sink with ``dt`` as text, and a summary if there is a payload."""
+def stored(df: DataFrame) -> DataFrame:
+    """All rows of a sink with ``dt`` as text, and a summary if there is a payload."""
+    text_dt = F.col("dt").cast("string").alias("dt")
     if "payload" in df.columns:
-        newest = latest_raw(df, n).select("event_id", "source", "ts_ms", "payload", "dt")
-        return newest.withColumn("dt", F.col("dt").cast("string")).withColumn(
-            "summary", J.summary(F.col("payload"))
-        )
-    newest = latest_pairs(df, n).select("entity", "a_id", "b_id", "ts_ms", "dt")
-    return newest.withColumn("dt", F.col("dt").cast("string"))
+        return df.select("event_id", "source", "ts_ms", "payload", text_dt,
+                         J.summary(F.col("payload")).alias("summary"))
+    return df.select("entity", "a_id", "b_id", "ts_ms", text_dt)
+
+
+def store_view(df: DataFrame, n: int = 2000) -> DataFrame:
+    """The newest ``n`` rows of a sink, as a display lists them."""
+    return stored(latest_raw(df, n) if "payload" in df.columns else latest_pairs(df, n))
 
 
 def last_by_id(feed: DataFrame) -> DataFrame:
@@ -87,7 +90,7 @@ def peek(bus: DataFrame, topics: Sequence[str], n: int = 5) -> DataFrame:
         .filter(F.col("_rank") <= n)
     )
     text = F.col("value").cast("string")
-    raw = F.to_json(F.struct(F.substring(text, 1, J.RAW_CHARS).alias("raw")))
+    raw = F.to_json(F.struct(text.alias("raw")))
     return tail.select(
         "topic", "partition", "offset",
         header(F.col("headers"), ERROR_HEADER, last=True).alias("error"),

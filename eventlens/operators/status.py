@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlens.functions.times import interval_seconds
+from eventlens.functions.times import interval_seconds, bounded
 
 STALE_MS = 24 * 3_600_000
 
@@ -92,8 +92,11 @@ def source_status(registry: DataFrame, cursors: DataFrame, bus: DataFrame, now_m
 
 
 def advance_cursors(cursors: DataFrame, valid: DataFrame) -> DataFrame:
-    """Per source the largest time seen so far; a cursor never moves back."""
-    new = valid.select("source", F.col("ts_ms").alias("cursor_ms"))
+    """Per source the largest time seen so far; a cursor never moves back.
+
+    A time that no timestamp can hold does not count: it would stop its source for good.
+    """
+    new = valid.select("source", bounded(F.col("ts_ms")).alias("cursor_ms"))
     return (
         cursors.select("source", "cursor_ms").unionByName(new)
         .groupBy("source").agg(F.max("cursor_ms").alias("cursor_ms"))

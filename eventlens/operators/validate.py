@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import json
 
 from pyspark.sql import Column, DataFrame
@@ -64,6 +66,16 @@ def _envelope_problems(facts: _Facts) -> Column:
     )
 
 
+def _inside(at: str, name: str) -> str:
+    """The JSON path of a property, whatever characters are in its name."""
+    if re.fullmatch(r"[A-Za-z_]\w*", name):
+        return f"{at}.{name}"
+    if "'" in name and '"' in name:
+        raise ValueError(f"a property name with both quotes: {name}")
+    quote = '"' if "'" in name else "'"
+    return f"{at}[{quote}{name}{quote}]"
+
+
 def _payload_problems(facts: _Facts, schema: dict, at: str) -> list[Column]:
     """Message lists of the JSON-Schema subset ``type, required, properties, items``, for
     the value at the JSON path ``at``. Any other keyword raises while the plan is built.
@@ -83,13 +95,13 @@ def _payload_problems(facts: _Facts, schema: dict, at: str) -> list[Column]:
             ]))
         elif keyword == "required":
             out.append(_messages([
-                (_is(kind, "OBJECT") & facts.kind(f"{at}.{name}").isNull(),
+                (_is(kind, "OBJECT") & facts.kind(_inside(at, name)).isNull(),
                  F.lit(f"{name!r} is a required property"))
                 for name in rule
             ]))
         elif keyword == "properties":
             for name, sub in rule.items():
-                out.extend(_payload_problems(facts, sub, f"{at}.{name}"))
+                out.extend(_payload_problems(facts, sub, _inside(at, name)))
         elif keyword == "items":
             if set(rule) != {"type"}:
                 raise ValueError(f"unsupported items schema at {at}: {rule}")

@@ -95,7 +95,7 @@ def pairs_view() -> View:
 
 
 def stored_view() -> View:
-    """Over the newest stored raw rows (``store_view``)."""
+    """Over stored raw rows: all of them (``stored``) or the newest (``store_view``)."""
     return View(
         "stored",
         (_time(), _shown("source", F.col("source")), _shown("dt", F.col("dt").cast("string")),
@@ -141,9 +141,15 @@ def _text_of(view: View, key: str) -> Column:
 
 
 def order_view(df: DataFrame, view: View, key: str | None = None, desc: bool = True) -> DataFrame:
-    """Missing values come last ascending and first descending."""
-    value = (view.column(key or view.sort) or view.columns[0]).value
-    return df.orderBy(value.desc_nulls_first() if desc else value.asc_nulls_last())
+    """Missing values come last ascending and first descending.
+
+    Equal values are ordered by the view's other columns, which also lets the sort spread a value
+    that many rows share over tasks.
+    """
+    first = view.column(key or view.sort) or view.columns[0]
+    rest = [c.text for c in view.columns if c is not first]
+    value = first.value
+    return df.orderBy(value.desc_nulls_first() if desc else value.asc_nulls_last(), *rest)
 
 
 def group_view(df: DataFrame, view: View, key: str) -> DataFrame:

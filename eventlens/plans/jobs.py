@@ -10,17 +10,30 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.config import Config
 from eventlens.functions import jsontext as J
 from eventlens.functions import times
 from eventlens.operators import latest, status, validate, views
 from eventlens.operators.correlate import pairs
 from eventlens.registry import Registry, default_registry
+from eventlens.settings import Settings, session
 from eventlens.sources import bus as B
 from eventlens.sources import feeds, sinks
 from eventlens.streaming import repair
 from eventlens.streaming.pairs import stream_pairs
-from eventlens.streaming.sinks import raw_rows, start_pairs, start_raw, write_batch
+from eventlens.streaming.sinks import (
+    quarantine_rows,
+    raw_rows,
+    start_pairs,
+    start_quarantine,
+    start_raw,
+    write_batch,
+)
+
+# How far an event's time may lie after the record's arrival on the bus.
+AHEAD_MS = 24 * 3_600_000
+COMMANDS = ("ingest", "correlate", "backfill", "query", "status", "overview", "dlq", "sources")
+FEEDS = {"hn": feeds.hn_envelopes, "lobsters": feeds.lobsters_envelopes, "rss": feeds.rss_envelopes,
+         "news": feeds.news_envelopes, "stocks": feeds.stocks_envelopes}
 
 
 @dataclass(frozen=True)
@@ -30,18 +43,22 @@ class Ingested:
     cursors: DataFrame
 
 
-def ingest(envelopes: DataFrame, cursors: DataFrame, registry: Registry) -> Ingested:
+def ingest(envelopes: DataFrame, cursors: DataFrame, registry: Registry,
+           once: bool = False) -> Ingested:
     """New envelopes with entities filled in, checked and routed, and the moved cursors.
 
-    The checked rows feed three outputs. With a checkpoint folder they are computed once
-    and written there, which also survives a lost executor.
+    The checked rows feed three outputs. A caller who uses more than one of them sets ``once``:
+    they are then computed once, into the session's checkpoint folder, which also
+    survives a lost executor.
     """
     fresh = feeds.fill_entities(feeds.newer_than(envelopes, cursors), registry)
     valued = fresh.withColumn("value", J.serialize(*[
         F.col(c) for c in ("event_id", "source", "entities", "ts_ms", "payload")
     ]))
-    checked = validate.check(valued, registry)
-    if envelopes.sparkSession.sparkContext.getCheckpointDir() and not envelopes.isStreaming:
+    broken = F.col("payload").isNotNull() & F.try_parse_json("payload").isNull()
+    checked = validate.check(valued, registry).withColumn("problems", F.when(
+        broken, F.concat(F.array(F.lit("payload is not JSON")), "problems")).otherwise(F.col("problems")))
+    if once:
         checked = checked.checkpoint()
     good = checked.filter(F.size("problems") == 0)
     bad = checked.filter(F.size("problems") > 0).withColumn(
@@ -50,7 +67,7 @@ def ingest(envelopes: DataFrame, cursors: DataFrame, registry: Registry) -> Inge
     return Ingested(B.to_bus(good), B.to_dlq(bad), status.advance_cursors(cursors, good))
 
 
-def publish(ingested: Ingested, cfg: Config, spool_path: str | None = None) -> None:
+def publish(ingested: Ingested, cfg: Settings, spool_path: str | None = None) -> None:
     """Writes records and rejects to the bus; the rejects go to a spool if that fails."""
     B.write_bus(ingested.records, cfg)
     try:
@@ -65,28 +82,41 @@ def publish(ingested: Ingested, cfg: Config, spool_path: str | None = None) -> N
         B.write_spool(spooled, spool_path, str(err))
 
 
-def correlate(spark: SparkSession, bus: DataFrame, cfg: Config, available_now: bool = False):
-    """Starts both streaming sinks over a bus stream; returns (pairs query, raw query)."""
-    if cfg.hive_enabled:
+def correlate(spark: SparkSession, bus: DataFrame, cfg: Settings, available_now: bool = False):
+    """Starts the streaming sinks over a bus stream; returns (pairs, raw, quarantine) queries.
+
+    Rows that are no usable envelopes go to the quarantine with their text.
+    """
+    if cfg.tables.hive:
         repair.bootstrap_tables(spark, cfg)
         spark.streams.addListener(repair.RepairListener(
-            lambda: repair.repair_partitions(spark), cfg.repair_min_seconds
+            lambda: repair.repair_partitions(spark), cfg.tables.repair_seconds
         ))
-    envelopes = B.parse_envelopes(B.topic_filter(bus, cfg.topic_pattern), position=True)
-    paired = stream_pairs(envelopes, cfg.window, cfg.grid, cfg.hot_grid, cfg.hot_entities)
-    return (start_pairs(paired, cfg, available_now), start_raw(envelopes, cfg, available_now))
+    rows = B.topic_filter(bus, cfg.bus.topics)
+    envelopes = B.parse_envelopes(rows, position=True, ahead_ms=AHEAD_MS)
+    paired = stream_pairs(envelopes, cfg.join.window, cfg.join.hot_grid, cfg.join.hot_entities)
+    return (start_pairs(paired, cfg, available_now), start_raw(envelopes, cfg, available_now),
+            start_quarantine(rows, cfg, AHEAD_MS, available_now))
+
 
+def backfill(bus: DataFrame, cfg: Settings) -> None:
+    """The same sinks from all the bus holds, with the batch pair join.
 
-def backfill(bus: DataFrame, cfg: Config) -> None:
-    """The same two sinks from a batch of bus rows, with the batch pair join."""
-    envelopes = B.parse_envelopes(B.topic_filter(bus, cfg.topic_pattern))
-    write_batch(raw_rows(envelopes), cfg.raw_path, ["dt", "source"])
-    write_batch(pairs(envelopes, cfg.window), cfg.pairs_path, ["dt"])
+    The partitions it touches are written anew, so a second run changes nothing.
+    """
+    rows = B.topic_filter(bus, cfg.bus.topics)
+    envelopes = B.parse_envelopes(rows, ahead_ms=AHEAD_MS)
+    write_batch(raw_rows(envelopes), cfg.sinks.raw, ["dt", "source"], replace=True)
+    write_batch(pairs(envelopes, cfg.join.window), cfg.sinks.pairs, ["dt"], replace=True)
+    write_batch(quarantine_rows(rows, AHEAD_MS), cfg.sinks.place(sinks.QUARANTINE), ["dt"],
+                replace=True)
+    if cfg.tables.hive:
+        repair.bootstrap_tables(bus.sparkSession, cfg)
 
 
-def query(spark: SparkSession, cfg: Config, n: int = 10) -> tuple[DataFrame, DataFrame]:
+def query(spark: SparkSession, cfg: Settings, n: int = 10) -> tuple[DataFrame, DataFrame]:
     """The newest raw rows and the newest pairs, from tables or straight from Parquet."""
-    if cfg.hive_enabled:
+    if cfg.tables.hive:
         repair.bootstrap_tables(spark, cfg)
         raw = spark.table(sinks.RAW_TABLE).select("event_id", "source", "ts_ms", "dt")
         found = spark.table(sinks.PAIRS_TABLE)
@@ -97,7 +127,7 @@ def query(spark: SparkSession, cfg: Config, n: int = 10) -> tuple[DataFrame, Dat
 
 
 def status_report(spark: SparkSession, registry: Registry, cursors: DataFrame, bus: DataFrame,
-                  cfg: Config, now_ms: int) -> dict[str, DataFrame]:
+                  cfg: Settings, now_ms: int) -> dict[str, DataFrame]:
     """Sources with readable times, dead-letter depths, sink sizes."""
     configured = registry.frame(spark)
     rows = status.source_status(configured, cursors, bus, now_ms)
@@ -126,12 +156,17 @@ def dlq_report(spark: SparkSession, registry: Registry, bus: DataFrame, topic: s
 
 
 def overview(spark: SparkSession, registry: Registry, cursors: DataFrame, bus: DataFrame,
-             cfg: Config, now_ms: int, cap: int = 5000) -> dict[str, DataFrame]:
+             cfg: Settings, now_ms: int, cap: int = 5000) -> dict[str, DataFrame]:
     """Every frame the operations views show."""
     feed = B.decode_feed(B.topic_filter(bus, B.ALL_TOPICS))
     events, dead = latest.ring(feed, cap)
-    known = latest.last_by_id(events.select(*latest.ARRIVAL, "event_id", "ts_ms", "summary"))
     raw, found = sinks.read_raw(spark, cfg), sinks.read_pairs(spark, cfg)
+    shown = latest.store_view(found)
+    # Any event on the bus may be in a pair that is shown; only those are looked up.
+    ids = shown.select(F.explode(F.array("a_id", "b_id")).alias("event_id")).distinct()
+    known = latest.last_by_id(
+        feed.filter(~B.is_dead_letter()).join(ids, "event_id", "left_semi")
+        .select(*latest.ARRIVAL, "event_id", "ts_ms", "summary"))
     sources = status.source_status(registry.frame(spark), cursors, bus, now_ms)
     rates = status.rate(bus, now_ms // 1000)
     return {
@@ -139,12 +174,12 @@ def overview(spark: SparkSession, registry: Registry, cursors: DataFrame, bus: D
         "topics": status.topic_counts(bus),
         "rate": rates,
         "mean_rate": status.mean_rate(rates, now_ms // 1000),
-        "queries": sinks.query_progress(spark, cfg.checkpoint("").rstrip("/"), now_ms),
+        "queries": sinks.query_progress(spark, cfg.sinks.checkpoint_root, now_ms),
         "sinks": status.sink_overview(found, raw, sinks.sink_bytes(spark, cfg)),
         "stream": events,
         "dlq": dead,
         "stored": latest.store_view(raw),
-        "correlated": views.resolve_pairs(latest.store_view(found), known),
+        "correlated": views.resolve_pairs(shown, known),
     }
 
 
@@ -153,11 +188,20 @@ def list_sources(spark: SparkSession, registry: Registry) -> DataFrame:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``correlate``, ``backfill``, ``query``, ``status``, ``dlq [topic]`` or ``sources``."""
+    """``ingest FEED FOLDER``, ``correlate``, ``backfill``, ``query``, ``status``, ``overview``,
+    ``dlq [topic]`` or ``sources``.
+
+    ``ingest`` takes landed documents (Parquet with ``document``, for some feeds ``symbol`` and
+    ``ingest_ms``), sends what is newer than the stored cursors and stores the moved ones.
+    """
     args = sys.argv[1:] if argv is None else argv
     command = args[0] if args else "sources"
-    cfg = Config.from_env(os.environ)
-    spark = cfg.configure(SparkSession.builder.appName(f"eventlens-{command}")).getOrCreate()
+    if command not in COMMANDS or command == "ingest" and (len(args) != 3 or args[1] not in FEEDS):
+        print(main.__doc__, file=sys.stderr)
+        return 2
+    settings = Settings.read(os.environ)
+    spark = session(SparkSession.builder.appName(f"eventlens-{command}"), settings)
+    cfg = settings.on(spark.sparkContext.master)
     registry = default_registry()
     if command == "correlate":
         correlate(spark, B.read_bus_stream(spark, cfg), cfg)
@@ -167,23 +211,25 @@ def main(argv: list[str] | None = None) -> int:
     elif command == "query":
         for df in query(spark, cfg):
             df.show(truncate=False)
-    elif command in ("status", "dlq"):
+    elif command == "ingest":
+        sent = ingest(FEEDS[args[1]](spark.read.parquet(args[2])), sinks.read_cursors(spark, cfg),
+                      registry, once=spark.sparkContext.getCheckpointDir() is not None)
+        publish(sent, cfg, cfg.sinks.place("spool"))
+        sinks.append_cursors(sent.cursors, cfg)
+    elif command in ("status", "dlq", "overview"):
         bus = B.read_bus(spark, cfg, B.ALL_TOPICS)
         if command == "dlq":
             for df in dlq_report(spark, registry, bus, *args[1:2]):
                 df.show(truncate=False)
         else:
-            seen = B.parse_envelopes(B.topic_filter(bus))
-            cursors = status.advance_cursors(
-                spark.createDataFrame([], "source string, cursor_ms bigint"), seen)
-            now_ms = int(time.time() * 1000)
-            for df in status_report(spark, registry, cursors, bus, cfg, now_ms).values():
+            report = overview if command == "overview" else status_report
+            frames = report(spark, registry, sinks.read_cursors(spark, cfg), bus, cfg,
+                            int(time.time() * 1000))
+            for name, df in frames.items():
+                print(name)
                 df.show(truncate=False)
-    elif command == "sources":
-        list_sources(spark, registry).show(truncate=False)
     else:
-        print(main.__doc__, file=sys.stderr)
-        return 2
+        list_sources(spark, registry).show(truncate=False)
     return 0
 
 

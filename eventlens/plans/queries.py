@@ -8,7 +8,6 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.config import Config
 from eventlens.functions import entities as E
 from eventlens.functions import jsontext as J
 from eventlens.functions import times as T
@@ -20,6 +19,7 @@ from eventlens.operators import views
 from eventlens.plans import jobs
 from eventlens.plans import workload as W
 from eventlens.registry import Registry, Source
+from eventlens.settings import Settings
 from eventlens.sources import bus as B
 from eventlens.sources import feeds, sinks
 from eventlens.streaming import sinks as K
@@ -128,7 +128,7 @@ def unparsed(spark, sf_dir):
 
 
 def _hn_documents(spark, sf_dir):
-    return W.spread(W.table(spark, sf_dir, "documents")).select(F.to_json(F.struct(
+    return W.table(spark, sf_dir, "documents").select(F.to_json(F.struct(
         c("doc_id").alias("id"),
         F.when(c("doc_id") % 4 == 0, "job").otherwise("story").alias("type"),
         (c("doc_id") * 60 + 1_700_000_000).alias("time"),
@@ -166,7 +166,7 @@ def _lobsters_documents(spark, sf_dir):
         c("n_chars").alias("score")))
     stories = F.concat(F.lit("["), story, F.lit(',"not a story",null,'), late, F.lit("]"))
     other = F.lit('{"error": "rate limited"}')
-    return W.spread(W.table(spark, sf_dir, "documents")).select(
+    return W.table(spark, sf_dir, "documents").select(
         F.when(c("doc_id") % 10 == 0, other).otherwise(stories).alias("document"))
 
 
@@ -194,7 +194,7 @@ def _escaped(text: Column) -> Column:
 def _xml_documents(spark, sf_dir):
     at = F.timestamp_seconds(c("doc_id") * 60 + 1_700_000_000)
     link = F.concat(F.lit("https://example.com/"), c("doc_id"))
-    return W.spread(W.table(spark, sf_dir, "documents")).select(
+    return W.table(spark, sf_dir, "documents").select(
         F.upper("lang").alias("symbol"),
         (c("doc_id") * 1000 + 1_800_000_000_000).alias("ingest_ms"),
         F.when(c("doc_id") % 20 == 0, F.lit("<rss><channel><item>")).otherwise(F.concat(
@@ -245,7 +245,7 @@ def stocks_envelopes(spark, sf_dir):
     ))
     quote = F.concat(F.lit('{"chart":{"result":[{"meta":'), meta, F.lit("}]}}"))
     empty = F.lit('{"chart":{"result":[]}}')
-    docs = W.spread(W.table(spark, sf_dir, "events")).select(
+    docs = W.table(spark, sf_dir, "events").select(
         F.concat(F.lit("U"), c("user_id")).alias("symbol"),
         F.when(kind == 0, empty).otherwise(quote).alias("document"),
         (c("event_id") + 1_800_000_000_000).alias("ingest_ms"))
@@ -301,7 +301,7 @@ def per_entity(spark, sf_dir):
 
 @query("""SELECT doc_id, md5(text || ' ' || source) AS digest FROM documents""")
 def entity_text(spark, sf_dir):
-    docs = W.spread(W.table(spark, sf_dir, "documents"))
+    docs = W.table(spark, sf_dir, "documents")
     payload = F.to_json(F.struct(c("text").alias("title"), c("source").alias("url"), "lang"))
     return docs.select(
         "doc_id", F.md5(E.entity_text(payload, ["title", "absent", "url"])).alias("digest"))
@@ -318,7 +318,7 @@ def _title() -> Column:
 
 @query(f"SELECT event_id, {_first_seen(_CASHTAGS.format(_TITLE))} AS tags FROM events")
 def cashtags(spark, sf_dir):
-    events = W.spread(W.table(spark, sf_dir, "events"))
+    events = W.table(spark, sf_dir, "events")
     return events.select("event_id", F.array_join(E.cashtags(_title()), " ").alias("tags"))
 
 
@@ -333,7 +333,7 @@ _WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 SELECT doc_id, md5({_first_seen('tokens')}) AS digest FROM t""")
 def symbol_tokens(spark, sf_dir):
     found = F.array_join(E.symbol_tokens(c("text")), " ")
-    return W.spread(W.table(spark, sf_dir, "documents")).select("doc_id", F.md5(found).alias("digest"))
+    return W.table(spark, sf_dir, "documents").select("doc_id", F.md5(found).alias("digest"))
 
 
 _STOP = ", ".join(f"'{w}'" for w in E.STOP_WORDS)
@@ -348,7 +348,7 @@ SELECT doc_id, md5(CASE WHEN len(tags) > 0 THEN {_first_seen('tags')}
  ELSE {_first_seen('bare')} END) AS digest FROM t""")
 def tickers(spark, sf_dir):
     found = F.array_join(E.tickers(c("text")), " ")
-    return W.spread(W.table(spark, sf_dir, "documents")).select("doc_id", F.md5(found).alias("digest"))
+    return W.table(spark, sf_dir, "documents").select("doc_id", F.md5(found).alias("digest"))
 
 
 @query(f"""WITH t AS (SELECT doc_id, list_filter(list_transform(string_split(text, '.'),
@@ -357,12 +357,12 @@ FROM documents)
 SELECT doc_id, md5({_first_seen('parts')}) AS digest FROM t""")
 def normalize_entities(spark, sf_dir):
     parts = E.normalize_entities(F.split("text", r"\."))
-    return W.spread(W.table(spark, sf_dir, "documents")).select(
+    return W.table(spark, sf_dir, "documents").select(
         "doc_id", F.md5(F.array_join(parts, " ")).alias("digest"))
 
 
 def _titled(spark, sf_dir):
-    return W.spread(W.table(spark, sf_dir, "events")).select(
+    return W.table(spark, sf_dir, "events").select(
         F.concat_ws(":", "event_type", c("event_id").cast("string")).alias("event_id"),
         c("event_type").alias("source"),
         F.array(F.lit("PREFILLED")).alias("entities"),
@@ -410,7 +410,7 @@ def summary(spark, sf_dir):
         .when(kind == 5, F.concat(F.lit('{"price":7,"currency":null,"symbol":"'), user,
                                   F.lit('"}')))
     )
-    return W.spread(W.table(spark, sf_dir, "events")).select("event_id", J.summary(payload).alias("summary"))
+    return W.table(spark, sf_dir, "events").select("event_id", J.summary(payload).alias("summary"))
 
 
 @query("""SELECT event_id, CASE
@@ -427,7 +427,7 @@ FROM (SELECT event_id, event_id * event_id * event_id * 8 AS b FROM events)""")
 def readable_texts(spark, sf_dir):
     n = c("event_id")
     unit = F.element_at(F.array(F.lit("s"), F.lit("m"), F.lit("h")), (n % 3 + 1).cast("int"))
-    return W.spread(W.table(spark, sf_dir, "events")).select(
+    return W.table(spark, sf_dir, "events").select(
         "event_id", T.age(n * 4567).alias("age"),
         T.interval_seconds(F.concat((n % 100).cast("string"), unit)).alias("interval_s"),
         J.human_bytes(n * n * n * 8).alias("size"))
@@ -447,7 +447,7 @@ def headers(spark, sf_dir):
         .otherwise(F.array(one("other", user), one(B.ERROR_HEADER, c("event_type")),
                            one(B.ERROR_HEADER, user)))
     )
-    return W.spread(W.table(spark, sf_dir, "events")).select(
+    return W.table(spark, sf_dir, "events").select(
         "event_id", B.header(made, B.ERROR_HEADER).alias("first_error"),
         B.header(made, B.ERROR_HEADER, last=True).alias("last_error"))
 
@@ -489,7 +489,7 @@ def _mutated(spark, sf_dir):
         F.lit("}"),
     )
     value = F.when(kind == 7, F.concat(F.lit("not json "), c("event_id").cast("string")))
-    return W.spread(W.table(spark, sf_dir, "events")).select("event_id", value.otherwise(whole).alias("value"))
+    return W.table(spark, sf_dir, "events").select("event_id", value.otherwise(whole).alias("value"))
 
 
 _PROBLEMS = """mut AS (SELECT event_id, event_type, event_id % 13 AS kind, CASE event_id % 13
@@ -558,18 +558,16 @@ def pairs_of_copies(spark, sf_dir):
     return _text_dt(C.pairs(rows.unionByName(rows)))
 
 
-def _scratch(spark: SparkSession, label: str) -> Config:
+def _scratch(spark: SparkSession, label: str) -> Settings:
     base = sinks.scratch_dir(spark, label)
-    return replace(Config(), sink_dir=base, checkpoint_dir=f"{base}/checkpoints")
+    return Settings.at(base)
 
 
 def _bus_stream(spark, sf_dir):
     """The events file read as a stream and turned into bus rows."""
     events = W.table(spark, sf_dir, "events")
-    stream = (
-        spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    # A stream source lists folders: the pattern finds the table as a folder and as a single file.
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
     return W.bus_rows(stream)
 
 
@@ -605,6 +603,61 @@ def backfill(spark, sf_dir):
     return S.sink_totals(sinks.read_pairs(spark, cfg), sinks.read_raw(spark, cfg))
 
 
+def _odd_bus(spark, sf_dir):
+    """The bus with times that no timestamp holds, times far ahead, and rows that are no JSON."""
+    rows = W.bus(spark, sf_dir)
+    ts = F.get_json_object(F.col("value").cast("string"), "$.ts_ms")
+    n = F.col("offset") * 6 + F.col("partition")
+    text = F.col("value").cast("string")
+
+    def at(time: str) -> Column:
+        return F.replace(text, F.concat(F.lit('"ts_ms":'), ts), F.lit(f'"ts_ms":{time}'))
+
+    odd = (F.when(n % 11 == 0, at("9000000000000000000")).when(n % 13 == 0, at("-9000000000000000000"))
+           .when(n % 17 == 0, at("253402300799000")).when(n % 19 == 0, F.lit("no json")).otherwise(text))
+    return rows.withColumn("value", odd.cast("binary"))
+
+
+_ODD = f"""{BUS}, odd AS (SELECT *, n % 11 = 0 OR n % 13 = 0 AS beyond, n % 17 = 0 AS ahead,
+n % 11 != 0 AND n % 13 != 0 AND n % 17 != 0 AND n % 19 = 0 AS broken FROM bus
+WHERE topic NOT LIKE '%.dlq')"""
+
+
+@query(f"""WITH {_ODD} SELECT 'quarantined' AS kind, count(*) AS n, count(DISTINCT n) AS texts FROM odd
+WHERE beyond OR ahead OR broken
+UNION ALL SELECT 'stored', count(*), count(DISTINCT n) FROM odd
+WHERE NOT (beyond OR ahead OR broken) AND len(entities) = 0""")
+def backfill_accounts_for_all(spark, sf_dir):
+    """Run twice: the second run has to leave the sinks as they are."""
+    cfg = _scratch(spark, "accounts")
+    for _ in range(2):
+        jobs.backfill(_odd_bus(spark, sf_dir), cfg)
+    held = sinks.read_quarantine(spark, cfg).select(F.lit("quarantined").alias("kind"), F.concat_ws(
+        ":", "topic", c("partition").cast("string"), c("offset").cast("string")).alias("id"))
+    stored = sinks.read_raw(spark, cfg).select(F.lit("stored").alias("kind"), c("event_id").alias("id"))
+    return held.union(stored).groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("texts"))
+
+
+@query(f"""WITH {_ODD} SELECT CASE WHEN beyond OR broken THEN '-' WHEN ahead THEN '12-31'
+ELSE strftime(make_timestamp(ts_ms * 1000), '%m-%d') END AS group_key, count(*) AS n
+FROM odd GROUP BY group_key""")
+def group_odd_times_by_day(spark, sf_dir):
+    feed = B.decode_feed(B.topic_filter(_odd_bus(spark, sf_dir)))
+    return views.group_view(feed, views.stream_view(), "day")
+
+
+@query(f"""WITH {_ODD} SELECT source, max(CASE WHEN ahead AND NOT beyond THEN 253402300799000
+WHEN NOT beyond AND NOT broken THEN ts_ms END) AS cursor_ms FROM odd GROUP BY source""")
+def advance_cursors_past_odd_times(spark, sf_dir):
+    none = spark.createDataFrame([], sinks.CURSOR_SCHEMA)
+    v = F.try_parse_json(c("value").cast("string"))
+    rows = B.topic_filter(_odd_bus(spark, sf_dir)).select(
+        F.split_part("topic", F.lit("."), F.lit(2)).alias("source"),
+        F.try_variant_get(v, "$.ts_ms", "bigint").alias("ts_ms"))
+    return S.advance_cursors(none, rows)
+
+
 # How many bytes a sink takes is the writer's affair, so only their presence is compared.
 @query(_SINK_TOTALS.replace("AS last_ts_ms FROM", "AS last_ts_ms, 'yes' AS has_bytes FROM")
        .replace("max(ts_ms) FROM env", "max(ts_ms), 'yes' FROM env"))
@@ -622,7 +675,7 @@ def query_progress(spark, sf_dir):
     cfg = _scratch(spark, "progress")
     envelopes = B.parse_envelopes(_bus_stream(spark, sf_dir))
     K.start_raw(envelopes, cfg, available_now=True).awaitTermination()
-    return sinks.query_progress(spark, cfg.checkpoint_dir, 0).select(
+    return sinks.query_progress(spark, cfg.sinks.checkpoint_root, 0).select(
         "query", "planned", "committed", F.when(c("running"), "yes").otherwise("no").alias("running"))
 
 
@@ -802,7 +855,7 @@ def peek(spark, sf_dir):
     return tail.select("topic", "offset", "error", number.cast("bigint").alias("n"))
 
 
-def _over_views(spark: SparkSession, cfg: Config, statement: str) -> DataFrame:
+def _over_views(spark: SparkSession, cfg: Settings, statement: str) -> DataFrame:
     """A statement over the sinks' views, which are gone again once it is resolved."""
     sinks.register_views(spark, cfg)
     df = spark.sql(statement)
@@ -815,7 +868,7 @@ def _over_views(spark: SparkSession, cfg: Config, statement: str) -> DataFrame:
 WHERE len(entities) = 0 AND source = 'view'""")
 def sql_by_source(spark, sf_dir):
     cfg = _scratch(spark, "sql")
-    K.write_batch(K.raw_rows(W.envelopes(spark, sf_dir)), cfg.raw_path, ["dt", "source"])
+    K.write_batch(K.raw_rows(W.envelopes(spark, sf_dir)), cfg.sinks.raw, ["dt", "source"])
     return _over_views(spark, cfg, "SELECT event_id, source, ts_ms FROM events_raw "
                        "WHERE source = 'view'")
 
@@ -824,7 +877,7 @@ def sql_by_source(spark, sf_dir):
 WHERE a_id LIKE '%click%' ORDER BY {DAY} DESC""")
 def sql_pairs_by_id(spark, sf_dir):
     cfg = _scratch(spark, "sql")
-    K.write_batch(C.pairs(W.envelopes(spark, sf_dir)), cfg.pairs_path, ["dt"])
+    K.write_batch(C.pairs(W.envelopes(spark, sf_dir)), cfg.sinks.pairs, ["dt"])
     return _over_views(spark, cfg, "SELECT entity, a_id, b_id, ts_ms FROM correlated "
                        "WHERE a_id LIKE '%click%' ORDER BY dt DESC")
 
@@ -906,14 +959,13 @@ for _key, _expr in {
 
 
 def _stored(spark, sf_dir):
-    return L.store_view(K.raw_rows(W.envelopes(spark, sf_dir)))
+    return L.stored(K.raw_rows(W.envelopes(spark, sf_dir)))
 
 
 for _key, _expr in {"source": "source", "dt": DAY}.items():
     _group_query(
         f"group_stored_by_{_key}", _group(views.stored_view, _key, _stored),
-        f"""WITH {ENV}, stored AS (SELECT * FROM env WHERE len(entities) = 0
-ORDER BY ts_ms DESC, event_id LIMIT 2000), g AS (SELECT {_expr} AS group_key FROM stored)
+        f"""WITH {ENV}, stored AS (SELECT * FROM env WHERE len(entities) = 0), g AS (SELECT {_expr} AS group_key FROM stored)
 SELECT group_key, count(*) AS n FROM g GROUP BY group_key""")
 
 
@@ -996,11 +1048,11 @@ def dlq_report_of_topic(spark, sf_dir):
 
 
 @query(f"""{_RESOLVED}, newest AS (SELECT * FROM pairs ORDER BY ts_ms DESC, entity, a_id, b_id
-LIMIT 2000), ring AS (SELECT * FROM known ORDER BY {_ARRIVAL} LIMIT 5000)
-{_INDEX.replace('FROM pairs p', 'FROM newest p').replace('JOIN known', 'JOIN ring')}""")
+LIMIT 2000)
+{_INDEX.replace('FROM pairs p', 'FROM newest p')}""")
 def overview_correlated(spark, sf_dir):
     cfg = _scratch(spark, "view")
-    K.write_batch(C.pairs(W.envelopes(spark, sf_dir)), cfg.pairs_path, ["dt"])
+    K.write_batch(C.pairs(W.envelopes(spark, sf_dir)), cfg.sinks.pairs, ["dt"])
     frames = jobs.overview(spark, W.registry(), _cursors(spark, sf_dir), W.bus(spark, sf_dir),
                            cfg, _NOW_MS)
     return frames["correlated"].drop("dt")

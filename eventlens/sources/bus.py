@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlens.config import Config
 from eventlens.functions import jsontext as J
 from eventlens.functions.once import with_once
-from eventlens.functions.times import MAX_TS_MS, MIN_TS_MS
+from eventlens.functions.times import MAX_TS_MS, MIN_TS_MS, bounded
+from eventlens.settings import EVENT_TOPICS, Settings
 
 ERROR_HEADER = "eventlens.error"
 ALL_TOPICS = r"events\..+"
@@ -36,54 +36,65 @@ BUS = T.StructType([
 ])
 
 
-def kafka_options(cfg: Config, pattern: str | None = None) -> dict[str, str]:
+def kafka_options(cfg: Settings, pattern: str | None = None) -> dict[str, str]:
     return {
-        "kafka.bootstrap.servers": cfg.bootstrap,
-        "subscribePattern": pattern or cfg.topic_pattern,
-        "startingOffsets": cfg.starting_offsets,
+        "kafka.bootstrap.servers": cfg.bus.servers,
+        "subscribePattern": pattern or cfg.bus.topics,
+        "startingOffsets": cfg.bus.start,
         "includeHeaders": "true",
     }
 
 
-def read_bus_stream(spark: SparkSession, cfg: Config, pattern: str | None = None) -> DataFrame:
-    return spark.readStream.format("kafka").options(**kafka_options(cfg, pattern)).load()
+def stream_options(cfg: Settings, pattern: str | None = None) -> dict[str, str]:
+    """Reading options with a bound on a batch, and on how few tasks read it."""
+    options = kafka_options(cfg, pattern) | {"maxOffsetsPerTrigger": str(cfg.bus.batch_rows)}
+    return options | ({"minPartitions": str(cfg.bus.tasks)} if cfg.bus.tasks else {})
 
 
-def read_bus(spark: SparkSession, cfg: Config, pattern: str | None = None) -> DataFrame:
+def read_bus_stream(spark: SparkSession, cfg: Settings, pattern: str | None = None) -> DataFrame:
+    return spark.readStream.format("kafka").options(**stream_options(cfg, pattern)).load()
+
+
+def read_bus(spark: SparkSession, cfg: Settings, pattern: str | None = None) -> DataFrame:
     """Everything the topics hold now, as a batch frame (status, views, backfill)."""
     options = kafka_options(cfg, pattern) | {"startingOffsets": "earliest"}
     return spark.read.format("kafka").options(**options).load()
 
 
-def topic_filter(bus: DataFrame, pattern: str = Config.topic_pattern) -> DataFrame:
+def topic_filter(bus: DataFrame, pattern: str = EVENT_TOPICS) -> DataFrame:
     """Rows whose whole topic name matches; the default leaves dead-letter topics out."""
     return bus.filter(F.col("topic").rlike(f"^(?:{pattern})$"))
 
 
-def parse_envelopes(bus: DataFrame, position: bool = False) -> DataFrame:
+def parse_envelopes(bus: DataFrame, position: bool = False, ahead_ms: int | None = None) -> DataFrame:
     """Envelopes of a bus frame; rows without an id or a usable time are left out.
 
     A time outside the years 1 to 9999 would overflow timestamp arithmetic and stop a
-    stream, so it counts as unusable; ``unparsed`` returns those rows. ``position`` adds
+    stream, so it counts as unusable; ``unparsed`` returns those rows. So does a time that is more
+    than ``ahead_ms`` after the record reached the bus: it would move a stream's watermark
+    past all other events. ``position`` adds
     a hash of the row's place on the bus, which tells copies of an envelope apart.
     """
     e = F.from_json(F.col("value").cast("string"), ENVELOPE)
     extra = [F.xxhash64("topic", "partition", "offset").alias("position")] if position else []
-    rows = with_once(bus.select("value", *extra), "e", e)
-    return rows.select("e.*", *rows.columns[1:-1]).filter(_usable())
+    arrived = [] if ahead_ms is None else ["timestamp"]
+    rows = with_once(bus.select("value", *arrived, *extra), "e", e)
+    return rows.filter(_usable("e.", ahead_ms)).select("e.*", *(["position"] if position else []))
 
 
-def unparsed(bus: DataFrame) -> DataFrame:
+def unparsed(bus: DataFrame, ahead_ms: int | None = None) -> DataFrame:
     """Bus rows that ``parse_envelopes`` drops, unchanged."""
     e = F.from_json(F.col("value").cast("string"), ENVELOPE)
     rows = with_once(bus, "_e", e)
-    return rows.filter(~F.coalesce(_usable("_e."), F.lit(False))).drop("_e")
+    return rows.filter(~F.coalesce(_usable("_e.", ahead_ms), F.lit(False))).drop("_e")
 
 
-def _usable(prefix: str = "") -> Column:
-    return F.col(f"{prefix}event_id").isNotNull() & F.col(f"{prefix}ts_ms").between(
-        MIN_TS_MS, MAX_TS_MS
-    )
+def _usable(prefix: str, ahead_ms: int | None) -> Column:
+    ts_ms = F.col(f"{prefix}ts_ms")
+    usable = F.col(f"{prefix}event_id").isNotNull() & ts_ms.between(MIN_TS_MS, MAX_TS_MS)
+    if ahead_ms is not None:
+        usable &= F.coalesce(ts_ms <= F.unix_millis("timestamp") + ahead_ms, F.lit(True))
+    return usable
 
 
 def bus_topic(source: Column) -> Column:
@@ -152,8 +163,8 @@ def header(headers: Column, name: str, last: bool = False) -> Column:
     return F.when(F.size(found) > 0, F.coalesce(hit["value"].cast("string"), F.lit("None")))
 
 
-def write_bus(records: DataFrame, cfg: Config) -> None:
-    records.write.format("kafka").option("kafka.bootstrap.servers", cfg.bootstrap).save()
+def write_bus(records: DataFrame, cfg: Settings) -> None:
+    records.write.format("kafka").option("kafka.bootstrap.servers", cfg.bus.servers).save()
 
 
 def write_spool(rejects: DataFrame, path: str, dlq_error: str) -> None:
@@ -168,13 +179,16 @@ def write_spool(rejects: DataFrame, path: str, dlq_error: str) -> None:
     ).select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(path)
 
 
-def decode_feed(bus: DataFrame) -> DataFrame:
+def decode_feed(bus: DataFrame, summary_chars: int | None = None) -> DataFrame:
     """Every bus row as something showable, broken values included.
 
+    Texts are whole unless a display bounds its summaries by ``summary_chars``; a time that no
+    timestamp can hold is null.
+
     ``error`` is filled for dead-letter rows only. ``seq`` orders rows by arrival.
     """
     text, v = F.col("value").cast("string"), F.col("_v")
-    raw = F.struct(F.substring(text, 1, J.RAW_CHARS).alias("raw"))
+    raw = F.struct(text.alias("raw"))
     body = F.when(J.object_text(text, v), J.field(v, "$.payload")).otherwise(
         F.parse_json(F.to_json(raw)))
     own_source = J.string_or_null(J.field(v, "$.source"))
@@ -185,7 +199,7 @@ def decode_feed(bus: DataFrame) -> DataFrame:
                    F.split_part(F.col("topic"), F.lit("."), F.lit(2))).alias("source"),
         F.coalesce(F.try_variant_get(v, "$.entities", "array<string>"),
                    F.array().cast("array<string>")).alias("entities"),
-        F.try_variant_get(v, "$.ts_ms", "bigint").alias("ts_ms"),
+        bounded(F.try_variant_get(v, "$.ts_ms", "bigint")).alias("ts_ms"),
         F.when(is_dead_letter(), header(F.col("headers"), ERROR_HEADER)).alias("error"),
         body.alias("_body"),
     )
@@ -194,7 +208,7 @@ def decode_feed(bus: DataFrame) -> DataFrame:
     shown = shown.withColumn("payload", F.when(payload != "null", payload))
     return shown.select(
         "topic", "partition", "offset", "timestamp", "event_id", "source", "entities", "ts_ms",
-        "payload", "error", J.summary(F.col("payload"), F.col("_body")).alias("summary"),
+        "payload", "error", J.summary(F.col("payload"), F.col("_body"), summary_chars).alias("summary"),
     )
 
 

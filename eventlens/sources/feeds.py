@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions import jsontext as J
 from eventlens.functions.entities import entity_text, normalize_entities
+from eventlens.functions.once import with_once
 from eventlens.functions.times import rfc2822_ms
 from eventlens.registry import Registry
 
@@ -19,14 +20,14 @@ from eventlens.registry import Registry
 def hn_envelopes(items: DataFrame) -> DataFrame:
     """One story item per document; other item types are left out."""
     v = F.col("_v")
-    stories = items.withColumn("_v", F.try_parse_json("document")).filter(
-        F.try_variant_get(v, "$.type", "string") == "story"
-    )
+    # The filter must not be pushed below the parsing, which would then be done twice.
+    parsed = with_once(items.select("document"), "_v", F.try_parse_json("document"))
+    stories = parsed.filter(F.try_variant_get(v, "$.type", "string") == "story")
     return _envelopes(
         stories,
         "hn",
         F.concat(F.lit("hn:"), F.try_variant_get(v, "$.id", "string")),
-        F.try_variant_get(v, "$.time", "bigint") * 1000,
+        F.try_multiply(F.try_variant_get(v, "$.time", "bigint"), F.lit(1000)),
         {name: J.field(v, f"$.{name}") for name in ("title", "url", "score")},
     )
 
@@ -109,8 +110,9 @@ def news_envelopes(docs: DataFrame, ingest_ms: str = "ingest_ms") -> DataFrame:
 def stocks_envelopes(docs: DataFrame, ingest_ms: str = "ingest_ms") -> DataFrame:
     """The first quote of a chart document; without a price there is no event."""
     meta = F.col("_meta")
-    quotes = docs.withColumn(
-        "_meta", F.try_variant_get(F.try_parse_json("document"), "$.chart.result[0].meta", "variant")
+    quotes = with_once(
+        docs, "_meta",
+        F.try_variant_get(F.try_parse_json("document"), "$.chart.result[0].meta", "variant")
     ).withColumn("_price", F.try_variant_get(meta, "$.regularMarketPrice", "double"))
     seconds = F.try_variant_get(meta, "$.regularMarketTime", "double")
     ts_ms = F.coalesce((seconds * 1000).try_cast("bigint"), F.col(ingest_ms))

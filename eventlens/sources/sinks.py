@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlens.config import Config
+from eventlens.settings import Settings
+
 
 RAW_SCHEMA = ("event_id string, entities array<string>, ts_ms bigint, payload string, "
               "dt date, source string")
@@ -18,6 +20,12 @@ RAW_TABLE = "events_raw"
 PAIRS_TABLE = "correlated"
 
 
+CURSORS, QUARANTINE = "cursors", "quarantine"
+CURSOR_SCHEMA = "source string, cursor_ms bigint"
+QUARANTINE_SCHEMA = ("topic string, partition int, offset bigint, timestamp timestamp, value string, "
+                     "dt date")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path (or a glob) matches anything on its file system."""
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -28,9 +36,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder the session names for checkpoints."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a shared folder")
+        base = tempfile.mkdtemp(prefix="scratch-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -45,15 +55,31 @@ def read_sink(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_raw(spark: SparkSession, cfg: Config) -> DataFrame:
-    return read_sink(spark, cfg.raw_path, RAW_SCHEMA)
+def read_raw(spark: SparkSession, cfg: Settings) -> DataFrame:
+    return read_sink(spark, cfg.sinks.raw, RAW_SCHEMA)
+
+
+def read_pairs(spark: SparkSession, cfg: Settings) -> DataFrame:
+    return read_sink(spark, cfg.sinks.pairs, PAIRS_SCHEMA)
+
+
+def read_quarantine(spark: SparkSession, cfg: Settings) -> DataFrame:
+    """Bus rows that are no envelopes, with their text as it came."""
+    return read_sink(spark, cfg.sinks.place(QUARANTINE), QUARANTINE_SCHEMA)
+
+
+def read_cursors(spark: SparkSession, cfg: Settings) -> DataFrame:
+    """How far each source has been sent. Each run appends its rows; the furthest one counts."""
+    rows = read_sink(spark, cfg.sinks.place(CURSORS), CURSOR_SCHEMA)
+    return rows.groupBy("source").agg(F.max("cursor_ms").alias("cursor_ms"))
 
 
-def read_pairs(spark: SparkSession, cfg: Config) -> DataFrame:
-    return read_sink(spark, cfg.pairs_path, PAIRS_SCHEMA)
+def append_cursors(cursors: DataFrame, cfg: Settings) -> None:
+    cursors.select("source", "cursor_ms").coalesce(1).write.mode("append").parquet(
+        cfg.sinks.place(CURSORS))
 
 
-def register_views(spark: SparkSession, cfg: Config) -> None:
+def register_views(spark: SparkSession, cfg: Settings) -> None:
     """Temp views over the sinks, for plain SQL where there is no catalog."""
     read_raw(spark, cfg).createOrReplaceTempView(RAW_TABLE)
     read_pairs(spark, cfg).createOrReplaceTempView(PAIRS_TABLE)
@@ -70,13 +96,13 @@ def file_listing(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def sink_bytes(spark: SparkSession, cfg: Config) -> DataFrame:
+def sink_bytes(spark: SparkSession, cfg: Settings) -> DataFrame:
     """sink, bytes: 0 for a sink that was never written."""
     names = spark.createDataFrame([(PAIRS_TABLE,), (RAW_TABLE,)], "sink string")
     # The sink is the folder right below the sink root, in whatever form the path is shown.
     sink = F.regexp_extract("path", f"/({PAIRS_TABLE}|{RAW_TABLE})/", 1)
     sizes = (
-        file_listing(spark, [cfg.pairs_path, cfg.raw_path])
+        file_listing(spark, [cfg.sinks.pairs, cfg.sinks.raw])
         .groupBy(sink.alias("sink")).agg(F.sum("length").alias("bytes"))
     )
     return names.join(sizes, "sink", "left").select(

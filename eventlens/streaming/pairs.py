@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.config import window_ms
 from eventlens.functions.times import event_date, event_time
 from eventlens.operators.correlate import per_entity
+from eventlens.settings import window_ms
 
 
 def with_event_time(envelopes: DataFrame, window: str) -> DataFrame:
@@ -18,44 +18,46 @@ def with_event_time(envelopes: DataFrame, window: str) -> DataFrame:
     )
 
 
-def stream_pairs(envelopes: DataFrame, window: str = "10 minutes", grid: int = 2,
-                 hot_grid: int = 8, hot_entities: tuple[str, ...] = ()) -> DataFrame:
+def stream_pairs(envelopes: DataFrame, window: str = "10 minutes", hot_grid: int = 8,
+                 hot_entities: tuple[str, ...] = ()) -> DataFrame:
     """``operators.correlate.pairs`` over a stream; works on a batch frame as well.
 
-    Both time bounds stand in the join condition, so Spark drops state that the
-    watermark has passed. Nobody can know a stream's cell sizes beforehand, hence every
-    entity is spread over a fixed grid: a row takes one of ``grid`` rows (columns) by its
-    id, or by its ``position`` on the bus where there is one, and is shown to every
-    column (row). That spreads one entity over ``grid**2`` state partitions and keeps
-    ``grid`` copies of a row per side. Entities known to be hot get a finer grid. The
-    grid is part of the state, so changing it needs a new checkpoint.
+    The join's key is (entity, time bin of one window's length): an ``a`` row is kept in its own
+    bin, a ``b`` row in its own and both neighbours, so a row meets the rows of one bin and not all
+    the state of its entity, and each pair meets once. Both time bounds stand in the condition
+    as well, so Spark drops state that the watermark has passed.
+
+    Nobody can know a stream's cell sizes beforehand. An entity named as hot is spread further over
+    ``hot_grid`` state partitions: an ``a`` row takes one of them by its id, or by its ``position``
+    on the bus where there is one, and a ``b`` row is shown to all. Key and grid are part of the
+    state, so changing them needs a new checkpoint.
     """
     rows = per_entity(with_event_time(envelopes, window))
-    size = F.lit(grid)
+    grid = F.lit(1)
     if hot_entities:
-        size = F.when(F.col("entity").isin(*hot_entities), hot_grid).otherwise(size)
-    rows = rows.withColumn("_grid", size)
-    spread = ["position"] if "position" in rows.columns else ["event_id", "ts_ms"]
-    own = F.pmod(F.xxhash64(*spread), F.col("_grid")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("_grid") - 1))
+        grid = F.when(F.col("entity").isin(*hot_entities), hot_grid).otherwise(grid)
+    rows = (rows.withColumn("_grid", grid)
+            .withColumn("_bin", F.floor(F.col("ts_ms") / window_ms(window))))
+    place = ["position"] if "position" in rows.columns else ["event_id", "ts_ms"]
+    one = F.pmod(F.xxhash64(*place), F.col("_grid")).cast("int")
+    every = F.sequence(F.lit(0), F.col("_grid") - 1)
+    near_bins = F.sequence(F.col("_bin") - 1, F.col("_bin") + 1)
 
-    def side(name: str, row: Column, column: Column) -> DataFrame:
+    def side(name: str, frame: DataFrame, bin_: Column, cell: Column) -> DataFrame:
         renamed = [F.col(c).alias(f"{name}_{c}") for c in
-                   ("event_id", "source", "ts_ms", "event_time")]
-        return rows.select(
-            F.col("entity").alias(f"{name}_entity"), *renamed,
-            row.alias(f"{name}_row"), column.alias(f"{name}_col"),
-        )
+                   ("entity", "event_id", "source", "ts_ms", "event_time")]
+        return frame.select(*renamed, bin_.alias(f"{name}_bin"), cell.alias(f"{name}_cell"))
 
+    copies = rows.withColumn("_near", F.explode(near_bins)).withColumn("_cell", F.explode(every))
     near = F.expr(
         f"a_event_time BETWEEN b_event_time - INTERVAL {window} "
         f"AND b_event_time + INTERVAL {window}"
     )
     c = F.col
-    joined = side("a", own, every).join(
-        side("b", every, own),
-        (c("a_entity") == c("b_entity")) & (c("a_row") == c("b_row"))
-        & (c("a_col") == c("b_col")) & near & (c("a_source") < c("b_source")),
+    joined = side("a", rows, c("_bin"), one).join(
+        side("b", copies, c("_near"), c("_cell")),
+        (c("a_entity") == c("b_entity")) & (c("a_bin") == c("b_bin"))
+        & (c("a_cell") == c("b_cell")) & near & (c("a_source") < c("b_source")),
     )
     later = F.greatest("a_ts_ms", "b_ts_ms")
     return joined.select(

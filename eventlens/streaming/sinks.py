@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlens.config import Config
 from eventlens.functions.times import event_date
 from eventlens.operators.correlate import entityless
-from eventlens.sources.sinks import path_exists
+from eventlens.settings import Settings
+from eventlens.sources.bus import unparsed
+from eventlens.sources.sinks import QUARANTINE, path_exists
 
 # The suffix goes up whenever the join's state changes shape: a query cannot restart
 # from a checkpoint of another shape.
-PAIRS_QUERY = "correlate-v1"
+PAIRS_QUERY = "correlate-v2"
 RAW_QUERY = "raw"
+QUARANTINE_QUERY = "quarantine"
 
 
 def raw_rows(envelopes: DataFrame) -> DataFrame:
@@ -25,32 +27,49 @@ def raw_rows(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def start_sink(df: DataFrame, name: str, path: str, partitions: list[str], cfg: Config,
+def quarantine_rows(bus: DataFrame, ahead_ms: int | None = None) -> DataFrame:
+    """The bus rows that parsing leaves out, as text, with the date they arrived."""
+    return unparsed(bus, ahead_ms).select(
+        "topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"),
+        F.to_date("timestamp").alias("dt"))
+
+
+def start_sink(df: DataFrame, name: str, path: str, partitions: list[str], cfg: Settings,
                available_now: bool = False) -> StreamingQuery:
-    """Appends a stream to Parquet under the query's own checkpoint."""
+    """Appends a stream to Parquet under the query's own checkpoint.
+
+    Rows of one partition are brought together, so a batch leaves a file for each partition and not
+    one for each task and partition.
+    """
     writer = (
-        df.writeStream.format("parquet").outputMode("append").queryName(name)
+        df.repartition(*partitions).writeStream.format("parquet").outputMode("append").queryName(name)
         .partitionBy(*partitions)
-        .option("path", path).option("checkpointLocation", cfg.checkpoint(name))
+        .option("path", path).option("checkpointLocation", f"{cfg.sinks.checkpoint_root}/{name}")
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
-    elif cfg.trigger:
-        writer = writer.trigger(processingTime=cfg.trigger)
+    elif cfg.sinks.trigger:
+        writer = writer.trigger(processingTime=cfg.sinks.trigger)
     return writer.start()
 
 
-def start_raw(envelopes: DataFrame, cfg: Config, available_now: bool = False) -> StreamingQuery:
-    return start_sink(raw_rows(envelopes), RAW_QUERY, cfg.raw_path, ["dt", "source"], cfg,
+def start_raw(envelopes: DataFrame, cfg: Settings, available_now: bool = False) -> StreamingQuery:
+    return start_sink(raw_rows(envelopes), RAW_QUERY, cfg.sinks.raw, ["dt", "source"], cfg,
                       available_now)
 
 
-def start_pairs(pairs: DataFrame, cfg: Config, available_now: bool = False) -> StreamingQuery:
-    return start_sink(pairs, PAIRS_QUERY, cfg.pairs_path, ["dt"], cfg, available_now)
+def start_pairs(pairs: DataFrame, cfg: Settings, available_now: bool = False) -> StreamingQuery:
+    return start_sink(pairs, PAIRS_QUERY, cfg.sinks.pairs, ["dt"], cfg, available_now)
+
+
+def start_quarantine(bus: DataFrame, cfg: Settings, ahead_ms: int | None = None,
+                     available_now: bool = False) -> StreamingQuery:
+    return start_sink(quarantine_rows(bus, ahead_ms), QUARANTINE_QUERY, cfg.sinks.place(QUARANTINE),
+                      ["dt"], cfg, available_now)
 
 
-def write_batch(df: DataFrame, path: str, partitions: list[str]) -> None:
-    """Appends a batch frame to a sink.
+def write_batch(df: DataFrame, path: str, partitions: list[str], replace: bool = False) -> None:
+    """Appends a batch frame to a sink; ``replace`` writes the partitions it touches anew.
 
     The rebalance brings a partition's rows together so files come out few and even, and
     splits a partition that is too large for one task. A folder that a stream writes is
@@ -58,4 +77,9 @@ def write_batch(df: DataFrame, path: str, partitions: list[str]) -> None:
     """
     if path_exists(df.sparkSession, f"{path}/_spark_metadata"):
         raise ValueError(f"{path} belongs to a stream; write the batch to another folder")
-    df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)
+    writer = df.hint("rebalance", *partitions).write.partitionBy(*partitions)
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.parquet(path)

@@ -2,19 +2,19 @@ import json
 
 from pyspark.sql import functions as F
 
-from eventlens.config import Config
+from eventlens.settings import Bus, Settings
 from eventlens.sources import bus as B
 
 
 def test_kafka_options():
-    options = B.kafka_options(Config(bootstrap="b:1"))
+    options = B.kafka_options(Settings(bus=Bus(servers="b:1")))
     assert options == {
         "kafka.bootstrap.servers": "b:1",
         "subscribePattern": r"events\.(?!.*\.dlq$).*",
         "startingOffsets": "latest",
         "includeHeaders": "true",
     }
-    assert B.kafka_options(Config(), B.ALL_TOPICS)["subscribePattern"] == r"events\..+"
+    assert B.kafka_options(Settings(), B.ALL_TOPICS)["subscribePattern"] == r"events\..+"
 
 
 def test_topic_filter(bus):

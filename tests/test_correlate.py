@@ -21,7 +21,7 @@ def pair_up(request):
     """Both forms of the join, each cut up finely."""
     if request.param == "cells":
         return lambda df, window="10 minutes": pairs(df, window, chunk=2)
-    return lambda df, window="10 minutes": stream_pairs(df, window, 2, 3, ("AAPL",))
+    return lambda df, window="10 minutes": stream_pairs(df, window, 3, ("AAPL",))
 
 
 def test_any_two_sources(envelopes, pair_up):
@@ -115,12 +115,12 @@ def test_hot_entity_hot_source_and_copies(envelopes):
              for n in range(6)]
     expected = brute_force(rows, 10 * MINUTE)
     assert found(pairs(envelopes(*rows), chunk=16)) == expected
-    assert found(stream_pairs(envelopes(*rows), grid=4)) == expected
+    assert found(stream_pairs(envelopes(*rows))) == expected
 
 
 def test_no_task_gets_a_whole_hot_cell(envelopes):
     """The join keys split a hot cell into blocks of about ``chunk`` rows a side."""
-    from eventlens.config import window_ms
+    from eventlens.settings import window_ms
     from eventlens.operators import correlate as C
 
     rows = envelopes(*[(f"h{n}", "hot", ["X"], n) for n in range(400)],

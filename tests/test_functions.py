@@ -72,10 +72,10 @@ def test_summary(value, payload, text):
     assert value(J.summary(F.col("p")), p=payload) == text
 
 
-def test_summary_is_cut_at_200_characters(value):
+def test_summary_is_whole_unless_a_display_bounds_it(value):
     long = '{"a":"' + "x,y:" * 200 + '"}'
-    text = value(J.summary(F.col("p")), p=long)
-    assert text == ('{"a": "' + "x,y:" * 200)[:200]
+    assert value(J.summary(F.col("p")), p=long) == '{"a": "' + "x,y:" * 200 + '"}'
+    assert value(J.summary(F.col("p"), limit=90), p=long) == ('{"a": "' + "x,y:" * 200)[:90]
 
 
 @pytest.mark.parametrize(("n", "text"), [

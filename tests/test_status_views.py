@@ -5,7 +5,7 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from eventlens.config import Config
+from eventlens.settings import Settings
 from eventlens.operators import latest as L
 from eventlens.operators import status as S
 from eventlens.operators import views as V
@@ -24,11 +24,12 @@ def msg(event_id, **fields):
 # ---- status -------------------------------------------------------------------------
 
 def test_rate(bus):
-    df = bus(("t", 0, 0, "a", None, 100.2), ("t", 0, 1, "b", None, 100.9),
-             ("t", 0, 2, "c", None, 102.0), ("t", 0, 3, "d", None, 103.0))
-    assert [r.n for r in S.rate(df, 103, 3).collect()] == [2, 0, 1]
-    assert [r.n for r in S.rate(df, 200, 3).collect()] == [0, 0, 0]
-    assert S.mean_rate(S.rate(df, 103, 3), 103, 2).first().per_second == 0.5
+    # The seconds before `now`, oldest first; the second that is still running does not count.
+    df = bus(*[("t", 0, k, "x", None, s) for k, s in enumerate(
+        (5000.0, 5001.5, 5001.999, 5001.75, 5004.25, 5005.0, 4999.9))])
+    assert [r.n for r in S.rate(df, 5005, 5).collect()] == [1, 3, 0, 0, 1]
+    assert [r.n for r in S.rate(df, 9000, 2).collect()] == [0, 0]
+    assert S.mean_rate(S.rate(df, 5005, 5), 5005, 4).first().per_second == 1.0
 
 
 def test_depths(spark, bus):
@@ -240,7 +241,7 @@ def test_reports(spark, bus, tmp_path):
     cursors = spark.createDataFrame([("hn", now - 60_000)], "source string, cursor_ms bigint")
     df = bus(("events.hn", 0, 0, msg("hn:1"), None, 0),
              ("events.hn.dlq", 0, 0, msg("hn:2"), "schema: bad", 0))
-    cfg = replace(Config(), sink_dir=str(tmp_path), checkpoint_dir=str(tmp_path / "cp"))
+    cfg = Settings.at(str(tmp_path))
     report = jobs.status_report(spark, registry, cursors, df, cfg, now)
     assert [tuple(r) for r in report["sources"].collect()] == [
         ("hn", "2024-09-01T14:00:00Z", "1m", "60s", "ok"), ("rss", "-", "-", "5m", "never")]

@@ -3,14 +3,14 @@ from dataclasses import replace
 
 import pytest
 
-from eventlens.config import Config
+from eventlens.settings import Settings, Tables
 from eventlens.operators.correlate import pairs
 from eventlens.plans import jobs
 from eventlens.sources import bus as B
 from eventlens.sources import sinks
 from eventlens.streaming import repair
 from eventlens.streaming.pairs import stream_pairs
-from eventlens.streaming.sinks import PAIRS_QUERY, RAW_QUERY, start_pairs, start_raw
+from eventlens.streaming.sinks import PAIRS_QUERY, QUARANTINE_QUERY, RAW_QUERY, start_pairs, start_raw
 
 T0 = 1_700_000_000_000
 MINUTE = 60_000
@@ -25,14 +25,12 @@ def value(event_id, source, entities, after_ms):
 def pipeline(spark, bus, tmp_path):
     """A bus kept as Parquet files, and both sinks run over whatever is new in it."""
     class Pipeline:
-        cfg = replace(Config(), sink_dir=str(tmp_path / "sinks"),
-                      checkpoint_dir=str(tmp_path / "sinks" / "checkpoints"),
-                      table_base=str(tmp_path / "sinks"))
+        cfg = Settings.at(str(tmp_path / "sinks"))
         land = str(tmp_path / "bus")
         sent = 0
 
         def send(self, *values, topic="events.hn"):
-            rows = [(topic, 0, self.sent + i, v, None, 0) for i, v in enumerate(values)]
+            rows = [(topic, 0, self.sent + i, v, None, T0 // 1000) for i, v in enumerate(values)]
             self.sent += len(rows)
             bus(*rows).coalesce(1).write.mode("append").parquet(self.land)
 
@@ -93,7 +91,7 @@ def test_late_rows_are_dropped(pipeline):
     pipeline.send(value("next", "hn", ["Y"], 601 * MINUTE))
     pipeline.run()
     pipeline.send(value("late", "rss", ["X"], MINUTE), value("fresh", "rss", ["Y"], 601 * MINUTE))
-    paired, _ = pipeline.run()
+    paired, *_ = pipeline.run()
     assert pipeline.pairs() == [("Y", "jump", "fresh", 601 * MINUTE),
                                 ("Y", "next", "fresh", 601 * MINUTE)]
     dropped = sum(s["numRowsDroppedByWatermark"]
@@ -107,10 +105,10 @@ def test_state_behind_the_watermark_is_removed(pipeline):
     pipeline.send(value("jump", "hn", ["Y"], 600 * MINUTE))
     pipeline.run()
     pipeline.send(value("next", "hn", ["Y"], 601 * MINUTE))
-    paired, _ = pipeline.run()
+    paired, *_ = pipeline.run()
     kept = paired.lastProgress["stateOperators"][0]["numRowsTotal"]
-    # Two rows, each with its copies on the two-by-two grid, on two sides.
-    assert kept == 2 * 2 * 2
+    # Two rows: once on the one side, in three bins on the other.
+    assert kept == 2 * (1 + 3)
 
 
 def test_stream_equals_batch(spark, pipeline):
@@ -132,22 +130,46 @@ def test_stream_equals_batch(spark, pipeline):
 def test_backfill_equals_stream(spark, pipeline):
     pipeline.send(value("h", "hn", ["X"], 0), value("r", "rss", ["X"], 5), value("n", "hn", [], 0))
     pipeline.run()
-    other = replace(pipeline.cfg, sink_dir=pipeline.cfg.sink_dir + "-batch")
+    other = pipeline.cfg.moved(pipeline.cfg.sinks.root + "-batch")
     jobs.backfill(spark.read.schema(B.BUS).parquet(pipeline.land), other)
     for read in (sinks.read_pairs, sinks.read_raw):
         assert sorted(map(str, read(spark, other).collect())) == sorted(
             map(str, read(spark, pipeline.cfg).collect()))
 
 
+def test_backfill_twice_changes_nothing_and_accounts_for_all(spark, pipeline):
+    late = 10**6 * MINUTE
+    pipeline.send(value("h", "hn", ["X"], 0), value("r", "rss", ["X"], 5), value("n", "hn", [], 0),
+                  "not json", '{"event_id": "x"}', value("far", "hn", ["X"], late))
+    rows = spark.read.schema(B.BUS).parquet(pipeline.land)
+    cfg = pipeline.cfg.moved(pipeline.cfg.sinks.root + "-batch")
+    for _ in range(2):
+        jobs.backfill(rows, cfg)
+        assert sinks.read_raw(spark, cfg).count() == sinks.read_pairs(spark, cfg).count() == 1
+        held = sinks.read_quarantine(spark, cfg).collect()
+        assert sorted(r.value for r in held) == sorted(
+            ["not json", '{"event_id": "x"}', value("far", "hn", ["X"], late)])
+    pipeline.run()
+    assert sorted(map(str, sinks.read_quarantine(spark, pipeline.cfg).collect())) == sorted(map(str, held))
+
+
+def test_cursors_are_stored(spark, pipeline):
+    cfg = pipeline.cfg
+    assert sinks.read_cursors(spark, cfg).count() == 0
+    for rows in ([("hn", 5), ("rss", 7)], [("hn", 9), ("rss", 1)]):
+        sinks.append_cursors(spark.createDataFrame(rows, "source string, cursor_ms bigint"), cfg)
+    assert {tuple(r) for r in sinks.read_cursors(spark, cfg).collect()} == {("hn", 9), ("rss", 7)}
+
+
 def test_progress_and_sizes(spark, pipeline):
-    assert sinks.query_progress(spark, pipeline.cfg.checkpoint_dir, 0).collect() == []
+    assert sinks.query_progress(spark, pipeline.cfg.sinks.checkpoint_root, 0).collect() == []
     assert {r.bytes for r in sinks.sink_bytes(spark, pipeline.cfg).collect()} == {0}
     pipeline.send(value("h", "hn", ["X"], 0), value("n", "hn", [], 0))
     pipeline.run()
     now = 4_000_000_000_000
     rows = {r["query"]: r for r in sinks.query_progress(
-        spark, pipeline.cfg.checkpoint_dir, now).collect()}
-    assert set(rows) == {PAIRS_QUERY, RAW_QUERY}
+        spark, pipeline.cfg.sinks.checkpoint_root, now).collect()}
+    assert set(rows) == {PAIRS_QUERY, RAW_QUERY, QUARANTINE_QUERY}
     assert rows[RAW_QUERY].planned == rows[RAW_QUERY].committed == 0
     assert not rows[RAW_QUERY].running and 0 < rows[RAW_QUERY].committed_ago_ms < now
     sizes = {r.sink: r.bytes for r in sinks.sink_bytes(spark, pipeline.cfg).collect()}
@@ -167,7 +189,7 @@ def test_progress_of_a_running_batch(spark, tmp_path):
 def test_unknown_files_are_counted_as_bytes(spark, tmp_path):
     (tmp_path / "correlated").mkdir()
     (tmp_path / "correlated" / "part-0.parquet").write_bytes(b"x" * 10)
-    cfg = replace(Config(), sink_dir=str(tmp_path))
+    cfg = Settings.at(str(tmp_path))
     assert {r.sink: r.bytes for r in sinks.sink_bytes(spark, cfg).collect()} == {
         "correlated": 10, "events_raw": 0}
 
@@ -182,7 +204,7 @@ def test_watermark_is_set_once(spark, tmp_path):
 
 def test_sinks_take_their_trigger(spark, pipeline):
     pipeline.send(value("n", "hn", [], 0))
-    cfg = replace(pipeline.cfg, trigger="1 second")
+    cfg = replace(pipeline.cfg, sinks=replace(pipeline.cfg.sinks, trigger="1 second"))
     envelopes = B.parse_envelopes(pipeline.stream())
     queries = [start_raw(envelopes, cfg), start_pairs(stream_pairs(envelopes), cfg)]
     try:
@@ -234,14 +256,14 @@ def test_query_without_tables(spark, pipeline):
 
 
 def test_ddl():
-    cfg = replace(Config(), table_base="/data/o'brien")
+    cfg = Settings(tables=Tables(root="/data/o'brien"))
     raw, found = repair.table_ddl(cfg)
     assert "LOCATION '/data/o''brien/events_raw'" in raw
     assert "USING parquet PARTITIONED BY (dt, source)" in raw
     assert raw.startswith("CREATE TABLE IF NOT EXISTS events_raw (event_id STRING, "
                           "entities ARRAY<STRING>, ts_ms BIGINT, payload STRING")
     assert "PARTITIONED BY (dt)" in found and "correlated" in found
-    hive = repair.table_ddl(replace(cfg, hive_enabled=True))
+    hive = repair.table_ddl(replace(cfg, tables=replace(cfg.tables, hive=True)))
     assert all(s.startswith("CREATE EXTERNAL TABLE IF NOT EXISTS") for s in hive)
     assert "PARTITIONED BY (dt STRING, source STRING) STORED AS PARQUET" in hive[0]
 
