@@ -64,7 +64,20 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans", "kept")
 
 
-@query()
+# For fixtures: each pair of documents with a shingle in common is counted.
+@query(f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
+ translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+ '[\\x20\\x09-\\x0D]+'), lambda x: x != '') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[k:k + 3], ' ') AS shingle FROM
+ (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS k FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b USING (shingle)
+ WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+ WHERE 100 * k >= {jaccard_join.PERCENT} * (x.n + y.n - k)),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, min(b)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reached ON a = w.doc_id GROUP BY w.doc_id, n.n""")
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.cluster(table(spark, sf_dir, "documents"))
 
@@ -119,6 +132,42 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
-@query()
+SPACES = "[\\x20\\x09-\\x0D]+"
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+Q = quality_rules
+
+
+@query(f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host,
+ coalesce(text, '') AS text, {LOWERED} AS low FROM documents),
+w AS (SELECT r, list_filter(string_split_regex(text, '{SPACES}'), lambda x: x != '') AS words FROM d),
+base AS (SELECT r, len(words)::BIGINT AS n_words,
+ coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars FROM w),
+spoken AS (SELECT r, list_filter(string_split(text, chr(10)),
+ lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, text FROM d),
+runs AS (SELECT r, k, array_to_string(words[k:k + {Q.WINDOW - 1}], ' ') AS run
+ FROM (SELECT r, words, unnest(range(1, len(words) - {Q.WINDOW - 2})) AS k FROM w)),
+again AS (SELECT r, unnest(range(k, k + {Q.WINDOW})) AS place FROM
+ (SELECT *, count(*) OVER (PARTITION BY r, run) AS n FROM runs) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT place) AS n_repeat_words FROM again GROUP BY r),
+pieces AS (SELECT r, host, list_filter(string_split_regex(line, '{SPACES}'), lambda x: x != '') AS parts
+ FROM (SELECT r, host, unnest(string_split(low, chr(10))) AS line FROM d)),
+lines AS (SELECT r, host, ('0x' || substr(md5(array_to_string(parts, ' ')), 1, 15))::BIGINT AS line,
+ sum(len(parts)) AS words FROM pieces WHERE len(parts) > 0 GROUP BY ALL),
+family AS (SELECT r, min(line) AS family FROM lines GROUP BY r),
+hosts AS (SELECT host, count(DISTINCT coalesce(family, 0)) AS n_host
+ FROM d LEFT JOIN family USING (r) GROUP BY host),
+frequent AS (SELECT host, line FROM lines JOIN family USING (r) JOIN hosts USING (host)
+ GROUP BY host, line, n_host HAVING count(DISTINCT family) >= {Q.MIN_DOCS}
+ AND count(DISTINCT family) > n_host * {Q.MAX_SHARE}),
+removed AS (SELECT r, sum(words)::BIGINT AS n FROM lines JOIN frequent USING (host, line) GROUP BY r),
+figures AS (SELECT doc_id, n_words, word_chars,
+ length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+ (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+ coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n, 0)::BIGINT AS n_removed_words
+ FROM base JOIN spoken USING (r) JOIN (SELECT r, doc_id FROM d) USING (r)
+ LEFT JOIN covered USING (r) LEFT JOIN removed USING (r)),
+judged AS (SELECT *, n_words < {Q.MIN_WORDS}
+ OR n_repeat_words * 100 > n_words * {Q.MAX_REPEAT_PERCENT} AS base_failed FROM figures)
+SELECT *, NOT base_failed AND n_words - n_removed_words >= n_words * {Q.MIN_LEFT} AS kept FROM judged""")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("text_key")
