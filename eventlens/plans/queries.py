@@ -22,6 +22,7 @@ from eventlens.registry import Registry, Source
 from eventlens.settings import Settings
 from eventlens.sources import bus as B
 from eventlens.sources import feeds, sinks
+from eventlens.streaming import repair
 from eventlens.streaming import sinks as K
 from eventlens.streaming.pairs import stream_pairs
 
@@ -670,10 +671,15 @@ def sink_overview(spark, sf_dir):
                        F.when((c("bytes") > 0) & (c("share") < 1), "yes").alias("has_bytes"))
 
 
-@query("""SELECT 'raw' AS query, 0::BIGINT AS planned, 0::BIGINT AS committed, 'no' AS running""")
+@query("""SELECT 'raw' AS query, count(DISTINCT event_type) - 1 AS planned,
+count(DISTINCT event_type) - 1 AS committed, 'no' AS running FROM events""")
 def query_progress(spark, sf_dir):
-    cfg = _scratch(spark, "progress")
-    envelopes = B.parse_envelopes(_bus_stream(spark, sf_dir))
+    """The events land as a file for each type and are taken one file at a time."""
+    cfg, events = _scratch(spark, "progress"), W.table(spark, sf_dir, "events")
+    events.repartition("event_type").write.partitionBy("event_type").parquet(cfg.sinks.place("land"))
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+              .parquet(cfg.sinks.place("land")))
+    envelopes = B.parse_envelopes(W.bus_rows(stream.select(*events.columns)))
     K.start_raw(envelopes, cfg, available_now=True).awaitTermination()
     return sinks.query_progress(spark, cfg.sinks.checkpoint_root, 0).select(
         "query", "planned", "committed", F.when(c("running"), "yes").otherwise("no").alias("running"))
@@ -879,7 +885,31 @@ def sql_pairs_by_id(spark, sf_dir):
     cfg = _scratch(spark, "sql")
     K.write_batch(C.pairs(W.envelopes(spark, sf_dir)), cfg.sinks.pairs, ["dt"])
     return _over_views(spark, cfg, "SELECT entity, a_id, b_id, ts_ms FROM correlated "
-                       "WHERE a_id LIKE '%click%' ORDER BY dt DESC")
+                       "WHERE a_id LIKE '%click%' "
+                       "ORDER BY dt DESC, ts_ms DESC, entity, a_id, b_id")
+
+
+def _over_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``jobs.query`` over catalog tables of freshly written sinks, their partitions repaired."""
+    cfg = _scratch(spark, "tables")
+    jobs.backfill(W.bus(spark, sf_dir), cfg)
+    for name in (sinks.RAW_TABLE, sinks.PAIRS_TABLE):
+        spark.catalog.dropTempView(name)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: an earlier call's entry, not its files
+    repair.bootstrap_tables(spark, cfg)
+    return L.latest_raw(spark.table(sinks.RAW_TABLE)), L.latest_pairs(spark.table(sinks.PAIRS_TABLE))
+
+
+@query(f"""WITH {BUS} SELECT event_id, source, ts_ms, {DAY} AS dt FROM bus
+WHERE ts_ms IS NOT NULL AND len(entities) = 0 ORDER BY ts_ms DESC, event_id LIMIT 10""")
+def tables_latest_raw(spark, sf_dir):
+    return _over_tables(spark, sf_dir)[0].select("event_id", "source", "ts_ms", "dt")
+
+
+@query(f"""WITH {PAIRS.replace('FROM env)', 'FROM env WHERE n % 97 != 0)')}
+SELECT entity, a_id, b_id, ts_ms, {DAY} AS dt FROM pairs ORDER BY ts_ms DESC, entity, a_id, b_id LIMIT 10""")
+def tables_latest_pairs(spark, sf_dir):
+    return _over_tables(spark, sf_dir)[1].select("entity", "a_id", "b_id", "ts_ms", "dt")
 
 
 # ---- views --------------------------------------------------------------------------
