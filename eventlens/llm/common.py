@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 import uuid
@@ -80,9 +81,12 @@ def materialize(df: DataFrame) -> DataFrame:
     which a large heap may put off for hours; asking for a collection here frees the disk of
     earlier steps.
     """
-    shared_dir(df.sparkSession)
+    spark = df.sparkSession
+    shared_dir(spark)
     done = df.checkpoint(eager=True)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    del df  # where the caller does not hold it, its shuffles go now
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return done
 
 

@@ -1,11 +1,12 @@
 """N-gram Jaccard join with signature trees; all links, as connected components.
 
 Sets are the distinct shingles of a text, as 64-bit hashes. Equal sets are one node. Two sets with
-100 * |intersection| >= percent * |union| share an element of their prefixes: the first
-n - ceil(percent * n / 100) + 1 elements in an order that is the same for all sets. So
+100 * |intersection| >= percent * |union| share ``needed`` elements of their prefixes: the first
+n - ceil(percent * n / 100) + needed elements in an order that is the same for all sets. So
 
 1. each node is listed under its prefix elements, elements of common passages last in the order;
-   elements with one node are dropped, which leaves next to nothing of texts without a relative;
+   elements that occur once are dropped, then nodes with too few elements left, which leaves next
+   to nothing of texts without a relative;
 2. each node is compared with the smallest node of each of its lists, exactly; these links already
    join a group of copies, whatever its size, with as many comparisons as members;
 3. lists that still hold several components go through signature trees: bitmaps and sizes prune
@@ -32,14 +33,16 @@ from pyspark.sql import functions as F
 
 from eventlens.llm import signature_tree as S
 from eventlens.llm import words as W
-from eventlens.llm.common import arrow_map, materialize
+from eventlens.llm.common import arrow_map, fresh, materialize
 
 SHINGLE = 4
 PERCENT = 85
 HOT_SHARE = 1 / 1000
 HOT_LEAST = 8
+BATCH = 12 << 20
 MAX_HOT = 1 << 20
 CHUNK = 4096
+MORE_PERCENT = 3
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -66,8 +69,13 @@ def set_key(elements: np.ndarray) -> int:
         return int(W.finish(np.array([total]))[0].astype(np.int64))
 
 
+def needed(n: int) -> int:
+    """How many prefix elements two similar sets have in common, the smaller one of n elements."""
+    return 1 + n * MORE_PERCENT // 100
+
+
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1 if n else 0
+    return min(n, n - -(-percent * n // 100) + needed(n)) if n else 0
 
 
 def _signed(elements: np.ndarray) -> np.ndarray:
@@ -81,9 +89,9 @@ def common_elements(docs: DataFrame, size: int) -> np.ndarray:
     the most frequent; that changes work, not results, since any one order gives all links.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in W.slices(whole, 0, BATCH)):
             sets = shingle_sets(batch.column(0), size)
-            if not sets or not sum(map(len, sets)):
+            if not sum(map(len, sets)):
                 continue
             element, count = np.unique(np.concatenate(sets), return_counts=True)
             hot = count >= max(HOT_LEAST, HOT_SHARE * len(sets))
@@ -97,34 +105,41 @@ def common_elements(docs: DataFrame, size: int) -> np.ndarray:
     return np.sort(np.concatenate(found).view(np.uint64)) if found else np.zeros(0, np.uint64)
 
 
+def members(docs: DataFrame, size: int) -> DataFrame:
+    """Per document (doc_id, text, row_key): set size and node, the set's name."""
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(batch.column(1), size)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
+             pa.array([set_key(s) for s in sets], pa.int64())], ["doc_id", "row_key", "n", "node"])
+
+    return arrow_map(docs, of, "doc_id bigint, row_key bigint, n bigint, node bigint", text=1)
+
+
 def prefixes(docs: DataFrame, size: int, percent: int, hot: np.ndarray) -> DataFrame:
-    """Per document: set size, the node (the set's name), the prefix."""
+    """(element, node) for the prefix of each document's set."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         hot = shared.value
-        sizes, nodes, parts = [], [], []
-        for elements in shingle_sets(batch.column(1), size):
-            n = len(elements)
-            sizes.append(n)
+        nodes, parts = [], []
+        for elements in shingle_sets(batch.column(0), size):
             nodes.append(set_key(elements))
-            if n and len(hot):
+            length = prefix_length(len(elements), percent)
+            if length and len(hot):
                 at = np.minimum(np.searchsorted(hot, elements), len(hot) - 1)
                 common = hot[at] == elements
                 elements = np.concatenate([elements[~common], elements[common]])
-            parts.append(_signed(elements[:prefix_length(n, percent)]))
-        offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            parts.append(elements[:length])
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-            ["doc_id", "n", "node", "prefix"])
+            [pa.array(_signed(np.concatenate(parts))),
+             pa.array(np.repeat(nodes, [len(p) for p in parts]))], ["element", "node"])
 
-    return arrow_map(docs, of, "doc_id bigint, n bigint, node bigint, prefix array<bigint>")
+    return arrow_map(docs.select("text"), of, "element bigint, node bigint", text=0)
 
 
 def node_sets(docs: DataFrame, size: int) -> DataFrame:
-    """Per node: the set itself, its size and its bitmap."""
+    """Per node: the set itself, its size and its bitmap. ``docs`` has node and text."""
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column(1), size)
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
@@ -134,7 +149,7 @@ def node_sets(docs: DataFrame, size: int) -> DataFrame:
              pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(np.concatenate(sets)))),
              pa.array(maps, pa.binary())], ["node", "n", "elements", "bitmap"])
 
-    return arrow_map(docs, of, "node bigint, n bigint, elements array<bigint>, bitmap binary")
+    return arrow_map(docs, of, "node bigint, n bigint, elements array<bigint>, bitmap binary", text=1)
 
 
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -173,29 +188,54 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _group_pairs(columns: dict[str, np.ndarray], maps: list[bytes], percent: int) -> tuple:
+    """Pairs of one group: a chunk of a list with itself, or two chunks of it."""
+    node, component, n = (columns[k] for k in ("node", "component", "n"))
+    guest, chunk = columns["guest"], columns["chunk"]
+    words = [np.frombuffer(b, np.uint64) for b in maps]
+    width = min(map(len, words)) * 64
+    bits = np.stack([S.fold(m, width) for m in words])
+    order = np.lexsort((bits[:, 0], n))  # of equal sizes, relatives side by side
+    a_out, b_out = [], []
+    for i, j in S.pairs(S.Tree(bits[order], n[order]), percent):
+        i, j = order[i], order[j]
+        ok = (component[i] != component[j]) & ~(guest[i] & guest[j])
+        if columns["c1"][0] != columns["c2"][0]:
+            ok &= chunk[i] != chunk[j]
+        a_out.append(np.minimum(node[i[ok]], node[j[ok]]))
+        b_out.append(np.maximum(node[i[ok]], node[j[ok]]))
+    return a_out, b_out
+
+
 def _tree_pairs(percent: int):
-    def run(table: pa.Table) -> pa.Table:
-        node = table["node"].to_numpy()
-        component = table["component"].to_numpy()
-        n = table["n"].to_numpy()
-        guest = table["guest"].to_numpy(zero_copy_only=False)
-        chunk = table["chunk"].to_numpy()
-        maps = [np.frombuffer(b, np.uint64) for b in table["bitmap"].to_pylist()]
-        width = min(len(m) for m in maps) * 64
-        bits = np.stack([S.fold(m, width) for m in maps])
-        # Relatives side by side: equal low bits first, then size.
-        order = np.lexsort((bits[:, 0], n))
-        a_out, b_out = [], []
-        one = table["c1"][0].as_py() == table["c2"][0].as_py()
-        for i, j in S.pairs(S.Tree(bits[order], n[order]), percent):
-            i, j = order[i], order[j]
-            ok = (component[i] != component[j]) & ~(guest[i] & guest[j])
-            if not one:
-                ok &= chunk[i] != chunk[j]
-            a_out.append(np.minimum(node[i[ok]], node[j[ok]]))
-            b_out.append(np.maximum(node[i[ok]], node[j[ok]]))
-        empty = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([empty, *a_out]), "b": np.concatenate([empty, *b_out])})
+    """Over rows sorted by group; at most one group and one batch are held."""
+    group = ("element", "class", "c1", "c2")
+
+    def pairs_of(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+        columns = {k: table[k].to_numpy() for k in table.column_names if k != "bitmap"}
+        new = np.zeros(table.num_rows, bool)
+        for k in group:
+            new[1:] |= columns[k][1:] != columns[k][:-1]
+        cuts = np.concatenate([[0], np.flatnonzero(new), [table.num_rows] if last else []]).astype(int)
+        maps = table["bitmap"].to_pylist()
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if (columns["component"][low:high] != columns["component"][low]).any():
+                found = _group_pairs({k: v[low:high] for k, v in columns.items()}, maps[low:high], percent)
+                a += found[0]
+                b += found[1]
+        out = pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+        return out, table.slice(table.num_rows if last else cuts[-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            out, held = pairs_of(held, False)
+            yield out
+        if held is not None and held.num_rows:
+            yield pairs_of(held, True)[0]
 
     return run
 
@@ -208,40 +248,53 @@ def candidate_pairs(lists: DataFrame, sets: DataFrame, percent: int, chunk: int
     # Similar sets are in one size class or in neighbouring ones: a set visits the class below.
     base = math.log(100 / percent) * (1 + 1e-9)
     rows = (lists.join(mixed, "element", "left_semi")
-            .join(sets.select("node", "n", "bitmap"), "node")
+            .join(sets.select("node", "n"), "node")
             .withColumn("class", F.floor(F.log("n") / base).cast("int"))
             .withColumn("v", F.explode(F.array(F.lit(0), F.lit(1))))
             .withColumn("guest", F.col("v") == 1).withColumn("class", F.col("class") - F.col("v"))
             .drop("v"))
     counts = (rows.groupBy("element", "class")
-              .agg(F.count(F.lit(1)).alias("rows"), F.min("guest").alias("visited"))
-              .filter("rows > 1 AND NOT visited")
+              .agg(F.count(F.lit(1)).alias("rows"), F.min("guest").alias("visited"),
+                   F.min("component").alias("low"), F.max("component").alias("high"))
+              .filter("low <> high AND NOT visited")
               .select("element", "class", F.ceil(F.col("rows") / chunk).cast("int").alias("chunks")))
     cut = (rows.join(counts, ["element", "class"])
            .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
            .withColumn("c1", F.least("chunk", "other")).withColumn("c2", F.greatest("chunk", "other"))
-           .select("element", "class", "c1", "c2", "chunk", "node", "component", "n", "guest", "bitmap"))
-    return (cut.groupBy("element", "class", "c1", "c2")
-            .applyInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct())
+           .select("element", "class", "c1", "c2", "chunk", "node", "component", "n", "guest"))
+    # Bitmaps are the wide part: they join last and travel once.
+    cut = cut.join(sets.select("node", "bitmap"), "node")
+    group = ("element", "class", "c1", "c2")
+    return (cut.repartition(*group).sortWithinPartitions(*group)
+            .mapInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct())
 
 
 def cluster(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    listed = materialize(prefixes(rows, size, percent, common_elements(rows, size)))
-    members = listed.select("doc_id", "n", "node")
-    index = listed.filter("n > 0").select("node", F.explode("prefix").alias("element"))
-    shared = (index.groupBy("element")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
+                       F.xxhash64("doc_id", "text").alias("row_key"))
+    listed = materialize(members(rows, size))
+    sizes = listed.filter("n > 0").select("node", "n").distinct()
+    # Two passes over the texts send elements, 8 and 16 bytes each; nothing is kept of them but
+    # those that occur again.
+    index = prefixes(rows, size, percent, common_elements(rows, size))
+    again = index.groupBy("element").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    hits = materialize(index.join(again, "element", "left_semi").distinct())
+    # A similar set is smaller by the threshold at most, and that much less may be in common.
+    least = 1 + F.floor(F.ceil(F.col("n") * percent / 100) * MORE_PERCENT / 100)
+    related = (hits.groupBy("node").agg(F.count(F.lit(1)).alias("k")).join(sizes, "node")
+               .filter(F.col("k") >= least).select("node"))
+    near = materialize(hits.join(related, "node", "left_semi"))
+    shared = (near.groupBy("element")
               .agg(F.min("node").alias("low"), F.max("node").alias("high"))
               .filter("low <> high").select("element", "low"))
-    lists = materialize(index.join(shared, "element").select("element", "node", "low").distinct())
+    lists = materialize(near.join(shared, "element").select("element", "node", "low"))
+    del index, again, hits, related, near, shared
 
-    wanted = lists.select("node").distinct()
-    chosen = (members.join(wanted, "node", "left_semi")
-              .groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    texts = (rows.join(chosen, "doc_id").select("node", "text"))
-    sets = materialize(node_sets(texts, size).dropDuplicates(["node"]))
+    chosen = (listed.join(lists.select("node").distinct(), "node", "left_semi")
+              .groupBy("node").agg(F.min("row_key").alias("row_key")))
+    sets = materialize(node_sets(rows.join(chosen, "row_key").select("node", "text"), size))
 
     first = materialize(similar(
         lists.filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(),
@@ -249,11 +302,12 @@ def cluster(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) ->
     labels = components(first)
     labelled = (lists.join(labels, "node", "left")
                 .select("element", "node", F.coalesce("component", "node").alias("component")))
-    second = (similar(candidate_pairs(labelled, sets, percent), sets, percent)
+    candidates = materialize(candidate_pairs(labelled, sets, percent))
+    second = (similar(candidates, sets, percent)
               .join(labels.toDF("a", "ca"), "a", "left").join(labels.toDF("b", "cb"), "b", "left")
               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     further = components(materialize(second))
-    joined = (members.join(labels, "node", "left")
+    joined = (listed.join(labels, "node", "left")
               .withColumn("c", F.coalesce("component", "node")).drop("component")
               .join(further.toDF("c", "component"), "c", "left")
               .withColumn("c", F.coalesce("component", "c")))
@@ -267,9 +321,10 @@ def cluster(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) ->
 def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, that with the smallest id, and all without words.
 
-    Rows with the same id are one document of several texts here: the row with the smallest text
-    stays.
+    All rows that share the kept id stay.
     """
-    kept = cluster(docs, size=size, percent=percent).filter(
-        "doc_id = component_id OR n_shingles = 0").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(F.col("_id")), "left_semi")
+    [name] = fresh(docs.columns, "kept_id")
+    # Only ids are left of the join when the texts travel.
+    kept = materialize(cluster(docs, size=size, percent=percent).filter(
+        "doc_id = component_id OR n_shingles = 0").select("doc_id").distinct()).toDF(name)
+    return docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept[name]), "left_semi")
