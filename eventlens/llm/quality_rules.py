@@ -6,9 +6,9 @@ and hashed; per host the *distinct* documents that hold a line are counted. Line
 than ``max_share`` of a host's documents (and by ``min_docs`` at least) are removed, and a
 document is rejected when less than ``min_left`` of its words remain.
 
-Copies are not evidence that a line is boilerplate: documents whose smallest line hash is equal
-(exact copies and nearly all near copies of each other) count once. Without that, a large group
-of copies would reject itself before deduplication has kept one of them.
+Copies are not evidence that a line is boilerplate: documents with the same set of lines count
+once, by a hash over all of their lines. Without that, a large group of copies would reject itself
+before deduplication has kept one of them. Documents that differ in any line are different ones.
 
 Defined results: a null or blank text has no words, so it fails the base rules; a null host is a
 host of its own; a null id is carried; repeated rows are judged each and alike; an empty table
@@ -75,6 +75,11 @@ def line_key(line: bytes) -> int:
     return int.from_bytes(hashlib.md5(line, usedforsecurity=False).digest()[:8], "big") >> 4
 
 
+def family_of(keys: list[int]) -> int:
+    """60 bits that name a set of lines, whatever their order; 0 for none."""
+    return line_key(b",".join(b"%d" % k for k in sorted(keys))) if keys else 0
+
+
 def features_of(text: str | None) -> tuple:
     """Base figures of one text, and its distinct normalised lines with their words."""
     text = text or ""
@@ -91,7 +96,7 @@ def features_of(text: str | None) -> tuple:
             lines[key] = lines.get(key, 0) + len(parts)
     keys = [line_key(x) for x in lines]
     return (len(words), word_chars, n_symbols, n_dup_lines, repeat_words(words),
-            min(keys, default=0), keys, list(lines.values()))
+            family_of(keys), keys, list(lines.values()))
 
 
 def _features(batch: pa.RecordBatch) -> pa.RecordBatch:

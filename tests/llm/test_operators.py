@@ -455,6 +455,16 @@ def test_frequent_lines_deplete_a_document(docs, words):
     assert all(got[200 + k].kept for k in range(40)), "copies are not boilerplate"
 
 
+def test_documents_that_share_their_smallest_line_are_counted_each(docs, words):
+    shared = min((" ".join(words(k, 12)) for k in range(3000, 3400)),
+                 key=lambda x: quality_rules.line_key(x.encode()))
+    rows = [(i, shared + "\n" + " ".join(words(7000 + i, 12)), "h") for i in range(60)]
+    smallest = [min(quality_rules.features_of(t)[6]) for _, t, _ in rows]
+    assert smallest.count(quality_rules.line_key(shared.encode())) > 40
+    got = quality_rules.judge(docs(*rows), min_docs=50).collect()
+    assert [r.n_removed_words for r in got] == [12] * 60
+
+
 # ---- odd rows, for all -----------------------------------------------------------------
 
 def test_odd_rows_are_defined_for_all(spark, odd_docs, tokenizers):
