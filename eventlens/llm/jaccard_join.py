@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -270,8 +271,26 @@ def candidate_pairs(lists: DataFrame, sets: DataFrame, percent: int, chunk: int
             .mapInArrow(_tree_pairs(percent), "a bigint, b bigint").distinct())
 
 
-def cluster(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+class _Found(NamedTuple):
+    """What joining and counting share: rows, their nodes, lists of relatives, sets of those."""
+
+    listed: DataFrame
+    lists: DataFrame
+    sets: DataFrame
+
+
+def _one_text_each(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(node, text), one row for each node of ``chosen`` (node, row_key, k).
+
+    Only the nodes whose row is repeated (``k`` > 1) have their texts folded.
+    """
+    once = rows.join(chosen.filter("k = 1"), "row_key").select("node", "text")
+    again = (rows.join(chosen.filter("k > 1"), "row_key").groupBy("node")
+             .agg(F.first("text").alias("text")))
+    return once.union(again)
+
+
+def _relatives(docs: DataFrame, size: int, percent: int) -> _Found:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
                        F.xxhash64("doc_id", "text").alias("row_key"))
     listed = materialize(members(rows, size))
@@ -292,10 +311,16 @@ def cluster(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) ->
     lists = materialize(near.join(shared, "element").select("element", "node", "low"))
     del index, again, hits, related, near, shared
 
-    chosen = (listed.join(lists.select("node").distinct(), "node", "left_semi")
-              .groupBy("node").agg(F.min("row_key").alias("row_key")))
-    sets = materialize(node_sets(rows.join(chosen, "row_key").select("node", "text"), size))
+    chosen = materialize(
+        listed.join(lists.select("node").distinct(), "node", "left_semi")
+        .groupBy("node", "row_key").agg(F.count(F.lit(1)).alias("k"))
+        .groupBy("node").agg(F.min(F.struct("row_key", "k")).alias("row")).select("node", "row.*"))
+    return _Found(listed, lists, materialize(node_sets(_one_text_each(rows, chosen), size)))
 
+
+def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Per document: doc_id, row_key, n and c, the node that names its component."""
+    listed, lists, sets = _relatives(docs, size, percent)
     first = materialize(similar(
         lists.filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(),
         sets, percent))
@@ -307,10 +332,15 @@ def cluster(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) ->
               .join(labels.toDF("a", "ca"), "a", "left").join(labels.toDF("b", "cb"), "b", "left")
               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     further = components(materialize(second))
-    joined = (listed.join(labels, "node", "left")
-              .withColumn("c", F.coalesce("component", "node")).drop("component")
-              .join(further.toDF("c", "component"), "c", "left")
-              .withColumn("c", F.coalesce("component", "c")))
+    return (listed.join(labels, "node", "left")
+            .withColumn("c", F.coalesce("component", "node")).drop("component")
+            .join(further.toDF("c", "component"), "c", "left")
+            .withColumn("c", F.coalesce("component", "c")))
+
+
+def cluster(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    joined = _joined(docs, size, percent)
     # Texts without a word are alone, each under its own id.
     named = joined.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     return (joined.filter("n > 0").join(named, "c").select(
@@ -318,6 +348,34 @@ def cluster(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) ->
             .union(joined.filter("n = 0").select("doc_id", "n", "doc_id")))
 
 
+def links(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """All pairs (a, b) of similar distinct sets, a < b, by node; inside components too."""
+    return _links(_relatives(docs, size, percent), percent)
+
+
+def _links(found: _Found, percent: int) -> DataFrame:
+    # Each node its own component: no pair of a list is skipped.
+    alone = found.lists.select("element", "node", F.col("node").alias("component"))
+    return similar(materialize(candidate_pairs(alone, found.sets, percent)), found.sets, percent)
+
+
+def link_counts(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id and n_links, the other rows that are similar to it.
+
+    Rows with an equal set count; a text without words has none.
+    """
+    found = _relatives(docs, size, percent)
+    nodes = found.listed.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows"))
+    pairs = materialize(_links(found, percent))
+    both = pairs.union(pairs.select("b", "a"))
+    others = (both.join(nodes.toDF("b", "rows"), "b").groupBy("a").agg(F.sum("rows").alias("others"))
+              .withColumnRenamed("a", "node"))
+    counts = nodes.join(others, "node", "left").select(
+        "node", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return (found.listed.filter("n > 0").join(counts, "node").select("doc_id", "n_links")
+            .union(found.listed.filter("n = 0").select("doc_id", F.lit(0).cast("bigint"))))
+
+
 def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, that with the smallest id, and all without words.
 

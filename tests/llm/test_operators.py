@@ -152,6 +152,28 @@ def test_trees_in_chunks_lose_no_pair(spark, words):
     assert got == wanted and len(wanted) > 50
 
 
+def test_repeated_rows_are_one_set(spark, docs, words):
+    rows = [(None, t) for _, t in near_copies(words, 2, 3) for _ in range(4)]
+    found = jaccard_join._relatives(docs(*rows), 4, 85)
+    assert found.sets.count() == found.sets.select("node").distinct().count() > 0
+    assert ordered(tuple(r) for r in jaccard_join.cluster(docs(*rows)).collect()) == ordered(
+        brute.components(rows, 4, 85))
+
+
+def test_links_inside_a_component_are_counted(docs, words):
+    rows = near_copies(words, 3, 5) + [(900, "alone here"), (901, None)]
+    rows += [rows[0], (902, rows[0][1])]
+    sets = []
+    for _, t in rows:
+        w = brute.words(t)
+        sets.append({tuple(w[k:k + 4]) for k in range(len(w) - 3)} or ({tuple(w)} if w else set()))
+    wanted = [(i, sum(k != j and bool(a | b) and 100 * len(a & b) >= 85 * len(a | b)
+                      for j, b in enumerate(sets)))
+              for k, ((i, _), a) in enumerate(zip(rows, sets, strict=True))]
+    assert ordered(tuple(r) for r in jaccard_join.link_counts(docs(*rows)).collect()) == ordered(wanted)
+    assert jaccard_join.links(docs(*rows)).filter("a >= b").isEmpty()
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k + 1, k) for k in range(40)] + [(100, 101)], "a bigint, b bigint")
     got = {r.node: r.component for r in jaccard_join.components(edges).collect()}
