@@ -377,12 +377,28 @@ def link_counts(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT)
 
 
 def keep_one(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component, that with the smallest id, and all without words.
+    """One document of each component, and all without words.
 
-    All rows that share the kept id stay.
+    The one with the smallest id stays, of equal ids that with the smaller hash of id and text;
+    a document without an id stays where no other one of its component has an id. All rows that
+    repeat a kept id and its text stay; of rows without an id, which nothing tells apart, one.
     """
-    [name] = fresh(docs.columns, "kept_id")
-    # Only ids are left of the join when the texts travel.
-    kept = materialize(cluster(docs, size=size, percent=percent).filter(
-        "doc_id = component_id OR n_shingles = 0").select("doc_id").distinct()).toDF(name)
-    return docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept[name]), "left_semi")
+    names = fresh(docs.columns, "kept_id", "kept_key", "kept_empty")
+    joined = _joined(docs, size, percent).select("doc_id", "row_key", "n", "c")
+    first = (joined.filter("n > 0").groupBy("c")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("row"))
+             .select("row.doc_id", "row.row_key", F.lit(False)))
+    # Only ids and hashes are left of the join when the texts travel.
+    kept = materialize(first.union(joined.filter("n = 0").select(
+        "doc_id", "row_key", F.lit(True)).distinct())).toDF(*names)
+    doc_id = docs["doc_id"].cast("bigint")
+    key = F.xxhash64(doc_id, docs["text"])
+
+    def stay(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+        same = doc_id.eqNullSafe(chosen[names[0]]) & (key == chosen[names[1]])
+        return rows.join(chosen, same, "left_semi")
+
+    named = stay(docs, kept.filter(F.col(names[0]).isNotNull() | F.col(names[2])))
+    nameless = stay(docs.filter(doc_id.isNull()),
+                    kept.filter(F.col(names[0]).isNull() & ~F.col(names[2])))
+    return named.union(nameless.dropDuplicates(["text"]))

@@ -174,6 +174,18 @@ def test_links_inside_a_component_are_counted(docs, words):
     assert jaccard_join.links(docs(*rows)).filter("a >= b").isEmpty()
 
 
+def test_one_of_each_component_stays_without_ids(docs, words):
+    plain, other, near = (" ".join(words(k, 60)) for k in (21, 22, 23))
+    rows = [(None, plain), (None, plain), (None, other), (None, near), (None, near + " more"),
+            (4, "held " + other), (None, None), (None, " "), (5, other + " held"), (5, " ".join(words(24, 30)))]
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(docs(*rows)).collect()]
+    assert kept.count((None, plain)) == 1, "alone, copies go"
+    assert (4, "held " + other) in kept and (None, other) not in kept and (5, other + " held") not in kept
+    assert sum(r in kept for r in [(None, near), (None, near + " more")]) == 1
+    assert (None, None) in kept and (None, " ") in kept and rows[-1] in kept
+    assert len(kept) == 6
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k + 1, k) for k in range(40)] + [(100, 101)], "a bigint, b bigint")
     got = {r.node: r.component for r in jaccard_join.components(edges).collect()}
