@@ -8,9 +8,11 @@ some run of its words is within ``edit_share * m`` word edits of the item.
   written at a small Hamming distance.
 * Windows of the item's own length are embedded at each place where the q-gram lemma leaves the
   item possible (m - q + 1 - k q common q-grams, q = 3): with fewer, no window is within k edits.
+* An item is embedded in even segments of at most ``SEGMENT`` words, since walks part with the number
+  of edits and not with their share. Of k edits on n segments, some segment has k // n at most.
 * ``repeats`` tables sample ``sampled`` places of the embedding of one of ``walks`` walks; a window
-  and an item that agree in a table are a candidate. ``repeats`` is set for a recall above 0.99 at
-  the largest distance (tests measure it).
+  with a segment that agrees with the item's in a table is a candidate. ``repeats`` is set for a
+  high recall at the largest distance of one segment (tests measure it, up to 500 words).
 * A candidate is decided by the exact edit distance of the item to the best run around the window.
 
 The benchmark is broadcast in blocks of at most ``block_bytes``, whatever its size; documents are
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,7 @@ from eventlens.llm.common import fresh, join_rows
 
 EDIT_SHARE = 0.2
 WALKS, REPEATS, SAMPLED = 8, 64, 3
+SEGMENT = 50
 BLOCK_BYTES = 4 << 20
 BITS = 20
 MATCHES = ("doc_id bigint, text_key bigint, item_id bigint, start_word bigint, end_word bigint, "
@@ -52,6 +56,13 @@ def least_common(m: int, k: int) -> int:
     return max(1, m - q + 1 - k * q)
 
 
+def segments(m: int) -> list[tuple[int, int]]:
+    """(offset, length) of the segments of an item of m words."""
+    n = -(-m // SEGMENT)
+    cuts = [m * j // n for j in range(n + 1)]
+    return [(low, high - low) for low, high in pairwise(cuts)]
+
+
 class Walk:
     """Random walks and samples for sequences of ``m`` words; the same for all tasks."""
 
@@ -140,10 +151,13 @@ class Items:
         by_length: dict[int, list[int]] = {}
         for k, s in enumerate(self.items):
             by_length.setdefault(len(s), []).append(k)
-        self.walks = {m: Walk(m) for m in by_length}
-        self.keys = np.zeros((len(self.items), REPEATS), np.uint64)
+        self.walks = {n: Walk(n) for n in {n for m in by_length for _, n in segments(m)}}
+        self.keys: dict[int, list[np.ndarray]] = {}  # by length of the item: keys of each segment
+        self.place = np.zeros(len(self.items), np.int64)
         for m, of in by_length.items():
-            self.keys[of] = self.walks[m].keys(np.stack([self.items[k] for k in of]))
+            whole = np.stack([self.items[k] for k in of])
+            self.keys[m] = [self.walks[n].keys(whole[:, at:at + n]) for at, n in segments(m)]
+            self.place[of] = np.arange(len(of))
 
     def hits(self, hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position, item, offset) of all seeds in texts that end at ``ends`` (per word)."""
@@ -186,11 +200,14 @@ class Items:
             of = np.repeat([int(item[p[0]]) for p in parts], counts)
             bounds = np.array([[found.first[t], found.first[t + 1]] for t in
                                (int(text[p[0]]) for p in parts)])
-            at = np.concatenate(near)[:, None] + np.arange(m)[None, :]
+            begin = np.concatenate(near)
             low, high = (np.repeat(bounds[:, c], counts)[:, None] for c in (0, 1))
-            windows = np.where((at >= low) & (at < high),
-                               found.hashes[np.clip(at, 0, len(found.hashes) - 1)], np.uint64(0))
-            agree = (self.walks[m].keys(windows) == self.keys[of]).any(axis=1)
+            agree = np.zeros(len(begin), bool)
+            for (offset_in, n), keys in zip(segments(m), self.keys[m], strict=True):
+                at = begin[:, None] + (offset_in + np.arange(n))[None, :]
+                windows = np.where((at >= low) & (at < high),
+                                   found.hashes[np.clip(at, 0, len(found.hashes) - 1)], np.uint64(0))
+                agree |= (self.walks[n].keys(windows) == keys[self.place[of]]).any(axis=1)
             for p, starts, yes in zip(parts, near, np.split(agree, np.cumsum(counts)[:-1]), strict=True):
                 t, k = int(text[p[0]]), int(item[p[0]])
                 first, last = int(found.first[t]), int(found.first[t + 1])

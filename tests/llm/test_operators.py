@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -462,6 +463,21 @@ def test_blocks_of_the_benchmark_give_the_same(docs, table):
     assert ordered(map(tuple, whole.collect())) == ordered(map(tuple, parts.collect()))
 
 
+@pytest.mark.parametrize("m", [100, 200, 500])
+def test_long_items_are_found_at_the_largest_distance(words, m):
+    found = 0
+    for k in range(8):
+        rng, item = random.Random(k), words(m + k, m)
+        run = list(item)
+        for j in range(m // 5):
+            run.insert(rng.randrange(1, len(run)), f"put{j}")
+        text = " ".join([*words(k + 1, 30), *run, *words(k + 2, 30)])
+        got = list(decontaminate.Items([1], [" ".join(item)]).match(
+            decontaminate.W.words_of(pa.array([text]))))
+        found += bool(got) and got[0][4] <= m // 5
+    assert found == 8
+
+
 # ---- 10: quality rules -----------------------------------------------------------------
 
 def test_base_figures_equal_brute_force(docs, words):
