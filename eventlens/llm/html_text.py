@@ -2,11 +2,13 @@
 
 The standard library's parser streams its events into blocks (the lines of the method). Each
 block has a ratio of text to tags; the ratios are smoothed with a Gaussian over the page and split
-into two clusters by an iterated threshold, and the upper one marks content. The smallest
-container that holds most of the marked text is the content region, and the region's blocks are
-the text: a short paragraph inside the article stays although its own ratio is low. Elements whose
-tag, role, class or id says that they are no content (menus, headers, footers, forms, adverts,
-reader comments, ...) neither vote nor are returned.
+into two clusters by an iterated threshold, and the upper one marks content. The content region are
+the article elements, else the main element, that hold most of the marked text, else the smallest
+container that holds all of it; headings right before it belong to it. The region's blocks are the
+text: a short paragraph inside the article stays although its own ratio is low. Elements whose tag
+or role says that they are no content (menus, headers, footers, forms, ...) neither vote nor are
+returned; nor are those named so by a whole class or id (adverts, reader comments, ...), unless
+they hold half of the marked text or more and no article element stands elsewhere.
 
 Pages are independent: no shuffle, one page in memory at a time beside its Arrow batch.
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,7 @@ from eventlens.llm.common import arrow_map
 
 SIGMA = 1.5
 REGION_SHARE = 0.7
+APART = 2.0
 RESULT = "page_id bigint, url string, text string, n_chars bigint"
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -41,7 +45,7 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu "
     "nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-CONTAINER = frozenset("html body main article section div td center blockquote".split())
+CONTAINER = frozenset("html body main article section div td center".split())
 CLOSES_P = BLOCK - {"html", "body", "caption", "tbody", "thead", "tfoot", "tr", "td", "th"}
 ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog form menu "
@@ -52,21 +56,34 @@ NAMES = frozenset(
     "commentlist reply replies respond disqus sidebar menu navbar nav navigation breadcrumb "
     "breadcrumbs pagination footer masthead share sharing social related recommended newsletter "
     "subscribe subscription signup login popup modal overlay toolbar widget skip".split())
+# What may stand before and after such a name: site-footer, comment-list; not no-sidebar, share-price.
+BEFORE = frozenset("site main page global top bottom left right primary secondary reader user".split())
+AFTER = frozenset("list item items box block area container wrapper wrap inner section bar link links "
+                  "form text title slot unit".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _WORDS = re.compile(r"[a-z]+")
 _NAME = re.compile(r"[^\s]+")
 
 
-def no_content(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
-    if tag in NO_CONTENT:
-        return not (tag == "header" and in_article)
+def named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether a whole class or id of the element names no content."""
     if tag in ("html", "body", "article", "main"):
-        names: list[str] = []
-    else:
-        names = [v for k, v in attrs if k in ("class", "id") and v]
+        return False
+    names = [v for k, v in attrs if k in ("class", "id") and v]
     for name in _NAME.findall(" ".join(names).lower()):
         words = _WORDS.findall(name)
-        if words and (words[0] in NAMES or words[-1] in NAMES):
+        while words and words[0] in BEFORE:
+            del words[0]
+        while words and words[-1] in AFTER:
+            del words[-1]
+        if words and all(w in NAMES for w in words):
             return True
+    return False
+
+
+def no_content(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+    if tag in NO_CONTENT:
+        return not (tag == "header" and in_article)
     for key, value in attrs:
         value = (value or "").lower()
         if (key == "hidden" or key == "role" and value in ROLES
@@ -77,16 +94,25 @@ def no_content(tag: str, attrs: list[tuple[str, str | None]], in_article: bool)
         k in ("class", "id") and v and "comment" in v.lower() for k, v in attrs)
 
 
+class Block(NamedTuple):
+    text: str
+    tags: int
+    path: tuple[int, ...]  # numbers of the containers and named elements around it
+    content: bool
+    heading: bool
+
+
 class Blocks(HTMLParser):
-    """Collects (text, tags, container path, is content) of a page's blocks in page order."""
+    """Collects a page's blocks in page order."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, tuple[int, ...], bool]] = []
-        self.open: list[tuple[str, bool, int]] = []  # tag, excluded, container number or 0
+        self.blocks: list[Block] = []
+        self.open: list[tuple[str, bool, int]] = []  # tag, excluded, number or 0
         self.text: list[str] = []
         self.tags = 0
-        self.containers = 0
+        self.tag_of: dict[int, str] = {}
+        self.named: set[int] = set()
 
     def _excluded(self) -> bool:
         return bool(self.open) and self.open[-1][1]
@@ -94,7 +120,8 @@ class Blocks(HTMLParser):
     def _end_block(self) -> None:
         if self.text and (text := " ".join("".join(self.text).split())):
             path = tuple(n for _, _, n in self.open if n)
-            self.blocks.append((text, self.tags, path, not self._excluded()))
+            heading = any(t in HEADINGS for t, _, _ in self.open)
+            self.blocks.append(Block(text, self.tags, path, not self._excluded(), heading))
             self.tags = 0
         self.text = []
 
@@ -127,12 +154,15 @@ class Blocks(HTMLParser):
             return
         in_article = any(t in ("article", "main") for t, _, _ in self.open)
         excluded = self._excluded() or no_content(tag, attrs, in_article)
-        if excluded and not self._excluded():
+        by_name = named(tag, attrs)
+        if by_name or excluded and not self._excluded():
             self._end_block()
         number = 0
-        if tag in CONTAINER:
-            self.containers += 1
-            number = self.containers
+        if tag in CONTAINER or by_name:
+            number = len(self.tag_of) + 1
+            self.tag_of[number] = tag
+            if by_name:
+                self.named.add(number)
         self.open.append((tag, excluded, number))
 
     def handle_startendtag(self, tag, attrs):
@@ -143,9 +173,10 @@ class Blocks(HTMLParser):
     def handle_endtag(self, tag):
         self.tags += 1
         for depth in range(len(self.open) - 1, -1, -1):
-            name, excluded, _ = self.open[depth]
+            name, excluded, number = self.open[depth]
             if name == tag:
-                if tag in BLOCK or excluded != (depth > 0 and self.open[depth - 1][1]):
+                if (tag in BLOCK or number in self.named
+                        or excluded != (depth > 0 and self.open[depth - 1][1])):
                     self._pop_to(depth)
                 else:
                     del self.open[depth]
@@ -157,7 +188,7 @@ class Blocks(HTMLParser):
         if not (self.open and self.open[-1][0] in SILENT):
             self.text.append(data)
 
-    def finish(self) -> list[tuple[str, int, tuple[int, ...], bool]]:
+    def finish(self) -> list[Block]:
         self.close()
         self._end_block()
         return self.blocks
@@ -172,7 +203,10 @@ def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 
 def threshold(values: np.ndarray) -> float:
-    """The middle between the means of the two clusters it makes."""
+    """The middle between the means of the two clusters it makes.
+
+    Means less than ``APART`` times apart are one cluster, all above the threshold.
+    """
     at = float(values.mean())
     for _ in range(64):
         low, high = values[values < at], values[values >= at]
@@ -182,33 +216,60 @@ def threshold(values: np.ndarray) -> float:
         if abs(moved - at) < 1e-9:
             break
         at = moved
-    return at
+    low, high = values[values < at], values[values >= at]
+    one = not len(low) or not len(high) or low.mean() * APART > high.mean()
+    return float(values.min()) if one else at
+
+
+def _drops(parser: Blocks, number: int, blocks: list[Block], marked: list[Block]) -> bool:
+    """Whether an element named as no content is none: the ratios or an article elsewhere agree."""
+    inside = sum(len(b.text) for b in marked if number in b.path)
+    if 2 * inside < sum(len(b.text) for b in marked):
+        return True
+    at = {n for n, tag in parser.tag_of.items() if tag in ("article", "main")}
+    around = any(number in b.path and at.intersection(b.path[:b.path.index(number)]) for b in blocks)
+    return not around and any(
+        b.content and number not in b.path and at.intersection(b.path) for b in blocks)
+
+
+def _region(parser: Blocks, content: list[Block], marked: list[Block]) -> set[int]:
+    """Numbers of the elements whose blocks are the text; empty for the whole page."""
+    total = sum(len(b.text) for b in marked)
+    for tag in ("article", "main"):
+        inside = [(b, [n for n in b.path if parser.tag_of[n] == tag][:1]) for b in marked]
+        if sum(len(b.text) for b, n in inside if n) >= REGION_SHARE * total:
+            return {n[0] for _, n in inside if n}
+    path = list(marked[0].path)
+    for b in marked[1:]:
+        same = 0
+        while same < min(len(path), len(b.path)) and path[same] == b.path[same]:
+            same += 1
+        del path[same:]
+    # A container of one block is a cell or a quotation, and not what holds the page's text.
+    while path and sum(path[-1] in b.path for b in content) < 2:
+        path.pop()
+    return {path[-1]} if path else set()
 
 
 def main_text(html: str | None) -> str:
     parser = Blocks()
     parser.feed(html or "")
     blocks = parser.finish()
-    content = [b for b in blocks if b[3]]
+    if not any(b.content for b in blocks):
+        return ""
+    values = smooth(np.array([len(b.text) / max(1, b.tags) for b in blocks], float))
+    at = min(threshold(values), max(v for b, v in zip(blocks, values, strict=True) if b.content))
+    marked = [b for b, v in zip(blocks, values, strict=True) if b.content and v >= at]
+    dropped = {n for n in parser.named if _drops(parser, n, blocks, marked)}
+    content = [b for b in blocks if b.content and dropped.isdisjoint(b.path)]
+    marked = [b for b in marked if dropped.isdisjoint(b.path)] or content
     if len(content) < 2:
-        return content[0][0] if content else ""
-    values = smooth(np.array([len(t) / max(1, tags) for t, tags, _, _ in blocks], float))
-    at = threshold(values)
-    votes: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    total = 0
-    marked = [(b, v) for b, v in zip(blocks, values, strict=True) if b[3]]
-    if not any(v >= at for _, v in marked):
-        at = max(v for _, v in marked)
-    for (text, _, path, _), value in marked:
-        if value >= at:
-            total += len(text)
-            for level, number in enumerate(path):
-                votes[number] = votes.get(number, 0) + len(text)
-                depth[number] = level
-    regions = [n for n, v in votes.items() if v >= REGION_SHARE * total]
-    region = max(regions, key=depth.__getitem__, default=None)
-    return " ".join(t for t, _, path, _ in content if region is None or region in path)
+        return content[0].text if content else ""
+    region = _region(parser, content, marked)
+    chosen = [not region or not region.isdisjoint(b.path) for b in content]
+    for k in range(len(content) - 2, -1, -1):  # headings that adjoin it
+        chosen[k] |= chosen[k + 1] and content[k].heading
+    return " ".join(b.text for b, yes in zip(content, chosen, strict=True) if yes)
 
 
 def _extract(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -221,6 +221,29 @@ def test_main_text_of_odd_pages(html, text):
     assert html_text.main_text(html) == text
 
 
+LONG = "A long paragraph of the article with very many words in it that goes on and on to its end. " * 3
+
+
+@pytest.mark.parametrize("html, parts", [
+    ("<article><h1>Title</h1><p>Lead</p><div class=body><p>{0}</p><p>{0}</p></div></article>", ["Title", "Lead"]),
+    ("<div><div>" + "<p>{0}" * 6 + "</div><div><p>{0}<p>{0}Second</div></div>", ["Second"]),
+    ("<h1>Title</h1><div><p>{0}<p>{0}</div><nav>menu</nav>", ["Title"]),
+    ("<div><p>Before<blockquote>{0}{0}</blockquote><p>After</div>", ["Before", "After"]),
+    ("<div class='page no-sidebar'><p>{0}<p>End</div>", ["A long", "End"]),
+    ("<div class='has-sidebar menu-open'><p class=share-price>{0}<p>End</div>", ["A long", "End"]),
+    ("<div class=widget><p>{0}<p>{0}</div><p>Foot", ["A long"]),
+])
+def test_no_part_of_an_article_is_dropped(html, parts):
+    got = html_text.main_text(html.format(LONG))
+    assert all(p in got for p in parts), got
+    assert got.count("goes on and on") == html.count("{0}") * 3
+
+
+def test_whole_names_still_drop_adverts():
+    got = html_text.main_text(f"<div><p>{LONG}<p>{LONG}<div class=ad>Buy</div><ul id=comment-list><li>Me</ul></div>")
+    assert "Buy" not in got and "Me" not in got and "menu" not in got
+
+
 def test_extract_returns_every_page(spark, table):
     pages = table("pages")
     got = {r.page_id: r for r in html_text.extract(pages).collect()}
