@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from eventlens.llm import (
     bpe,
+    conversation_repair,
     decontaminate,
+    fill_middle,
     html_text,
     jaccard_join,
     lm_score,
     quality_rules,
     secret_scan,
     sharding,
+    simhash_dedup,
     suffix_dedup,
     warc,
 )
@@ -171,3 +174,83 @@ judged AS (SELECT *, n_words < {Q.MIN_WORDS}
 SELECT *, NOT base_failed AND n_words - n_removed_words >= n_words * {Q.MIN_LEFT} AS kept FROM judged""")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+# From the output and its form alone: the marks are where they stand first.
+@query("""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+ sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+r AS (SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS p, ('0x' || h[9:16])::BIGINT % (n + 1) AS q,
+ CASE WHEN n = 0 OR t LIKE '%<P>%' OR t LIKE '%<S>%' OR t LIKE '%<M>%' OR ('0x' || h[17:24])::BIGINT % 100 >= 90
+ THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+c AS (SELECT *, CASE WHEN form <> 'plain' THEN least(p, q) END AS a,
+ CASE WHEN form <> 'plain' THEN greatest(p, q) END AS b FROM r),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t
+ WHEN 'psm' THEN '<P>' || substring(t, 1, a) || '<S>' || substring(t, b + 1) || '<M>' || substring(t, a + 1, b - a)
+ ELSE '<S>' || substring(t, b + 1) || '<P>' || substring(t, 1, a) || '<M>' || substring(t, a + 1, b - a) END AS out FROM c),
+m AS (SELECT *, strpos(out, '<P>') AS op, strpos(out, '<S>') AS os, strpos(out, '<M>') AS om FROM o)
+SELECT doc_id, n, form, a AS prefix_chars, b - a AS middle_chars, sha256(out) AS output_sha256,
+ sha256(CASE form WHEN 'plain' THEN out
+ WHEN 'psm' THEN substring(out, 4, os - 4) || substring(out, om + 3) || substring(out, os + 3, om - os - 3)
+ ELSE substring(out, op + 3, om - op - 3) || substring(out, om + 3) || substring(out, 4, op - 4) END) AS restored_sha256
+FROM m""")
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.cluster(table(spark, sf_dir, "documents"))
+
+
+# The search over states as a recursive query that keeps whole edit strings; a checksum bit by bit.
+@query("""WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+ coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+crc AS (SELECT k, xor(list_reduce(list_prepend(4294967295::BIGINT,
+ list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT)), lambda c, b:
+ list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, o: xor(x >> 1, 3988292384 * (x & 1)) + o)),
+ 4294967295) % 20 AS kind FROM (SELECT DISTINCT k FROM raw)),
+hit AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+ CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+ unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM raw JOIN crc USING (k) WHERE kind <> 0),
+seen AS (SELECT *, row_number() OVER c AS i, lag(role) OVER c AS role_before,
+ row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again,
+ regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS final FROM hit
+ WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+r AS (SELECT *, CASE WHEN final = '' THEN 'blank' WHEN again > 1 THEN 'duplicate'
+ WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM seen),
+step(old, put, mid, letters, cost) AS (VALUES ('0', []::VARCHAR[], '0', '', 0), ('0', ['user:'], 'U', 'I', 3),
+ ('0', ['user:', 'assistant:'], 'A', 'II', 6), ('S', [], 'S', '', 0), ('S', ['user:'], 'U', 'I', 3),
+ ('S', ['user:', 'assistant:'], 'A', 'II', 6), ('U', [], 'U', '', 0), ('U', ['assistant:'], 'A', 'I', 3),
+ ('A', [], 'A', '', 0), ('A', ['user:'], 'U', 'I', 3)),
+says(mid, initial, nxt) AS (VALUES ('0', 's', 'S'), ('0', 'u', 'U'), ('S', 'u', 'U'), ('A', 'u', 'U'), ('U', 'a', 'A')),
+act(letter, mid, nxt, initial, role, cost) AS (
+ SELECT 'K', mid, nxt, initial, NULL, 0 FROM says
+ UNION ALL SELECT 'R', mid, nxt, NULL, CASE initial WHEN 'u' THEN 'user' ELSE 'assistant' END, 3 FROM says WHERE initial <> 's'
+ UNION ALL SELECT 'D', s, s, NULL, NULL, 4 FROM (VALUES ('0'), ('S'), ('U'), ('A')) v(s)),
+way AS (SELECT conv_id, 0::BIGINT AS i, '0' AS state, {'cost': 0, 'audit': '', 'kept': []::VARCHAR[]} AS w
+ FROM (SELECT DISTINCT conv_id FROM r)
+ UNION ALL
+ SELECT way.conv_id, way.i + 1, act.nxt, min({'cost': w.cost + step.cost + act.cost
+   + CASE WHEN fault = 'truncated' AND letter <> 'D' THEN 3 ELSE 0 END,
+  'audit': w.audit || step.letters || letter,
+  'kept': w.kept || step.put || CASE WHEN letter = 'D' THEN []::VARCHAR[] ELSE [coalesce(act.role, r.role) || ':' || r.text] END})
+ FROM way JOIN r ON r.conv_id IS NOT DISTINCT FROM way.conv_id AND r.i = way.i + 1
+ JOIN step ON step.old = way.state JOIN act ON act.mid = step.mid
+ AND (act.initial IS NULL OR act.initial = r.role[1]) AND (letter = 'D' OR fault NOT IN ('blank', 'duplicate'))
+ GROUP BY way.conv_id, way.i, act.nxt),
+figures AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+ count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+ count(*) FILTER (fault = 'truncated') AS truncated,
+ count(*) FILTER (i > 1 AND role_before[1] || role[1] NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+best AS (SELECT way.conv_id, min({'cost': w.cost + step.cost, 'audit': w.audit || step.letters,
+ 'kept': w.kept || step.put}) AS w FROM way JOIN figures f ON f.conv_id IS NOT DISTINCT FROM way.conv_id AND f.n = way.i
+ JOIN step ON step.old = way.state WHERE mid IN ('0', 'A') GROUP BY way.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+ coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+ coalesce(illegal, 0)::BIGINT AS illegal, coalesce(w.cost, 0)::BIGINT AS cost, coalesce(w.audit, '') AS audit,
+ sha256(coalesce(array_to_string(w.kept, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id""")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
