@@ -7,7 +7,8 @@ Of the cheapest ways the one whose edits, as initials (K, R, D, I), come first i
 
 That is a Viterbi search over four states: what the output ends with so far. Its backpointers are a
 tree; a node counts its references, from children and from the states that survive, and goes when
-nothing refers to it any more. Once all survivors descend from one child of the root, that child's
+nothing refers to it any more. A state that costs more than another one would need to imitate it does
+not survive. Once all survivors descend from one child of the root, that child's
 edit is certain: it leaves the task and becomes the root. So a task holds the unresolved edits of one
 conversation only, and ties are settled on these: survivors of equal cost are compared from their
 last common ancestor on, in full.
@@ -44,6 +45,10 @@ INSERTS = {START: [((), START), (("user",), USER), (("user", "assistant"), ASSIS
            SYSTEM: [((), SYSTEM), (("user",), USER), (("user", "assistant"), ASSISTANT)],
            USER: [((), USER), (("assistant",), ASSISTANT)],
            ASSISTANT: [((), ASSISTANT), (("user",), USER)]}
+#: The most that a state has to add to do what another one does from here on: behind a complete pair a
+#: system row is deleted instead of kept, and one row put in changes the phase.
+BEHIND = {START: {ASSISTANT: DELETE, USER: DELETE + INSERT}, SYSTEM: {ASSISTANT: 0, USER: INSERT},
+          USER: {ASSISTANT: INSERT}, ASSISTANT: {USER: INSERT}}
 
 EDITS = ("conv_id bigint, place bigint, edit string, turn bigint, said_by string, fault string, "
          "role string, text string, cost bigint")
@@ -175,6 +180,8 @@ class Search:
     def _survive(self, best: dict[int, Way]) -> None:
         old, self.survivors = self.survivors, {}
         for state, way in best.items():
+            if any(to in best and way.cost > best[to].cost + more for to, more in BEHIND[state].items()):
+                continue  # it can't be part of a cheapest way any more, not even of a tied one
             node = way.tip
             for edit in way.edits:
                 node = node.child(edit)
