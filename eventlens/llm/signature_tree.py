@@ -41,8 +41,10 @@ def fold(words: np.ndarray, width: int) -> np.ndarray:
 class Tree:
     """Levels from the entries up; node k's children are FAN neighbours from FAN * k on."""
 
-    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray):
-        excess = sizes - np.bitwise_count(bitmaps).sum(axis=1).astype(np.int64)
+    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray, excess: np.ndarray | None = None):
+        """``excess``: elements that may overlap less bits set, for bitmaps of a part of the elements."""
+        if excess is None:
+            excess = sizes - np.bitwise_count(bitmaps).sum(axis=1).astype(np.int64)
         self.levels = [(bitmaps, sizes, sizes, excess)]
         while len(self.levels[-1][1]) > FAN:
             bits, low, high, excess = self.levels[-1]
