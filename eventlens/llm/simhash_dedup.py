@@ -286,13 +286,14 @@ def links(prints: DataFrame, cover: tuple[Block, ...], threshold: int = THRESHOL
     if not covers(cover, threshold):
         raise ValueError("the cover misses pairs within the threshold")
     rows = visits(prints, cover)
+    # Only anchors with more rows than a chunk are cut; nobody at home: nothing to compare.
     sizes = (rows.groupBy("anchor")
              .agg(F.sum(F.col("home").cast("bigint")).alias("homes"), F.count(F.lit(1)).alias("n"))
-             .filter("homes > 0 AND n > homes + 1")
+             .filter(F.col("n") > chunk)
              .select("anchor", F.ceil(F.col("homes") / chunk).cast("int").alias("hs"),
                      F.ceil((F.col("n") - F.col("homes")) / chunk).cast("int").alias("gs")))
     mine = F.xxhash64("print")
-    dealt = (rows.join(sizes, "anchor")
+    dealt = (rows.join(sizes, "anchor", "left").fillna(1, ["hs", "gs"]).filter("hs > 0")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("home"), F.col("gs"))
                                                        .otherwise(F.col("hs")) - 1)))
              .withColumn("h", F.when(F.col("home"), F.pmod(mine, F.col("hs")).cast("int")).otherwise(F.col("other")))
