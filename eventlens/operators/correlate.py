@@ -10,6 +10,8 @@ from eventlens.functions.times import event_date
 
 # Rows one side of a join block may hold, so a block compares at most CHUNK^2 pairs.
 CHUNK = 20_000
+# A boolean column of envelopes: pairs then need one side for which it holds.
+FRESH = "_fresh"
 
 
 def entityless(envelopes: DataFrame) -> DataFrame:
@@ -20,7 +22,7 @@ def entityless(envelopes: DataFrame) -> DataFrame:
 def per_entity(envelopes: DataFrame) -> DataFrame:
     """One row per envelope and distinct entity; blank sources and entities are left out."""
     kept = ["event_id", "source", "ts_ms"]
-    kept += [c for c in ("event_time", "position") if c in envelopes.columns]
+    kept += [c for c in ("event_time", "position", FRESH) if c in envelopes.columns]
     return (
         envelopes.filter(F.trim("source") != "")
         .select(*kept, F.explode(F.array_distinct("entities")).alias("entity"))
@@ -41,14 +43,17 @@ def pairs(envelopes: DataFrame, window: str = "10 minutes", chunk: int = CHUNK)
     source never meet. Cells with more than ``chunk`` rows are cut into chunks, and
     every (left chunk, right chunk) is a join key of its own: a hot entity, a hot
     source or a crowd of copies spreads over as many tasks as it has chunk pairs.
+
+    With a column ``FRESH`` only pairs with a fresh side are returned, and cells of old rows never meet.
     """
     width = window_ms(window)
-    rows = _distinct_rows(per_entity(envelopes), width)
-    links = _links(_cells(rows, chunk), width, chunk)
-    left = _side(rows, links, "a", chunk)
-    right = _side(rows, links, "b", chunk)
+    cell = ["bin", "source", *([FRESH] if FRESH in envelopes.columns else [])]
+    rows = _distinct_rows(per_entity(envelopes), width, cell)
+    links = _links(_cells(rows, cell), width, chunk, cell)
+    left = _side(rows, links, "a", chunk, cell)
+    right = _side(rows, links, "b", chunk, cell)
     matched = left.join(
-        right, ["entity", "a_bin", "a_source", "b_bin", "b_source", "a_block", "b_block"]
+        right, ["entity", *(f"{side}_{c}" for side in "ab" for c in (*cell, "block"))]
     ).filter(F.abs(F.col("a_ts") - F.col("b_ts")) <= width)
     # Copies multiply: first one row per left copy, then one per right copy.
     for copies in ("a_copies", "b_copies"):
@@ -59,14 +64,14 @@ def pairs(envelopes: DataFrame, window: str = "10 minutes", chunk: int = CHUNK)
     )
 
 
-def _distinct_rows(rows: DataFrame, width: int) -> DataFrame:
+def _distinct_rows(rows: DataFrame, width: int, cell: list[str]) -> DataFrame:
     """Copies folded into a count before anything is shuffled whole."""
     bin_ = ((F.col("ts_ms") - F.pmod("ts_ms", F.lit(width))) / width).cast("bigint")
     # Nulls are ruled out here and not left to each join to infer: the five uses of this
     # frame then stay identical, and Spark runs its shuffle once and reuses it.
     return (
         rows.filter(F.col("ts_ms").isNotNull())
-        .groupBy("entity", "source", "event_id", "ts_ms")
+        .groupBy("entity", *cell[1:], "event_id", "ts_ms")
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("bin", F.coalesce(bin_, F.lit(0)))
     )
@@ -77,18 +82,18 @@ def _pieces(chunk: int) -> Column:
     return F.ceil(F.col("copies") / chunk)
 
 
-def _cells(rows: DataFrame, chunk: int) -> DataFrame:
-    return rows.groupBy("entity", "bin", "source").agg(
+def _cells(rows: DataFrame, cell: list[str]) -> DataFrame:
+    return rows.groupBy("entity", *cell).agg(
         F.sum("copies").alias("n"), F.min("ts_ms").alias("first"), F.max("ts_ms").alias("last")
     )
 
 
-def _links(cells: DataFrame, width: int, chunk: int) -> DataFrame:
+def _links(cells: DataFrame, width: int, chunk: int, cell: list[str]) -> DataFrame:
     """Cells that can pair, with the number of chunks each side of the link is cut into."""
     def side(name: str) -> DataFrame:
         return cells.select(
             "entity",
-            *[F.col(c).alias(f"{name}_{c}") for c in ("bin", "source", "first", "last")],
+            *[F.col(c).alias(f"{name}_{c}") for c in (*cell, "first", "last")],
             F.ceil(F.col("n") / chunk).cast("int").alias(f"{name}_chunks"),
         )
 
@@ -96,30 +101,31 @@ def _links(cells: DataFrame, width: int, chunk: int) -> DataFrame:
     near = side("b").withColumn(
         "a_bin", F.explode(F.array(*[F.col("b_bin") + d for d in (-1, 0, 1)]))
     )
+    wanted = F.col(f"a_{FRESH}") | F.col(f"b_{FRESH}") if FRESH in cell else F.lit(True)
     return (
         side("a").join(near, ["entity", "a_bin"])
-        .filter(F.col("a_source") < F.col("b_source"))
+        .filter(wanted & (F.col("a_source") < F.col("b_source")))
         .filter((F.col("b_first") - F.col("a_last") <= width)
                 & (F.col("a_first") - F.col("b_last") <= width))
-        .select("entity", "a_bin", "a_source", "b_bin", "b_source", "a_chunks", "b_chunks")
+        .select("entity", *(f"{s}_{c}" for s in "ab" for c in (*cell, "chunks")))
     )
 
 
-def _side(rows: DataFrame, links: DataFrame, me: str, chunk: int) -> DataFrame:
+def _side(rows: DataFrame, links: DataFrame, me: str, chunk: int, cell: list[str]) -> DataFrame:
     """Rows of one side of every link, placed in their own chunk and shown to each
     chunk of the other side."""
     other = "b" if me == "a" else "a"
     mine = rows.select(
-        "entity", F.col("bin").alias(f"{me}_bin"), F.col("source").alias(f"{me}_source"),
+        "entity", *[F.col(c).alias(f"{me}_{c}") for c in cell],
         F.col("event_id").alias(f"{me}_id"), F.col("ts_ms").alias(f"{me}_ts"),
         "copies", _pieces(chunk).alias("pieces"),
     )
-    linked = mine.join(links, ["entity", f"{me}_bin", f"{me}_source"])
+    linked = mine.join(links, ["entity", *(f"{me}_{c}" for c in cell)])
     cut = linked.withColumn("piece", F.explode(F.sequence(F.lit(1), F.col("pieces"))))
     size = F.least(F.lit(chunk), F.col("copies") - (F.col("piece") - 1) * chunk).cast("int")
     block = F.pmod(F.xxhash64(f"{me}_id", f"{me}_ts", "piece"), F.col(f"{me}_chunks")).cast("int")
     return cut.select(
-        "entity", "a_bin", "a_source", "b_bin", "b_source", f"{me}_id", f"{me}_ts",
+        "entity", *(f"{s}_{c}" for s in "ab" for c in cell), f"{me}_id", f"{me}_ts",
         size.alias(f"{me}_copies"), block.alias(f"{me}_block"),
         F.explode(F.sequence(F.lit(0), F.col(f"{other}_chunks") - 1)).alias(f"{other}_block"),
     )

@@ -19,19 +19,20 @@ from eventlens.settings import Settings, session
 from eventlens.sources import bus as B
 from eventlens.sources import feeds, sinks
 from eventlens.streaming import repair
+from eventlens.streaming.fanout import start_fanout
 from eventlens.streaming.pairs import stream_pairs
 from eventlens.streaming.sinks import (
-    quarantine_rows,
+    merge_batch,
     raw_rows,
     start_pairs,
     start_quarantine,
     start_raw,
-    write_batch,
+    unusable_rows,
 )
 
 # How far an event's time may lie after the record's arrival on the bus.
 AHEAD_MS = 24 * 3_600_000
-COMMANDS = ("ingest", "correlate", "backfill", "query", "status", "overview", "dlq", "sources")
+COMMANDS = ("ingest", "correlate", "fanout", "backfill", "query", "status", "overview", "dlq", "sources")
 FEEDS = {"hn": feeds.hn_envelopes, "lobsters": feeds.lobsters_envelopes, "rss": feeds.rss_envelopes,
          "news": feeds.news_envelopes, "stocks": feeds.stocks_envelopes}
 
@@ -90,7 +91,7 @@ def correlate(spark: SparkSession, bus: DataFrame, cfg: Settings, available_now:
     if cfg.tables.hive:
         repair.bootstrap_tables(spark, cfg)
         spark.streams.addListener(repair.RepairListener(
-            lambda: repair.repair_partitions(spark), cfg.tables.repair_seconds
+            lambda: repair.repair_partitions(spark, cfg), cfg.tables.repair_seconds
         ))
     rows = B.topic_filter(bus, cfg.bus.topics)
     envelopes = B.parse_envelopes(rows, position=True, ahead_ms=AHEAD_MS)
@@ -99,17 +100,24 @@ def correlate(spark: SparkSession, bus: DataFrame, cfg: Settings, available_now:
             start_quarantine(rows, cfg, AHEAD_MS, available_now))
 
 
+def fan_out(spark: SparkSession, bus: DataFrame, cfg: Settings, available_now: bool = False):
+    """Starts the one query that reads a bus stream once and feeds every sink; see ``streaming.fanout``."""
+    return start_fanout(spark, bus, cfg, AHEAD_MS, available_now)
+
+
 def backfill(bus: DataFrame, cfg: Settings) -> None:
     """The same sinks from all the bus holds, with the batch pair join.
 
-    The partitions it touches are written anew, so a second run changes nothing.
+    Rows that the sinks lack are appended, so a second run changes nothing, and rows that the bus has
+    dropped meanwhile stay. The bus is read and parsed once where the session has a checkpoint folder.
     """
-    rows = B.topic_filter(bus, cfg.bus.topics)
-    envelopes = B.parse_envelopes(rows, ahead_ms=AHEAD_MS)
-    write_batch(raw_rows(envelopes), cfg.sinks.raw, ["dt", "source"], replace=True)
-    write_batch(pairs(envelopes, cfg.join.window), cfg.sinks.pairs, ["dt"], replace=True)
-    write_batch(quarantine_rows(rows, AHEAD_MS), cfg.sinks.place(sinks.QUARANTINE), ["dt"],
-                replace=True)
+    rows = B.judged(B.topic_filter(bus, cfg.bus.topics), AHEAD_MS)
+    if bus.sparkSession.sparkContext.getCheckpointDir() is not None:
+        rows = rows.checkpoint()
+    envelopes = rows.filter("usable").select("e.*")
+    merge_batch(raw_rows(envelopes), cfg.sinks.raw, sinks.RAW_SCHEMA, ["dt", "source"])
+    merge_batch(pairs(envelopes, cfg.join.window), cfg.sinks.pairs, sinks.PAIRS_SCHEMA, ["dt"])
+    merge_batch(unusable_rows(rows), cfg.sinks.place(sinks.QUARANTINE), sinks.QUARANTINE_SCHEMA, ["dt"])
     if cfg.tables.hive:
         repair.bootstrap_tables(bus.sparkSession, cfg)
 
@@ -118,8 +126,8 @@ def query(spark: SparkSession, cfg: Settings, n: int = 10) -> tuple[DataFrame, D
     """The newest raw rows and the newest pairs, from tables or straight from Parquet."""
     if cfg.tables.hive:
         repair.bootstrap_tables(spark, cfg)
-        raw = spark.table(sinks.RAW_TABLE).select("event_id", "source", "ts_ms", "dt")
-        found = spark.table(sinks.PAIRS_TABLE)
+        raw = spark.table(repair.table_name(cfg, sinks.RAW_TABLE)).select("event_id", "source", "ts_ms", "dt")
+        found = spark.table(repair.table_name(cfg, sinks.PAIRS_TABLE))
     else:
         sinks.register_views(spark, cfg)
         raw, found = spark.table(sinks.RAW_TABLE), spark.table(sinks.PAIRS_TABLE)
@@ -188,7 +196,7 @@ def list_sources(spark: SparkSession, registry: Registry) -> DataFrame:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``ingest FEED FOLDER``, ``correlate``, ``backfill``, ``query``, ``status``, ``overview``,
+    """``ingest FEED FOLDER``, ``correlate``, ``fanout``, ``backfill``, ``query``, ``status``, ``overview``,
     ``dlq [topic]`` or ``sources``.
 
     ``ingest`` takes landed documents (Parquet with ``document``, for some feeds ``symbol`` and
@@ -206,6 +214,8 @@ def main(argv: list[str] | None = None) -> int:
     if command == "correlate":
         correlate(spark, B.read_bus_stream(spark, cfg), cfg)
         spark.streams.awaitAnyTermination()
+    elif command == "fanout":
+        fan_out(spark, B.read_bus_stream(spark, cfg), cfg).awaitTermination()
     elif command == "backfill":
         backfill(B.read_bus(spark, cfg), cfg)
     elif command == "query":

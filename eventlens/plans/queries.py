@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ from eventlens.sources import bus as B
 from eventlens.sources import feeds, sinks
 from eventlens.streaming import repair
 from eventlens.streaming import sinks as K
+from eventlens.streaming.fanout import write_fanout
 from eventlens.streaming.pairs import stream_pairs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -640,6 +643,93 @@ def backfill_accounts_for_all(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("texts"))
 
 
+@query(_SINK_TOTALS)
+def backfill_of_a_shortened_bus(spark, sf_dir):
+    """Run again once the bus has dropped its older half: the sinks keep what they hold."""
+    cfg = _scratch(spark, "shortened")
+    for rows in (W.bus(spark, sf_dir), W.bus(spark, sf_dir).filter("timestamp >= '2024-01-15 12:00:00'")):
+        jobs.backfill(rows, cfg)
+    return S.sink_totals(sinks.read_pairs(spark, cfg), sinks.read_raw(spark, cfg))
+
+
+# ---- all sinks from one read --------------------------------------------------------
+
+def _slices(spark, sf_dir) -> list[DataFrame]:
+    """The events as three batches by time, but every seventh comes with the last; a third of all is
+    about one entity."""
+    ts = c("ts").cast("timestamp")
+    third = (F.when(ts < "2024-01-11", 0).when(ts < "2024-01-21", 1).otherwise(2))
+    events = W.table(spark, sf_dir, "events").withColumn(
+        "user_id", F.when(c("event_id") % 3 == 0, 0).otherwise(c("user_id")).cast("bigint"))
+    batch = F.when(c("event_id") % 7 == 0, 2).otherwise(third)
+    return [events.filter(batch == b) for b in range(3)]
+
+
+_FANOUT = f"""WITH {BUS.replace("'U' || user_id", "'U' || CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END")},
+arrived AS (SELECT *, (CASE WHEN n % 7 = 0 THEN 2 WHEN "timestamp" < TIMESTAMP '2024-01-11' THEN 0
+ WHEN "timestamp" < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END)::BIGINT AS batch
+ FROM bus WHERE topic LIKE 'events.%' AND topic NOT LIKE '%.dlq'),
+marks AS (SELECT b.batch, max(a.ts_ms) - 600000 AS watermark_ms FROM (SELECT unnest([0, 1, 2])::BIGINT AS batch) b
+ LEFT JOIN arrived a ON a.batch < b.batch - 1 GROUP BY b.batch),
+judged AS (SELECT a.*, m.watermark_ms, len(entities) > 0 AND coalesce(ts_ms <= m.watermark_ms, false) AS late
+ FROM arrived a JOIN marks m USING (batch)),
+fresh AS (SELECT * FROM judged WHERE NOT late),
+ent AS (SELECT event_id, source, ts_ms, unnest(entities) AS entity FROM fresh),
+pairs AS (SELECT l.entity, l.event_id AS a_id, r.event_id AS b_id, greatest(l.ts_ms, r.ts_ms) AS ts_ms
+ FROM ent l JOIN ent r ON l.entity = r.entity AND l.source < r.source AND abs(l.ts_ms - r.ts_ms) <= 600000)"""
+
+
+@query(f"{_FANOUT} SELECT entity, a_id, b_id, ts_ms, {DAY} AS dt FROM pairs")
+def fanout_pairs(spark, sf_dir):
+    """A stream of three files; a third of the events is about an entity that nobody has named."""
+    cfg = _scratch(spark, "fanout")
+    for rows in _slices(spark, sf_dir):
+        rows.coalesce(1).write.mode("append").parquet(cfg.sinks.place("land"))
+    stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+              .parquet(cfg.sinks.place("land")))
+    jobs.fan_out(spark, W.bus_rows(stream), cfg, available_now=True).awaitTermination()
+    return _text_dt(sinks.read_pairs(spark, cfg))
+
+
+def _fanned(spark, sf_dir, label: str, again: tuple[int, ...] = ()) -> Settings:
+    """The three batches, some of them a second time."""
+    cfg = _scratch(spark, label)
+    for batch, rows in enumerate(_slices(spark, sf_dir)):
+        for _ in range(1 + again.count(batch)):
+            write_fanout(W.bus_rows(rows), batch, cfg, jobs.AHEAD_MS)
+    return cfg
+
+
+@query(f"""{_FANOUT} SELECT event_id, source, array_to_string(entities, ' ') AS entities, ts_ms,
+watermark_ms - ts_ms AS late_ms, batch, {DAY} AS dt FROM judged WHERE late""")
+def fanout_late(spark, sf_dir):
+    cfg = _fanned(spark, sf_dir, "late")
+    return _text_dt(sinks.read_late(spark, cfg).drop("payload").withColumn("entities", _joined("entities")))
+
+
+@query(f"""{_FANOUT} SELECT batch, count(*) AS n, count(*) FILTER (ts_ms IS NULL) AS unusable,
+count(*) FILTER (len(entities) = 0) AS raw, count(*) FILTER (late) AS late,
+count(*) FILTER (len(entities) > 0 AND NOT late) AS entity_rows, max(ts_ms) AS max_ms,
+any_value(watermark_ms) AS watermark_ms FROM judged GROUP BY batch""")
+def fanout_batches(spark, sf_dir):
+    """Every row of the bus is counted once: unusable, raw, to be paired, or late."""
+    return sinks.read_batches(spark, _fanned(spark, sf_dir, "batches"))
+
+
+@query(f"""{_FANOUT} SELECT 'pairs' AS sink, count(*) AS n, count(DISTINCT a_id || b_id) AS different FROM pairs
+UNION ALL SELECT 'raw', count(*), count(DISTINCT event_id) FROM judged WHERE len(entities) = 0
+UNION ALL SELECT 'late', count(*), count(DISTINCT event_id) FROM judged WHERE late""")
+def fanout_repeated(spark, sf_dir):
+    """Batches that ran again, as after a lost driver, leave the same rows."""
+    cfg = _fanned(spark, sf_dir, "repeated", again=(1, 2, 2))
+    frames = {"pairs": sinks.read_pairs(spark, cfg).select(F.concat("a_id", "b_id").alias("id")),
+              "raw": sinks.read_raw(spark, cfg).select(c("event_id").alias("id")),
+              "late": sinks.read_late(spark, cfg).select(c("event_id").alias("id"))}
+    return reduce(DataFrame.union, (
+        df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("different"))
+        .select(F.lit(name).alias("sink"), "n", "different") for name, df in frames.items()))
+
+
 @query(f"""WITH {_ODD} SELECT CASE WHEN beyond OR broken THEN '-' WHEN ahead THEN '12-31'
 ELSE strftime(make_timestamp(ts_ms * 1000), '%m-%d') END AS group_key, count(*) AS n
 FROM odd GROUP BY group_key""")
@@ -890,14 +980,20 @@ def sql_pairs_by_id(spark, sf_dir):
 
 
 def _over_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """``jobs.query`` over catalog tables of freshly written sinks, their partitions repaired."""
+    """``jobs.query`` over catalog tables of freshly written sinks, in a database of this call's own."""
     cfg = _scratch(spark, "tables")
-    jobs.backfill(W.bus(spark, sf_dir), cfg)
-    for name in (sinks.RAW_TABLE, sinks.PAIRS_TABLE):
-        spark.catalog.dropTempView(name)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: an earlier call's entry, not its files
-    repair.bootstrap_tables(spark, cfg)
-    return L.latest_raw(spark.table(sinks.RAW_TABLE)), L.latest_pairs(spark.table(sinks.PAIRS_TABLE))
+    cfg = replace(cfg, tables=replace(cfg.tables, database=f"eventlens_{uuid.uuid4().hex}"))
+    out = []
+    try:
+        jobs.backfill(W.bus(spark, sf_dir), cfg)
+        repair.bootstrap_tables(spark, cfg)
+        for name, newest in ((sinks.RAW_TABLE, L.latest_raw), (sinks.PAIRS_TABLE, L.latest_pairs)):
+            path = cfg.sinks.place(f"newest_{name}")
+            newest(spark.table(repair.table_name(cfg, name))).write.parquet(path)
+            out.append(spark.read.parquet(path))
+    finally:  # external tables: their files stay
+        spark.sql(f"DROP DATABASE IF EXISTS {cfg.tables.database} CASCADE")
+    return out[0], out[1]
 
 
 @query(f"""WITH {BUS} SELECT event_id, source, ts_ms, {DAY} AS dt FROM bus

@@ -52,6 +52,8 @@ class Sinks:
     root: str = ""
     checkpoints: str = ""
     trigger: str = ""
+    # Files a stream writes for each partition and batch, one task each.
+    files: int = 4
 
     def place(self, name: str) -> str:
         if not self.root:
@@ -75,6 +77,8 @@ class Sinks:
 class Tables:
     hive: bool = False
     metastore: str = ""
+    # A database of the deployment's own for its two tables; without one they are in the current one.
+    database: str = ""
     # Where the metastore sees the sinks, if it names their file system otherwise.
     root: str = ""
     repair_seconds: int = 30
@@ -164,6 +168,12 @@ def _yes_no(text: str) -> bool:
     return text == "true"
 
 
+def _database(text: str) -> str:
+    if text and not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", text):
+        raise ValueError(f"{text!r} is no plain database name")
+    return text
+
+
 def _interval(text: str) -> str:
     window_ms(text)
     return text
@@ -183,8 +193,10 @@ VARIABLES: dict[str, tuple[str, str, Callable]] = {PREFIX + name: rest for name,
     "SINKS": ("sinks", "root", str),
     "CHECKPOINTS": ("sinks", "checkpoints", str),
     "TRIGGER": ("sinks", "trigger", str),
+    "FILES": ("sinks", "files", _count(1)),
     "HIVE": ("tables", "hive", _yes_no),
     "METASTORE": ("tables", "metastore", str),
+    "DATABASE": ("tables", "database", _database),
     "TABLES": ("tables", "root", str),
     "REPAIR_SECONDS": ("tables", "repair_seconds", _count(0)),
     "WINDOW": ("join", "window", _interval),

@@ -89,6 +89,16 @@ def unparsed(bus: DataFrame, ahead_ms: int | None = None) -> DataFrame:
     return rows.filter(~F.coalesce(_usable("_e.", ahead_ms), F.lit(False))).drop("_e")
 
 
+def judged(bus: DataFrame, ahead_ms: int | None = None) -> DataFrame:
+    """Every bus row with its envelope ``e`` and whether it is ``usable``, from one parse.
+
+    ``parse_envelopes`` and ``unparsed`` are the two halves of this frame.
+    """
+    e = F.from_json(F.col("value").cast("string"), ENVELOPE)
+    rows = with_once(bus, "e", e)
+    return rows.withColumn("usable", F.coalesce(_usable("e.", ahead_ms), F.lit(False)))
+
+
 def _usable(prefix: str, ahead_ms: int | None) -> Column:
     ts_ms = F.col(f"{prefix}ts_ms")
     usable = F.col(f"{prefix}event_id").isNotNull() & ts_ms.between(MIN_TS_MS, MAX_TS_MS)

@@ -21,6 +21,13 @@ PAIRS_TABLE = "correlated"
 
 
 CURSORS, QUARANTINE = "cursors", "quarantine"
+# Of the fan-out: what pairs are made of, what came too late, and what each batch held.
+ENTITY_ROWS, LATE, BATCHES = "entity_rows", "late", "batches"
+ENTITY_ROWS_SCHEMA = "event_id string, source string, entities array<string>, ts_ms bigint, batch bigint, dt date"
+LATE_SCHEMA = ("event_id string, source string, entities array<string>, ts_ms bigint, payload string, "
+               "late_ms bigint, batch bigint, dt date")
+BATCHES_SCHEMA = ("n bigint, unusable bigint, raw bigint, entity_rows bigint, late bigint, max_ms bigint, "
+                  "watermark_ms bigint, batch bigint")
 CURSOR_SCHEMA = "source string, cursor_ms bigint"
 QUARANTINE_SCHEMA = ("topic string, partition int, offset bigint, timestamp timestamp, value string, "
                      "dt date")
@@ -55,6 +62,17 @@ def read_sink(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def partition_values(spark: SparkSession, path: str, key: str) -> list[str]:
+    """The values of a sink's outermost partition column, from folder names, ascending; nulls left out."""
+    if not path_exists(spark, path):
+        return []
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(path)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+    values = [n.removeprefix(f"{key}=") for n in names if n.startswith(f"{key}=")]
+    return sorted(v for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+
+
 def read_raw(spark: SparkSession, cfg: Settings) -> DataFrame:
     return read_sink(spark, cfg.sinks.raw, RAW_SCHEMA)
 
@@ -79,6 +97,16 @@ def append_cursors(cursors: DataFrame, cfg: Settings) -> None:
         cfg.sinks.place(CURSORS))
 
 
+def read_late(spark: SparkSession, cfg: Settings) -> DataFrame:
+    """Events that came behind the watermark, by how much, and in which batch."""
+    return read_sink(spark, cfg.sinks.place(LATE), LATE_SCHEMA)
+
+
+def read_batches(spark: SparkSession, cfg: Settings) -> DataFrame:
+    """What each batch of the fan-out held: a row per batch."""
+    return read_sink(spark, cfg.sinks.place(BATCHES), BATCHES_SCHEMA)
+
+
 def register_views(spark: SparkSession, cfg: Settings) -> None:
     """Temp views over the sinks, for plain SQL where there is no catalog."""
     read_raw(spark, cfg).createOrReplaceTempView(RAW_TABLE)

@@ -10,7 +10,7 @@ from eventlens.functions.times import event_date
 from eventlens.operators.correlate import entityless
 from eventlens.settings import Settings
 from eventlens.sources.bus import unparsed
-from eventlens.sources.sinks import QUARANTINE, path_exists
+from eventlens.sources.sinks import QUARANTINE, path_exists, read_sink
 
 # The suffix goes up whenever the join's state changes shape: a query cannot restart
 # from a checkpoint of another shape.
@@ -29,7 +29,16 @@ def raw_rows(envelopes: DataFrame) -> DataFrame:
 
 def quarantine_rows(bus: DataFrame, ahead_ms: int | None = None) -> DataFrame:
     """The bus rows that parsing leaves out, as text, with the date they arrived."""
-    return unparsed(bus, ahead_ms).select(
+    return _as_text(unparsed(bus, ahead_ms))
+
+
+def unusable_rows(judged: DataFrame) -> DataFrame:
+    """The same of rows that ``sources.bus.judged`` has parsed."""
+    return _as_text(judged.filter("NOT usable"))
+
+
+def _as_text(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"),
         F.to_date("timestamp").alias("dt"))
 
@@ -38,11 +47,12 @@ def start_sink(df: DataFrame, name: str, path: str, partitions: list[str], cfg:
                available_now: bool = False) -> StreamingQuery:
     """Appends a stream to Parquet under the query's own checkpoint.
 
-    Rows of one partition are brought together, so a batch leaves a file for each partition and not
-    one for each task and partition.
+    Rows of one partition are brought together, ``cfg.sinks.files`` files for each, so a batch neither
+    leaves a file for each task and partition nor puts a whole day into one task.
     """
+    place = F.pmod(F.xxhash64(*df.columns), F.lit(cfg.sinks.files))
     writer = (
-        df.repartition(*partitions).writeStream.format("parquet").outputMode("append").queryName(name)
+        df.repartition(*partitions, place).writeStream.format("parquet").outputMode("append").queryName(name)
         .partitionBy(*partitions)
         .option("path", path).option("checkpointLocation", f"{cfg.sinks.checkpoint_root}/{name}")
     )
@@ -83,3 +93,18 @@ def write_batch(df: DataFrame, path: str, partitions: list[str], replace: bool =
     else:
         writer = writer.mode("append")
     writer.parquet(path)
+
+
+def merge_batch(df: DataFrame, path: str, schema: str, partitions: list[str]) -> None:
+    """Appends the rows that a sink does not hold yet; nothing it holds is touched.
+
+    Copies count: of a row that is there k times and comes n times, n - k are appended. New rows and
+    stored ones are weighed against each other by one aggregation, which combines copies per task;
+    of the sink, only the days that the new rows are of are read.
+    """
+    stored = read_sink(df.sparkSession, path, schema).select(*df.columns)
+    stored = stored.join(df.select("dt").distinct(), "dt", "left_semi").select(*df.columns)
+    weighed = df.withColumn("_n", F.lit(1)).union(stored.withColumn("_n", F.lit(-1)))
+    missing = (weighed.groupBy(*df.columns).agg(F.sum("_n").alias("_n")).filter("_n > 0")
+               .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).drop("_n"))
+    write_batch(missing, path, partitions)
