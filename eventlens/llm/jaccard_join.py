@@ -10,11 +10,13 @@ n - ceil(percent * n / 100) + needed elements in an order that is the same for a
 2. each node is compared with the smallest node of each of its lists, exactly; these links already
    join a group of copies, whatever its size, with as many comparisons as members;
 3. lists whose other members still are of several components go through signature trees, one list of
-   those with the same members. A group has the elements of its sets with it: those that several of
-   them share are numbered anew and make the bitmaps, which, with the sizes, prune pairs of nodes by
-   the largest possible overlap; where each element has a bit, what is left is similar, else the sets
-   are compared. A group returns a spanning forest of its links, never all of them. Long lists are cut
-   into chunks, by rows and by elements, and each pair of chunks is a task's group.
+   those with the same members: bitmaps and sizes prune pairs of nodes by the largest possible
+   overlap. A group first offers a spanning forest of the pairs that are left, which are compared
+   exactly and join almost all there is to join; then all pairs between components that still are
+   different. Long lists are cut into chunks, and each pair of chunks is a task's group.
+
+Pairs are compared by sizes, then by bitmaps, and only what these leave by the elements, since the
+elements are what makes a shuffle wide.
 
 Nothing is capped and no step depends on luck; common elements only change the order.
 
@@ -26,7 +28,6 @@ alone; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -47,9 +48,7 @@ HOT_LEAST = 8
 BATCH = 12 << 20
 MAX_HOT = 1 << 20
 CHUNK = 4096
-ELEMENTS = 1 << 21
-BIG = 1 << 12
-MAX_BITS = 1 << 13
+ELEMENTS = 1 << 22
 MORE_PERCENT = 3
 
 
@@ -147,27 +146,41 @@ def prefixes(docs: DataFrame, size: int, percent: int, hot: np.ndarray) -> DataF
 
 
 def node_sets(docs: DataFrame, size: int) -> DataFrame:
-    """Per node: the set itself and its size. ``docs`` has node and text."""
+    """Per node: the set itself, its size and its bitmap. ``docs`` has node and text."""
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column(1), size)
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+        maps = [S.bitmap(s, S.width_for(len(s))).tobytes() for s in sets]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(np.concatenate(sets))))],
-            ["node", "n", "elements"])
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(np.concatenate(sets)))),
+             pa.array(maps, pa.binary())], ["node", "n", "elements", "bitmap"])
+
+    return arrow_map(docs, of, "node bigint, n bigint, elements array<bigint>, bitmap binary", text=1)
+
+
+def _possible(percent: int):
+    """Keeps the pairs whose bitmaps leave enough overlap possible."""
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True)
+        keep = [S.overlap(np.frombuffer(x, np.uint64), na, np.frombuffer(y, np.uint64), nb) * (100 + percent)
+                >= (na + nb) * percent for na, x, nb, y in rows]
+        return batch.select([0, 1, 2, 4]).filter(pa.array(keep, pa.bool_()))
 
-    return arrow_map(docs, of, "node bigint, n bigint, elements array<bigint>", text=1)
+    return of
 
 
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar: sizes first, then the exact intersection."""
-    sizes = sets.select("node", "n")
-    near = (pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    """The pairs (a, b) whose sets are similar: sizes first, then bitmaps, then the exact intersection."""
+    known = sets.select("node", "n", "bitmap")
+    near = (pairs.select("a", "b").join(known.toDF("a", "na", "ma"), "a").join(known.toDF("b", "nb", "mb"), "b")
             .filter((F.col("na") * 100 >= F.col("nb") * percent)
-                    & (F.col("nb") * 100 >= F.col("na") * percent)))
+                    & (F.col("nb") * 100 >= F.col("na") * percent))
+            .select("a", "b", "na", "ma", "nb", "mb"))
+    left = arrow_map(near, _possible(percent), "a bigint, b bigint, na bigint, nb bigint")
     elements = sets.select("node", "elements")
     both = F.size(F.array_intersect("ea", "eb")).cast("bigint")
-    return (near.join(elements.toDF("b", "eb"), "b").join(elements.toDF("a", "ea"), "a")
+    return (left.join(elements.toDF("b", "eb"), "b").join(elements.toDF("a", "ea"), "a")
             .withColumn("both", both)
             .filter(F.col("both") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
             .select("a", "b"))
@@ -195,54 +208,14 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-class _Group(NamedTuple):
-    """A chunk of a list with itself, or two chunks of it; big sets come without their elements."""
-
-    node: np.ndarray
-    component: np.ndarray
-    n: np.ndarray
-    guest: np.ndarray
-    chunk: np.ndarray
-    offsets: np.ndarray
-    elements: np.ndarray
-    two_chunks: bool
-
-    def may_meet(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Guests do not meet each other, nor do rows of one chunk where there are two."""
-        ok = (self.component[i] != self.component[j]) & ~(self.guest[i] & self.guest[j])
-        return ok & (self.chunk[i] != self.chunk[j]) if self.two_chunks else ok
-
-
-def _bitmaps(group: _Group, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Bitmaps of the sets in ``held``, the excess of each, and whether they are exact.
-
-    Only elements that several sets of the group have can overlap; numbered anew they need few bits,
-    and where each has a bit of its own the bitmaps are the sets.
-    """
-    counts = group.offsets[held + 1] - group.offsets[held]
-    owner = np.repeat(np.arange(len(held)), counts)
-    at = np.arange(counts.sum()) + np.repeat(group.offsets[held] - np.cumsum(counts) + counts, counts)
-    _, number, times = np.unique(group.elements[at], return_inverse=True, return_counts=True)
-    shared = times > 1
-    bit = (np.cumsum(shared) - 1)[number]
-    common = shared[number]
-    owner, bit = owner[common], bit[common]
-    exact = int(shared.sum()) <= MAX_BITS
-    width = min(MAX_BITS, max(64, 1 << (max(1, int(shared.sum())) - 1).bit_length()))
-    bits = np.zeros((len(held), width), np.uint8)
-    bits[owner, bit & (width - 1)] = 1
-    words = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
-    return words, np.bincount(owner, minlength=len(held)) - bits.sum(axis=1, dtype=np.int64), exact
-
-
 class _Spanning:
     """Which members are joined already; keeps of many pairs those that join something new."""
 
     def __init__(self, component: np.ndarray):
         self.label = np.unique(component, return_inverse=True)[1]
 
-    def new(self, i: np.ndarray, j: np.ndarray, holds=None) -> np.ndarray:
-        """Places of the pairs to keep; ``holds(k)`` decides on a pair that is not certain."""
+    def new(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Places of the pairs to keep."""
         a, b = self.label[i], self.label[j]
         top: dict[int, int] = {}
 
@@ -252,54 +225,51 @@ class _Spanning:
             return x
 
         apart = np.flatnonzero(a != b)
-        if holds is None and len(apart):  # one of the pairs that join the same two will do
-            low, high = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
-            apart = apart[np.unique(low * (int(self.label.max()) + 1) + high, return_index=True)[1]]
+        if not len(apart):
+            return apart
+        # One of the pairs that join the same two will do.
+        low, high = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+        apart = apart[np.unique(low * (int(self.label.max()) + 1) + high, return_index=True)[1]]
         keep = []
         for k in apart.tolist():
             x, y = root(int(a[k])), root(int(b[k]))
-            if x != y and (holds is None or holds(k)):
+            if x != y:
                 top[x] = y
                 keep.append(k)
-        if keep:
-            table = np.arange(int(self.label.max()) + 1)
-            for x in top:
-                table[x] = root(x)
-            self.label = table[self.label]
+        table = np.arange(int(self.label.max()) + 1)
+        for x in top:
+            table[x] = root(x)
+        self.label = table[self.label]
         return np.array(keep, np.int64)
 
 
-def _group_pairs(group: _Group, percent: int, forest: bool) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """(i, j, sure): similar members, of a forest only as many as join them; unsure if one is big."""
-    big = group.n > BIG
-    held = np.flatnonzero(~big)
-    if len(held) > 1:
-        words, excess, exact = _bitmaps(group, held)
-        order = np.lexsort((words[:, 0], group.n[held]))  # of equal sizes, relatives side by side
-        held, tree = held[order], S.Tree(words[order], group.n[held][order], excess[order])
-        spanning = _Spanning(group.component)
-
-        def holds(k: int) -> bool:
-            x, y = (group.elements[group.offsets[m]:group.offsets[m + 1]] for m in (i[k], j[k]))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            return both * (100 + percent) >= (len(x) + len(y)) * percent
-
-        for i, j in S.pairs(tree, percent):
-            i, j = held[i], held[j]
-            ok = group.may_meet(i, j)
+def _group_pairs(columns: dict[str, np.ndarray], maps: list[bytes], percent: int, forest: bool) -> Iterator[tuple]:
+    """Pairs of one group: a chunk of a list with itself, or two chunks of it."""
+    node, component, n = (columns[k] for k in ("node", "component", "n"))
+    guest, chunk = columns["guest"], columns["chunk"]
+    spanning = _Spanning(component)
+    # Similar sets are of one size class or of neighbouring ones; bitmaps of a class differ little in width.
+    size_class = np.floor(np.log(np.maximum(n, 1)) / _base(percent)).astype(np.int64)
+    for k in np.unique(size_class).tolist():
+        at = np.flatnonzero((size_class == k) | (size_class == k + 1))
+        if len(at) < 2:
+            continue
+        words = [np.frombuffer(maps[m], np.uint64) for m in at]
+        width = min(map(S.width_of, words))
+        bits = np.stack([S.fold(m, width) for m in words])
+        at_order = np.lexsort((bits[:, 0], n[at]))  # of equal sizes, relatives side by side
+        at = at[at_order]
+        for i, j in S.pairs(S.Tree(bits[at_order], n[at]), percent):
+            i, j = at[i], at[j]
+            ok = (component[i] != component[j]) & ~(guest[i] & guest[j]) & (
+                (size_class[i] == k) | (size_class[j] == k))
+            if columns["c1"][0] != columns["c2"][0]:
+                ok &= chunk[i] != chunk[j]
             i, j = i[ok], j[ok]
             if forest:
-                keep = spanning.new(i, j, None if exact else holds)
-            else:
-                keep = np.arange(len(i)) if exact else np.array([k for k in range(len(i)) if holds(k)], np.int64)
-            if len(keep):
-                yield i[keep], j[keep], True
-    for x in np.flatnonzero(big).tolist():
-        others = np.flatnonzero(~big | (np.arange(len(big)) > x))
-        near = ((group.n[others] * 100 >= group.n[x] * percent) & (group.n[x] * 100 >= group.n[others] * percent)
-                & group.may_meet(np.full(len(others), x), others))
-        if near.any():
-            yield np.full(int(near.sum()), x), others[near], False
+                keep = spanning.new(i, j)
+                i, j = i[keep], j[keep]
+            yield np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
 
 
 GROUP = ("element", "class", "c1", "c2")
@@ -307,51 +277,43 @@ GROUP = ("element", "class", "c1", "c2")
 
 def _tree_pairs(percent: int, forest: bool):
     """Over rows sorted by group; at most one group and one batch are held."""
-    def pairs_of(table: pa.Table, last: bool) -> tuple[pa.RecordBatch | None, pa.Table]:
-        keys = np.stack([table[k].to_numpy() for k in GROUP], axis=1)
-        new = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        cuts = np.concatenate([[0], new, [table.num_rows] if last else []]).astype(int)
-        out = []
-        if len(cuts) > 1:
-            done = table.slice(0, int(cuts[-1]))
-            columns = {k: done[k].to_numpy() for k in ("node", "component", "n", "guest", "chunk")}
-            lists = done["elements"].combine_chunks()
-            lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-            sizes = np.where(columns["n"] > BIG, 0, columns["n"])
-            offsets = np.concatenate([[0], np.cumsum(sizes)])
-            elements = lists.flatten().to_numpy()
-            for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                group = _Group(*(columns[k][low:high] for k in ("node", "component", "n", "guest", "chunk")),
-                               offsets[low:high + 1], elements, keys[low, 2] != keys[low, 3])
-                if high - low > 1 and (group.component != group.component[0]).any():
-                    for i, j, sure in _group_pairs(group, percent, forest):
-                        a, b = group.node[i], group.node[j]
-                        out.append((np.minimum(a, b), np.maximum(a, b), np.full(len(a), sure)))
-        batch = out and pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["a", "b", "sure"])
-        return batch or None, table.slice(int(cuts[-1]))
+    def pairs_of(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+        columns = {k: table[k].to_numpy() for k in table.column_names if k != "bitmap"}
+        new = np.zeros(table.num_rows, bool)
+        for k in GROUP:
+            new[1:] |= columns[k][1:] != columns[k][:-1]
+        cuts = np.concatenate([[0], np.flatnonzero(new), [table.num_rows] if last else []]).astype(int)
+        maps = table["bitmap"].to_pylist()
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if (columns["component"][low:high] != columns["component"][low]).any():
+                out += _group_pairs({k: v[low:high] for k, v in columns.items()}, maps[low:high], percent, forest)
+        batch = pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["a", "b"])
+        return batch, table.slice(cuts[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        for batch in itertools.chain(batches, [None]):
-            if batch is not None:
-                table = pa.Table.from_batches([batch])
-                held = table if held is None else pa.concat_tables([held, table])
-            if held is not None and held.num_rows:
-                out, held = pairs_of(held, batch is None)
-                if out is not None:
-                    yield out
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            out, held = pairs_of(held, False)
+            yield out
+        if held is not None and held.num_rows:
+            yield pairs_of(held, True)[0]
 
     return run
 
 
+def _base(percent: int) -> float:
+    """The logarithm of the largest ratio of similar sets' sizes."""
+    return math.log(100 / percent) * (1 + 1e-9)
+
+
 def candidate_pairs(lists: DataFrame, sets: DataFrame, percent: int, chunk: int = CHUNK,
                     forest: bool = False) -> DataFrame:
-    """(a, b, sure): similar nodes of different components, from (element, node, component).
+    """Pairs of different components that signature trees leave, from (element, node, component).
 
-    A list's members meet in one group, elements with them, so what leaves it is similar; only pairs
-    with a set of more than ``BIG`` elements, which stay at home, are still to be compared. With
-    ``forest`` a group returns no more than joins its components.
+    With ``forest`` a group returns no more of them than join its components.
     """
     # Lists with the same members (by 128 bits) need one of them.
     shape = (lists.groupBy("element")
@@ -360,16 +322,14 @@ def candidate_pairs(lists: DataFrame, sets: DataFrame, percent: int, chunk: int
                   F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
              .filter("low <> high").groupBy("members", "x", "y").agg(F.min("element").alias("element"))
              .select("element", "members"))
-    # Similar sets are in one size class or in neighbouring ones: a set visits the class below. Lists
-    # of one chunk need no classes.
-    base = math.log(100 / percent) * (1 + 1e-9)
+    # A long list is dealt by size class, and a set visits the class below.
     long = F.col("members") > chunk
     rows = (lists.join(shape, "element").join(sets.select("node", "n"), "node")
             .withColumn("v", F.explode(F.when(long, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
             .withColumn("guest", F.col("v") == 1)
-            .withColumn("class", F.when(long, F.floor(F.log("n") / base).cast("int") - F.col("v")).otherwise(0))
+            .withColumn("class", F.when(long, F.floor(F.log("n") / _base(percent)).cast("int") - F.col("v")).otherwise(0))
             .select("element", "class", "node", "component", "n", "guest"))
-    size = F.greatest(F.count(F.lit(1)) / chunk, F.sum(F.when(F.col("n") <= BIG, F.col("n"))) / ELEMENTS)
+    size = F.greatest(F.count(F.lit(1)) / chunk, F.sum("n") / ELEMENTS)
     counts = (rows.groupBy("element", "class")
               .agg(F.ceil(size).cast("int").alias("chunks"), F.min("guest").alias("visited"),
                    F.min("component").alias("low"), F.max("component").alias("high"))
@@ -379,17 +339,10 @@ def candidate_pairs(lists: DataFrame, sets: DataFrame, percent: int, chunk: int
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
            .withColumn("c1", F.least("chunk", "other")).withColumn("c2", F.greatest("chunk", "other"))
            .select(*GROUP, "chunk", "node", "component", "n", "guest"))
-    # Elements are the wide part: they join last and travel once.
-    cut = cut.join(sets.select("node", F.when(F.col("n") <= BIG, F.col("elements")).alias("elements")), "node")
+    # Bitmaps are the wide part: they join last and travel once.
+    cut = cut.join(sets.select("node", "bitmap"), "node")
     return (cut.repartition(*GROUP).sortWithinPartitions(*GROUP)
-            .mapInArrow(_tree_pairs(percent, forest), "a bigint, b bigint, sure boolean"))
-
-
-def _compared(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the sure pairs of ``candidate_pairs``, and the others once compared."""
-    found = materialize(found)
-    return found.filter("sure").select("a", "b").union(
-        similar(found.filter("NOT sure").select("a", "b").distinct(), sets, percent))
+            .mapInArrow(_tree_pairs(percent, forest), "a bigint, b bigint").distinct())
 
 
 class _Found(NamedTuple):
@@ -439,24 +392,30 @@ def _relatives(docs: DataFrame, size: int, percent: int) -> _Found:
     return _Found(listed, lists, materialize(node_sets(_one_text_each(rows, chosen), size)))
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) once the components that ``links`` join are one."""
+    ends = labels.select("node", "component")
+    edges = (links.join(ends.toDF("a", "ca"), "a").join(ends.toDF("b", "cb"), "b")
+             .select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a <> b").distinct())
+    joined = components(edges).toDF("component", "joined")
+    return materialize(labels.join(joined, "component", "left")
+                       .select("node", F.coalesce("joined", "component").alias("component")))
+
+
 def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Per document: doc_id, row_key, n and c, the node that names its component."""
     listed, lists, sets = _relatives(docs, size, percent)
-    first = materialize(similar(
-        lists.filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(),
-        sets, percent))
-    labels = components(first)
-    # Pairs with the first of a list are compared already, so it need not come again.
-    labelled = (lists.filter("node <> low").join(labels, "node", "left")
-                .select("element", "node", F.coalesce("component", "node").alias("component")))
-    second = (_compared(candidate_pairs(labelled, sets, percent, forest=True), sets, percent)
-              .join(labels.toDF("a", "ca"), "a", "left").join(labels.toDF("b", "cb"), "b", "left")
-              .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    further = components(materialize(second))
+    firsts = lists.filter("node <> low")
+    labels = _merged(sets.select("node", F.col("node").alias("component")), materialize(similar(
+        firsts.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(), sets, percent)))
+    # Pairs with the first of a list are compared now, so it need not come again. First each group
+    # offers as many pairs as could join its components, then all that are left between different ones.
+    for forest in (True, False):
+        labelled = firsts.join(labels, "node").select("element", "node", "component")
+        offered = materialize(candidate_pairs(labelled, sets, percent, forest=forest))
+        labels = _merged(labels, materialize(similar(offered, sets, percent)))
     return (listed.join(labels, "node", "left")
-            .withColumn("c", F.coalesce("component", "node")).drop("component")
-            .join(further.toDF("c", "component"), "c", "left")
-            .withColumn("c", F.coalesce("component", "c")))
+            .withColumn("c", F.coalesce("component", "node")).drop("component"))
 
 
 def cluster(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -477,7 +436,7 @@ def links(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> Da
 def _links(found: _Found, percent: int) -> DataFrame:
     # Each node its own component: no pair of a list is skipped.
     alone = found.lists.select("element", "node", F.col("node").alias("component"))
-    return _compared(candidate_pairs(alone, found.sets, percent), found.sets, percent).distinct()
+    return similar(materialize(candidate_pairs(alone, found.sets, percent)), found.sets, percent)
 
 
 def link_counts(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -1,11 +1,13 @@
 """Signature trees: who, among many sets, can overlap enough to be similar.
 
-A set is an entry: a bitmap with a bit for each element's hash, its size, and its excess (elements
-less bits set). A node combines its children: the OR of their bitmaps, the range of sizes, the
-largest excess. Two nodes can hold a similar pair only if their size ranges allow it and the
-largest possible overlap, common bits + the smaller excess, reaches what the smallest sizes need.
-Two trees are walked together from the top, pairs of nodes at a time, and pruned pairs are not
-opened.
+A set is an entry: a bitmap with a bit for each element, its size, and its excess (elements that got no
+bit). Elements are dealt to buckets by their hash, and the first, second, .. element of a bucket has a
+bit in the first, second, .. plane. Bits that two bitmaps have in common are then, bucket by bucket,
+the smaller number of elements: at least the overlap, and more only where different elements meet
+in a bucket. A node combines its children: the OR of their bitmaps, the range of sizes, the largest
+excess. Two nodes can hold a similar pair only if their size ranges allow it and the largest possible
+overlap, common bits + the smaller excess, reaches what the smallest sizes need. Two trees are walked
+together from the top, pairs of nodes at a time, and pruned pairs are not opened.
 """
 
 from __future__ import annotations
@@ -16,35 +18,50 @@ import numpy as np
 
 FAN = 8
 BLOCK = 1 << 14
+PLANES = 4
 
 
 def bitmap(elements: np.ndarray, width: int) -> np.ndarray:
-    """``width`` bits (a power of two, 64 at least) as uint64 words; bit = hash mod width."""
-    bits = np.zeros(width, np.uint8)
-    bits[(elements & np.uint64(width - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view(np.uint64)
+    """``PLANES`` planes of ``width`` buckets (a power of two, 64 at least) as uint64 words."""
+    counts = np.bincount((elements & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return _planes(counts)
+
+
+def _planes(counts: np.ndarray) -> np.ndarray:
+    bits = (counts[None, :] > np.arange(PLANES)[:, None]).astype(np.uint8)
+    return np.packbits(bits.ravel(), bitorder="little").view(np.uint64)
 
 
 def width_for(size: int) -> int:
-    """One to two bits for an element: unrelated sets of equal size stay below 0.8 of it."""
+    """One to two buckets for an element."""
     return max(64, 1 << (max(1, size) - 1).bit_length())
 
 
+def width_of(words: np.ndarray) -> int:
+    return len(words) * 64 // PLANES
+
+
 def fold(words: np.ndarray, width: int) -> np.ndarray:
-    """The bitmap that a smaller width would have given."""
-    while len(words) * 64 > width:
-        half = len(words) // 2
-        words = words[:half] | words[half:]
-    return words
+    """The bitmap with fewer buckets: what they hold is added up; what has no plane goes without a bit."""
+    if width_of(words) == width:
+        return words
+    bits = np.unpackbits(words.view(np.uint8), bitorder="little").reshape(PLANES, -1)
+    return _planes(bits.sum(axis=0, dtype=np.int64).reshape(-1, width).sum(axis=0))
+
+
+def overlap(a: np.ndarray, na: int, b: np.ndarray, nb: int) -> int:
+    """The largest possible overlap of two sets of ``na`` and ``nb`` elements, from their bitmaps."""
+    width = min(width_of(a), width_of(b))
+    a, b = fold(a, width), fold(b, width)
+    excess = min(na - int(np.bitwise_count(a).sum()), nb - int(np.bitwise_count(b).sum()))
+    return min(int(np.bitwise_count(a & b).sum()) + excess, na, nb)
 
 
 class Tree:
     """Levels from the entries up; node k's children are FAN neighbours from FAN * k on."""
 
-    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray, excess: np.ndarray | None = None):
-        """``excess``: elements that may overlap less bits set, for bitmaps of a part of the elements."""
-        if excess is None:
-            excess = sizes - np.bitwise_count(bitmaps).sum(axis=1).astype(np.int64)
+    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray):
+        excess = sizes - np.bitwise_count(bitmaps).sum(axis=1).astype(np.int64)
         self.levels = [(bitmaps, sizes, sizes, excess)]
         while len(self.levels[-1][1]) > FAN:
             bits, low, high, excess = self.levels[-1]
