@@ -1,4 +1,7 @@
-"""Language-model scoring by cross-entropy difference.
+"""Language-model scoring by cross-entropy difference, with a compact model that fits a task.
+
+``lm_counts`` scores a corpus with its exact counts; the model here has hashed classes of a fixed
+number and is for scoring other documents than those it was trained on.
 
 Two bigram models share one vocabulary (words hashed into ``2**word_bits`` classes), one order, one
 smoothing and one token total: the target model counts the documents labelled good (quality 1, not
@@ -30,6 +33,9 @@ from pyspark.sql import functions as F
 
 from eventlens.llm import words as W
 from eventlens.llm.common import arrow_map
+from eventlens.llm.lm_counts import cross_entropy_difference
+
+__all__ = ["Model", "Tokens", "cross_entropy_difference", "score", "tokens_of", "train"]
 
 WORD_BITS = 17
 PAIR_BITS = 20
@@ -177,7 +183,3 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return arrow_map(rows, of, SCORES, text=1)
-
-
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return score(docs, train(docs, labels))

@@ -14,7 +14,7 @@ from eventlens.llm import (
     fill_middle,
     html_text,
     jaccard_join,
-    lm_score,
+    lm_counts,
     quality_rules,
     secret_scan,
     sharding,
@@ -58,7 +58,7 @@ def tokenizer_path() -> str:
 
 @query()
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.cross_entropy_difference(
+    return lm_counts.cross_entropy_difference(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

@@ -1,0 +1,94 @@
+"""Scores by exact counts against a plain model, with the query's own parameters and with small blocks."""
+
+import math
+from collections import Counter
+
+import brute
+import numpy as np
+import pytest
+
+from eventlens.llm import lm_counts as L
+
+
+def plain_scores(rows, good):
+    """{row: (tokens, target loss, background loss)} by counting whole n-grams."""
+    word, pair, start = [Counter(), Counter()], [Counter(), Counter()], [0, 0]
+    for i, t in rows:
+        w, k = brute.words(t), int(i not in good)
+        word[k].update(w)
+        pair[k].update(zip([None, *w], w))
+        start[k] += bool(w)
+    total, v = [sum(c.values()) for c in word], len(word[0] | word[1])
+    out = []
+    for _, t in rows:
+        w, means = brute.words(t), []
+        for k in (0, 1):
+            scale = total[0] / total[k] if total[0] and total[k] else 1
+            loss = 0.0
+            for before, x in zip([None, *w], w):
+                plain = (word[k][x] * scale + 0.1) / (total[k] * scale + 0.1 * v)
+                seen = start[k] if before is None else word[k][before]
+                loss -= math.log(0.6 * pair[k][before, x] / seen + 0.4 * plain if seen else plain)
+            means.append(loss / max(1, len(w)))
+        out.append((len(w), *means))
+    return out
+
+
+def compare(got, rows, good):
+    wanted = sorted(zip([(-1 if i is None else i, t or "") for i, t in rows], plain_scores(rows, good)))
+    got = sorted(((-1 if r.doc_id is None else r.doc_id), r.n_tokens, r.target_loss, r.background_loss, r.score)
+                 for r in got)
+    assert [g[:2] for g in got] == sorted((i, p[0]) for (i, _), p in wanted)
+    by = {}
+    for (i, _), p in wanted:
+        by.setdefault((i, p[0]), []).append(p[1:])
+    for i, n, target, background, score in got:
+        if n == 0:
+            assert target is background is score is None
+        else:
+            assert any(target == pytest.approx(t, rel=1e-9) and background == pytest.approx(b, rel=1e-9)
+                       and score == pytest.approx(t - b, abs=1e-9) for t, b in by[i, n])
+
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 300, "bucket_bytes": 200}])
+def test_losses_equal_exact_counts(spark, docs, words, sizes):
+    rows = [(i, " ".join(words(i % 7, 40 + i))) for i in range(40)]
+    rows += [(50, ""), (51, None), (None, "some words"), (None, "some words"), (52, rows[3][1])]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i == 6)) for i in range(25)] + [(3, 0, 0), (None, 1, 0)], LABELS)
+    good = {i for i in range(25) if i % 3 == 0 and i != 6}
+    compare(L.cross_entropy_difference(docs(*rows), labels, **sizes).collect(), rows, good)
+
+
+def test_the_query_equals_exact_counts_on_the_given_table(table):
+    d, labels = table("documents"), table("labels")
+    rows = [(r.doc_id, r.text) for r in d.select("doc_id", "text").collect()]
+    marks = {}
+    for r in labels.collect():
+        q, t = marks.get(r.doc_id, (0, 0))
+        marks[r.doc_id] = max(q, r.quality or 0), max(t, r.toxic or 0)
+    compare(L.cross_entropy_difference(d, labels).collect(), rows, {i for i, m in marks.items() if m == (1, 0)})
+
+
+def test_without_labels_or_documents(spark, docs):
+    none = spark.createDataFrame([], LABELS)
+    compare(L.cross_entropy_difference(docs((1, "a b a"), (2, None)), none).collect(), [(1, "a b a"), (2, None)], set())
+    assert L.cross_entropy_difference(docs().limit(0), none).collect() == []
+
+
+def test_numbers_are_packed_whole():
+    for values in (np.zeros(0, np.uint64), np.array([0, 1, 2**62, 2**40 + 7], np.uint64)):
+        assert (L.unpack(L.pack(values), len(values)) == values).all()
+        kept = np.sort(values)
+        assert (L.unpack_sorted(L.pack_sorted(kept), len(values)) == kept).all()
+
+
+def test_what_is_gathered_grows_with_the_corpus(spark, docs, words):
+    def sent(n):
+        frame = docs(*[(i, " ".join(words(i, 60))) for i in range(n)])
+        rows = L.with_target(frame, spark.createDataFrame([], LABELS)).selectExpr("0L AS block", "doc_id", "text", "target")
+        return sum(r.n for r in rows.mapInArrow(L._request(50, 2), L.REQUESTS).select("n").collect())
+
+    assert sent(200) > 3.5 * sent(50)
