@@ -5,16 +5,18 @@ block has a ratio of text to tags; the ratios are smoothed with a Gaussian over
 into two clusters by an iterated threshold, and the upper one marks content. The content region are
 the article elements, else the main element, that hold most of the marked text, else the smallest
 container that holds all of it; headings right before it belong to it. The region's blocks are the
-text: a short paragraph inside the article stays although its own ratio is low. Elements whose tag
-or role says that they are no content (menus, headers, footers, forms, ...) neither vote nor are
-returned; nor are those named so by a whole class or id (adverts, reader comments, ...), unless
-they hold half of the marked text or more and no article element stands elsewhere.
+text: a short paragraph inside the article stays although its own ratio is low. Outside article
+elements a block that is nothing but links goes if its own ratio is below the threshold. Elements whose tag or
+role says that they are no content (menus, headers, footers, forms, ...) neither vote nor are
+returned; nor are those named so by a whole class or id: reader comments never, the others (adverts,
+sidebars, ...) unless they hold half of the marked text or more and no article element stands
+elsewhere, or are a paragraph of the upper cluster with a name that often means something else.
 
 Pages are independent: no shuffle, one page in memory at a time beside its Arrow batch.
 
 Defined results: a null or blank html gives an empty text; a page whose text is all in one block
 gives that block; broken markup is repaired the way browsers begin to (paragraphs close each
-other, unknown end tags are dropped); a null id or URL is carried; repeated rows give repeated
+other, unknown end tags are dropped, a comment or tag that is never closed ends the page); a null id or URL is carried; repeated rows give repeated
 rows; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -32,13 +34,14 @@ from pyspark.sql import functions as F
 from eventlens.llm.common import arrow_map
 
 SIGMA = 1.5
-REGION_SHARE = 0.7
+REGION_SHARE = 0.3
+BYLINES = 2
 APART = 2.0
 RESULT = "page_id bigint, url string, text string, n_chars bigint"
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT = frozenset(
-    "script style head title noscript template iframe object svg math canvas audio video".split())
+    "script style head title noscript template iframe object svg canvas audio video".split())
 NO_CONTENT = SILENT | frozenset(
     "nav header footer aside form button select textarea menu dialog".split())
 BLOCK = frozenset(
@@ -59,16 +62,20 @@ NAMES = frozenset(
 # What may stand before and after such a name: site-footer, comment-list; not no-sidebar, share-price.
 BEFORE = frozenset("site main page global top bottom left right primary secondary reader user".split())
 AFTER = frozenset("list item items box block area container wrapper wrap inner section bar link links "
-                  "form text title slot unit".split())
+                  "form text title slot unit left right top bottom main primary secondary".split())
+COMMENTS = frozenset("comment comments commentlist reply replies respond disqus".split())
+# These also name paragraphs of an article (a company's shares, a widget, a notice to readers).
+OFTEN_TEXT = frozenset("share social related promo notice widget banner notification".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _WORDS = re.compile(r"[a-z]+")
 _NAME = re.compile(r"[^\s]+")
 
 
-def named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether a whole class or id of the element names no content."""
+def named(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    """Why a whole class or id of the element names no content: comments, other, or often text."""
+    found = ""
     if tag in ("html", "body", "article", "main"):
-        return False
+        return found
     names = [v for k, v in attrs if k in ("class", "id") and v]
     for name in _NAME.findall(" ".join(names).lower()):
         words = _WORDS.findall(name)
@@ -77,8 +84,10 @@ def named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         while words and words[-1] in AFTER:
             del words[-1]
         if words and all(w in NAMES for w in words):
-            return True
-    return False
+            if not COMMENTS.isdisjoint(words):
+                return "comments"
+            found = "other" if found == "other" or not OFTEN_TEXT.issuperset(words) else "often text"
+    return found
 
 
 def no_content(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
@@ -100,6 +109,8 @@ class Block(NamedTuple):
     path: tuple[int, ...]  # numbers of the containers and named elements around it
     content: bool
     heading: bool
+    links: int  # characters of the text that are inside links
+    paragraph: bool
 
 
 class Blocks(HTMLParser):
@@ -110,9 +121,10 @@ class Blocks(HTMLParser):
         self.blocks: list[Block] = []
         self.open: list[tuple[str, bool, int]] = []  # tag, excluded, number or 0
         self.text: list[str] = []
+        self.links = 0
         self.tags = 0
         self.tag_of: dict[int, str] = {}
-        self.named: set[int] = set()
+        self.named: dict[int, str] = {}
 
     def _excluded(self) -> bool:
         return bool(self.open) and self.open[-1][1]
@@ -121,9 +133,10 @@ class Blocks(HTMLParser):
         if self.text and (text := " ".join("".join(self.text).split())):
             path = tuple(n for _, _, n in self.open if n)
             heading = any(t in HEADINGS for t, _, _ in self.open)
-            self.blocks.append(Block(text, self.tags, path, not self._excluded(), heading))
+            paragraph = any(t == "p" for t, _, _ in self.open)
+            self.blocks.append(Block(text, self.tags, path, not self._excluded(), heading, self.links, paragraph))
             self.tags = 0
-        self.text = []
+        self.text, self.links = [], 0
 
     def _pop_to(self, depth: int) -> None:
         self._end_block()
@@ -162,7 +175,7 @@ class Blocks(HTMLParser):
             number = len(self.tag_of) + 1
             self.tag_of[number] = tag
             if by_name:
-                self.named.add(number)
+                self.named[number] = by_name
         self.open.append((tag, excluded, number))
 
     def handle_startendtag(self, tag, attrs):
@@ -187,8 +200,12 @@ class Blocks(HTMLParser):
     def handle_data(self, data):
         if not (self.open and self.open[-1][0] in SILENT):
             self.text.append(data)
+            if any(t == "a" for t, _, _ in self.open):
+                self.links += len("".join(data.split()))
 
     def finish(self) -> list[Block]:
+        if re.match("<[A-Za-z/!?]", self.rawdata):  # never closed
+            self.rawdata = ""
         self.close()
         self._end_block()
         return self.blocks
@@ -223,6 +240,10 @@ def threshold(values: np.ndarray) -> float:
 
 def _drops(parser: Blocks, number: int, blocks: list[Block], marked: list[Block]) -> bool:
     """Whether an element named as no content is none: the ratios or an article elsewhere agree."""
+    if parser.named[number] == "comments":
+        return True
+    if parser.named[number] == "often text" and parser.tag_of[number] == "p":
+        return not any(number in b.path for b in marked)
     inside = sum(len(b.text) for b in marked if number in b.path)
     if 2 * inside < sum(len(b.text) for b in marked):
         return True
@@ -251,24 +272,48 @@ def _region(parser: Blocks, content: list[Block], marked: list[Block]) -> set[in
     return {path[-1]} if path else set()
 
 
+def _only_links(parser: Blocks, block: Block) -> bool:
+    """Whether a block is nothing but links, and neither of an article nor a paragraph or heading."""
+    return (block.links * 10 >= 9 * len("".join(block.text.split())) and not block.heading and not block.paragraph
+            and not any(parser.tag_of[n] in ("article", "main") for n in block.path))
+
+
+def _with_headings(content: list[Block], chosen: list[bool]) -> list[bool]:
+    """Also what leads to a region: headings right before it, and one with a line or two in between
+    that stands in a container around it."""
+    if True not in chosen:
+        return chosen
+    first = chosen.index(True)
+    for k in range(first - 1, max(-1, first - 2 - BYLINES), -1):
+        if content[k].heading and all(
+                set(b.path) <= set(content[first].path) for b in content[k:first]):
+            chosen[k:first] = [True] * (first - k)
+            break
+    for k in range(len(content) - 2, -1, -1):
+        chosen[k] |= chosen[k + 1] and content[k].heading
+    return chosen
+
+
 def main_text(html: str | None) -> str:
     parser = Blocks()
     parser.feed(html or "")
     blocks = parser.finish()
     if not any(b.content for b in blocks):
         return ""
-    values = smooth(np.array([len(b.text) / max(1, b.tags) for b in blocks], float))
+    ratios = np.array([len(b.text) / max(1, b.tags) for b in blocks], float)
+    values = smooth(ratios)
     at = min(threshold(values), max(v for b, v in zip(blocks, values, strict=True) if b.content))
     marked = [b for b, v in zip(blocks, values, strict=True) if b.content and v >= at]
+    # Links beside long paragraphs are lifted by the smoothing, so their own ratio counts.
+    bare = {id(b) for b, r in zip(blocks, ratios, strict=True) if r < at and _only_links(parser, b)}
     dropped = {n for n in parser.named if _drops(parser, n, blocks, marked)}
-    content = [b for b in blocks if b.content and dropped.isdisjoint(b.path)]
+    content = [b for b in blocks if b.content and dropped.isdisjoint(b.path) and id(b) not in bare]
     marked = [b for b in marked if dropped.isdisjoint(b.path)] or content
     if len(content) < 2:
         return content[0].text if content else ""
     region = _region(parser, content, marked)
     chosen = [not region or not region.isdisjoint(b.path) for b in content]
-    for k in range(len(content) - 2, -1, -1):  # headings that adjoin it
-        chosen[k] |= chosen[k + 1] and content[k].heading
+    chosen = _with_headings(content, chosen)
     return " ".join(b.text for b, yes in zip(content, chosen, strict=True) if yes)
 
 

@@ -154,10 +154,10 @@ again AS (SELECT r, unnest(range(k, k + {Q.WINDOW})) AS place FROM
 covered AS (SELECT r, count(DISTINCT place) AS n_repeat_words FROM again GROUP BY r),
 pieces AS (SELECT r, host, list_filter(string_split_regex(line, '{SPACES}'), lambda x: x != '') AS parts
  FROM (SELECT r, host, unnest(string_split(low, chr(10))) AS line FROM d)),
-lines AS (SELECT r, host, ('0x' || substr(md5(array_to_string(parts, ' ')), 1, 15))::BIGINT AS line,
- sum(len(parts)) AS words FROM pieces WHERE len(parts) > 0 GROUP BY ALL),
-family AS (SELECT r, min(line) AS family FROM lines GROUP BY r),
-hosts AS (SELECT host, count(DISTINCT coalesce(family, 0)) AS n_host
+lines AS (SELECT r, host, array_to_string(parts, ' ') AS line, sum(len(parts)) AS words
+ FROM pieces WHERE len(parts) > 0 GROUP BY ALL),
+family AS (SELECT r, string_agg(line, chr(10) ORDER BY line) AS family FROM lines GROUP BY r),
+hosts AS (SELECT host, count(DISTINCT coalesce(family, '')) AS n_host
  FROM d LEFT JOIN family USING (r) GROUP BY host),
 frequent AS (SELECT host, line FROM lines JOIN family USING (r) JOIN hosts USING (host)
  GROUP BY host, line, n_host HAVING count(DISTINCT family) >= {Q.MIN_DOCS}

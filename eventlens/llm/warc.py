@@ -38,6 +38,7 @@ from eventlens.llm.common import materialize, new_dir
 
 GAP = 1 << 16
 LONGEST_READ = 1 << 23
+TASK_BYTES = 1 << 24
 DATE = "2026-01-01T00:00:00Z"
 INDEX = ("page_id bigint, url string, file string, offset bigint, length bigint, "
          "payload_digest string")
@@ -184,8 +185,10 @@ def read(index: DataFrame, folder: str) -> DataFrame:
                             [pa.array([r[n] for r in found], k)
                              for n, k in zip(names, kinds, strict=True)], names)
 
+    # The index is narrow, but what it points at is not: tasks by the bytes they will read.
+    size = index.agg(F.sum("length")).first()[0] or 0
     entries = (index.select("file", "offset", "length")
-               .repartitionByRange("file", "offset").sortWithinPartitions("file", "offset"))
+               .repartitionByRange(1 + size // TASK_BYTES, "file", "offset").sortWithinPartitions("file", "offset"))
     return entries.mapInArrow(run, RECORD)
 
 

@@ -340,3 +340,27 @@ def test_conversations_without_rows_left_and_empty_tables(spark):
     assert tuple(row) == (gone, 0, 0, 0, 0, 0, 0, "", sha(""))
     assert C.repair_damaged(frame.limit(0)).collect() == []
     assert C.repair(frame.limit(0)).collect() == []
+
+
+# ---- the SQL of the quality rules ------------------------------------------------------
+
+def test_rules_and_their_sql_agree_where_documents_share_their_smallest_line(spark, docs, words, tmp_path):
+    """Boilerplate in most documents; counting documents by one line of theirs would miss it."""
+    duckdb = pytest.importorskip("duckdb")
+    from eventlens.llm import queries as Q
+    boiler = [" ".join(words(500 + k, 12)) for k in range(6)]
+    rows = []
+    for i in range(60):
+        own = [" ".join(words(i * 7 + k, 9)) for k in range(3 if i % 2 else 1)]
+        rows.append((i, "\n".join(own + boiler[:1 + i % 6]), "one host"))
+    rows += [(100 + k, rows[0][1], "one host") for k in range(30)] + [(200, "", "one host"), (201, None, "two")]
+    frame = docs(*rows)
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    found = Q.QUERIES["op10_quality_rules"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    cursor = con.execute(Q.ORACLES["op10_quality_rules"])
+    names = [d[0] for d in cursor.description]
+    expected = cursor.fetchall()
+    assert ordered(found.select(*names).collect()) == ordered(expected)
+    assert len({(r[names.index("kept")], r[names.index("n_removed_words")] > 0) for r in expected}) >= 3
