@@ -1,164 +1,134 @@
-"""The filterable, sortable, groupable views over events, pairs, stored rows and dead letters.
+"""What people see of events, pairs, stored rows and dead letters: to filter, to sort, to group.
 
-A view names the columns a person sees: each has a value (for sorting) and a text (for
-filtering). The filter language: white-space separated terms that must all hold;
-``key:value`` looks in one column or group key, ``-term`` negates, a plain term looks in
-the whole row. Matching is a lower-case substring test.
+A view is built from named fields. A field is sorted by its value and searched by its text; groups are
+keys that a row belongs to, and can be searched, too. ``operators.filters`` has the filter language.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Mapping
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions import jsontext as J
 from eventlens.functions.times import age, short_time
+from eventlens.operators import filters
 
 
-@dataclass(frozen=True)
-class Shown:
-    key: str
-    label: str
-    value: Column
-    text: Column
+def _plain(value: Column) -> Column:
+    return F.coalesce(value.cast("string"), F.lit(""))
 
 
-@dataclass(frozen=True)
 class View:
-    name: str
-    columns: tuple[Shown, ...]
-    # Group key -> the keys a row belongs to, as an array column.
-    groups: dict[str, Column] = field(default_factory=dict)
-    sort: str = "time"
+    """Fields by name, in the order they are shown, each a value and its text; and groups by name.
 
-    def column(self, key: str) -> Shown | None:
-        return next((c for c in self.columns if key in (c.key, c.label)), None)
+    ``also`` gives fields a second name. The first field is the one to sort by.
+    """
 
+    def __init__(self, fields: Mapping[str, tuple[Column, Column]], groups: Mapping[str, Column],
+                 also: Mapping[str, str] | None = None):
+        self.values = {name: value for name, (value, _) in fields.items()}
+        self.texts = {name: text for name, (_, text) in fields.items()}
+        self.groups = dict(groups)
+        self.also = dict(also or {})
 
-def _shown(key: str, value: Column, label: str | None = None,
-           text: Callable[[Column], Column] | None = None) -> Shown:
-    as_text = text(value) if text else F.coalesce(value.cast("string"), F.lit(""))
-    return Shown(key, label or key, value, as_text)
+    @cached_property
+    def whole(self) -> Column:
+        return F.concat_ws(" ", *self.texts.values())
 
+    @cached_property
+    def searched(self) -> dict[str, Column]:
+        """Text by every name that a filter may use; fields come before groups of the same name."""
+        by_group = {name: F.array_join(keys, " ") for name, keys in self.groups.items()}
+        return by_group | {other: self.texts[name] for other, name in self.also.items()} | self.texts
 
-def _time(c: str = "ts_ms") -> Shown:
-    return _shown("time", F.col(c), text=short_time)
+    def text_of(self, field: str | None) -> Column:
+        return self.whole if field is None else self.searched.get(field, F.lit(""))
 
 
-def _day() -> Column:
-    return F.array(F.substring(short_time(F.col("ts_ms")), 1, 5))
+def _fields(**values: Column) -> dict[str, tuple[Column, Column]]:
+    """Fields that are searched as they are, behind the time that every view begins with."""
+    ts_ms = F.col("ts_ms")
+    return {"time": (ts_ms, short_time(ts_ms))} | {name: (v, _plain(v)) for name, v in values.items()}
 
 
 def stream_view() -> View:
     """Over a decoded feed."""
-    entities = F.col("entities")
-    place = F.concat_ws("@", "topic", F.col("offset").cast("string"))
+    c = F.col
     return View(
-        "stream",
-        (
-            _time(),
-            _shown("source", F.col("source")),
-            _shown("entity", F.array_join(entities, " "), "entities"),
-            _shown("summary", F.col("summary")),
-            _shown("offset", place, "topic@off"),
-        ),
-        {
-            "source": F.array("source"),
-            "entity": F.when(F.size(entities) > 0, entities)
-            .otherwise(F.array(F.lit("(none)"))),
-            "day": _day(),
-            "topic": F.array("topic"),
-        },
-    )
+        _fields(source=c("source"), entity=F.array_join("entities", " "), summary=c("summary"),
+                offset=F.concat_ws("@", "topic", c("offset").cast("string"))),
+        {"source": F.array("source"), "topic": F.array("topic"),
+         "entity": F.when(F.size("entities") > 0, c("entities")).otherwise(F.array(F.lit("(none)"))),
+         "day": F.array(F.substring(short_time(c("ts_ms")), 1, 5))},
+        {"entities": "entity", "topic@off": "offset"})
 
 
 def pairs_view() -> View:
     """Over resolved pairs."""
-    pair = J.pair_label(F.col("a_id"), F.col("b_id"))
+    c = F.col
+    pair = J.pair_label(c("a_id"), c("b_id"))
+    gap = c("gap_ms")
     return View(
-        "correlated",
-        (
-            _time(),
-            _shown("entity", F.col("entity")),
-            _shown("pair", pair),
-            _shown("a", F.col("a")),
-            _shown("b", F.col("b")),
-            _shown("gap", F.col("gap_ms"), "Δt",
-                   lambda c: F.coalesce(age(c), F.lit("-"))),
-        ),
-        {"entity": F.array("entity"), "pair": F.array(pair),
-         "day": F.array(F.col("dt").cast("string"))},
-    )
+        _fields(entity=c("entity"), pair=pair, a=c("a"), b=c("b")) | {"gap": (gap, F.coalesce(age(gap), F.lit("-")))},
+        {"entity": F.array("entity"), "pair": F.array(pair), "day": F.array(c("dt").cast("string"))},
+        {"Δt": "gap"})
 
 
 def stored_view() -> View:
     """Over stored raw rows: all of them (``stored``) or the newest (``store_view``)."""
-    return View(
-        "stored",
-        (_time(), _shown("source", F.col("source")), _shown("dt", F.col("dt").cast("string")),
-         _shown("summary", F.col("summary"))),
-        {"source": F.array("source"), "dt": F.array(F.col("dt").cast("string"))},
-    )
+    dt = F.col("dt").cast("string")
+    return View(_fields(source=F.col("source"), dt=dt, summary=F.col("summary")),
+                {"source": F.array("source"), "dt": F.array(dt)})
 
 
 def dlq_view() -> View:
     """Over the dead-letter rows of a decoded feed."""
-    error = F.coalesce(F.when(F.col("error") != "", F.col("error")), F.lit("-"))
-    return View(
-        "dlq",
-        (_time(), _shown("topic", F.col("topic")), _shown("error", error),
-         _shown("summary", F.col("summary"))),
-        {"topic": F.array("topic"), "error": F.array(J.error_class(F.col("error")))},
-    )
+    error = F.coalesce(F.nullif("error", F.lit("")), F.lit("-"))
+    return View(_fields(topic=F.col("topic"), error=error, summary=F.col("summary")),
+                {"topic": F.array("topic"), "error": F.array(J.error_class(F.col("error")))})
+
+
+def _of_day(part: str) -> Column | None:
+    """What follows for the date of a row whose time, shown as month-day and clock, has ``part`` in it."""
+    before, dash, behind = part.partition("-")
+    if not dash:
+        return None  # a piece of the clock, or of one number: any day may have it
+    day = F.coalesce(F.date_format(F.col("dt").cast("date"), "MM-dd"), F.lit("-"))
+    return F.contains(day, F.lit(f"{before[-2:]}-{behind[:2].rstrip()}"))
 
 
 def where_text(df: DataFrame, query: str, view: View) -> DataFrame:
-    for term in query.lower().split():
-        negated = term.startswith("-") and len(term) > 1
-        if negated:
-            term = term[1:]
-        key, colon, wanted = term.partition(":")
-        if colon and key:
-            text = _text_of(view, key)
-        else:
-            wanted = term
-            text = F.concat_ws(" ", *[c.text for c in view.columns])
-        hit = F.contains(F.lower(text), F.lit(wanted))
-        df = df.filter(~hit if negated else hit)
-    return df
-
-
-def _text_of(view: View, key: str) -> Column:
-    shown = view.column(key)
-    if shown is not None:
-        return shown.text
-    if key in view.groups:
-        return F.array_join(view.groups[key], " ")
-    return F.lit("")
+    """The rows that a filter text leaves.
+
+    ``source:`` and ``dt:`` terms are conditions on those columns alone, and ``time:`` and ``day:`` terms
+    that name a day are turned into one on ``dt`` where rows have it: Spark then opens only such folders.
+    """
+    terms = filters.parse(query)
+    found = df.filter(filters.compiled(terms, view.text_of))
+    return found.filter(filters.implied(terms, {"time": _of_day})) if "dt" in df.columns else found
 
 
 def order_view(df: DataFrame, view: View, key: str | None = None, desc: bool = True) -> DataFrame:
-    """Missing values come last ascending and first descending.
+    """Sorted by a field. Missing values come last ascending and first descending.
 
-    Equal values are ordered by the view's other columns, which also lets the sort spread a value
+    Equal values are ordered by the texts of the other fields, which also lets the sort spread a value
     that many rows share over tasks.
     """
-    first = view.column(key or view.sort) or view.columns[0]
-    rest = [c.text for c in view.columns if c is not first]
-    value = first.value
-    return df.orderBy(value.desc_nulls_first() if desc else value.asc_nulls_last(), *rest)
+    name = view.also.get(key, key)
+    if name not in view.values:
+        name = next(iter(view.values))
+    value = view.values[name]
+    order = value.desc_nulls_first() if desc else value.asc_nulls_last()
+    return df.orderBy(order, *(text for other, text in view.texts.items() if other != name))
 
 
 def group_view(df: DataFrame, view: View, key: str) -> DataFrame:
-    """Rows per group key, most first, then by key; a row may belong to several groups."""
-    keys = F.explode(view.groups[key]).alias("group_key")
-    return (
-        df.select(keys).groupBy("group_key").agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "group_key")
-    )
+    """How many rows each key of a group has, most first, then by key; a row may have several."""
+    counted = df.select(F.explode(view.groups[key]).alias("group_key")).groupBy("group_key")
+    return counted.agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "group_key")
 
 
 def resolve_pairs(pairs: DataFrame, events: DataFrame) -> DataFrame:

@@ -951,6 +951,32 @@ def peek(spark, sf_dir):
     return tail.select("topic", "offset", "error", number.cast("bigint").alias("n"))
 
 
+@query(f"""WITH {ENV} SELECT event_id, source, ts_ms, {DAY} AS dt FROM env
+WHERE len(entities) = 0 ORDER BY ts_ms DESC, event_id LIMIT 300""")
+def newest_raw_days(spark, sf_dir):
+    """The newest rows of a sink, from as many of its newest days as hold them."""
+    cfg = _scratch(spark, "newest")
+    K.write_batch(K.raw_rows(W.envelopes(spark, sf_dir)), cfg.sinks.raw, ["dt", "source"])
+    newest = sinks.newest_days(spark, cfg.sinks.raw, sinks.RAW_SCHEMA, 300)
+    return _text_dt(L.latest_raw(newest, 300).select("event_id", "source", "ts_ms", "dt"))
+
+
+@query(f"""WITH {PAIRS} SELECT entity, a_id, b_id, ts_ms, {DAY} AS dt FROM pairs
+ORDER BY ts_ms DESC, entity, a_id, b_id LIMIT 10""")
+def newest_pair_days(spark, sf_dir):
+    cfg = _scratch(spark, "newest")
+    K.write_batch(C.pairs(W.envelopes(spark, sf_dir)), cfg.sinks.pairs, ["dt"])
+    return _text_dt(L.latest_pairs(sinks.newest_days(spark, cfg.sinks.pairs, sinks.PAIRS_SCHEMA, 10)))
+
+
+@query(_SINK_TOTALS)
+def totals_from_footers(spark, sf_dir):
+    """Rows and latest times of the sinks without a data page read; the tests look at the plan."""
+    cfg = _scratch(spark, "totals")
+    jobs.backfill(W.bus(spark, sf_dir), cfg)
+    return sinks.totals(spark, cfg).select("sink", "n", "last_ts_ms")
+
+
 def _over_views(spark: SparkSession, cfg: Settings, statement: str) -> DataFrame:
     """A statement over the sinks' views, which are gone again once it is resolved."""
     sinks.register_views(spark, cfg)
@@ -1047,6 +1073,17 @@ def where_text_by_label(spark, sf_dir):
         _live(spark, sf_dir), "topic@off:view@1 -9", views.stream_view()).select("event_id")
 
 
+@query(f"""WITH {ENV}, stored AS (SELECT event_id, source, ts_ms, {SHORT} AS t, {DAY} AS dt FROM env
+WHERE len(entities) = 0) SELECT event_id, source, ts_ms FROM stored
+WHERE source LIKE '%ic%' AND t LIKE '%01-1%' AND dt LIKE '%2024%' AND t NOT LIKE '%01-12%'""")
+def where_text_of_a_sink(spark, sf_dir):
+    """Source, day and date choose folders of the sink; the tests look at the plan."""
+    cfg = _scratch(spark, "filtered")
+    K.write_batch(K.raw_rows(W.envelopes(spark, sf_dir)), cfg.sinks.raw, ["dt", "source"])
+    return views.where_text(L.stored(sinks.read_raw(spark, cfg)), "source:IC time:01-1 dt:2024 -time:01-12",
+                            views.stored_view()).select("event_id", "source", "ts_ms")
+
+
 @query(f"{_STREAM} SELECT event_id, source, ts_ms FROM live ORDER BY ts_ms DESC NULLS FIRST")
 def order_view(spark, sf_dir):
     shown = views.order_view(_live(spark, sf_dir), views.stream_view())

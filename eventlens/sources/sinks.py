@@ -97,6 +97,54 @@ def append_cursors(cursors: DataFrame, cfg: Settings) -> None:
         cfg.sinks.place(CURSORS))
 
 
+def newest_days(spark: SparkSession, path: str, schema: str, n: int) -> DataFrame:
+    """The rows of as many of a sink's newest days as hold ``n`` rows: all of a top-n by time is there.
+
+    A row's day follows from its time, so no older day can have a newer row; ties of the n-th row are of
+    its day as well. Days are taken one, two, four, .. at a time, and a count reads footers only.
+    """
+    rows = read_sink(spark, path, schema)
+    days, take = partition_values(spark, path, "dt"), 1
+    while take < len(days):
+        newest = rows.filter(F.col("dt") >= F.lit(days[-take]).cast("date"))
+        if newest.count() >= n:
+            return newest
+        take *= 2
+    return rows
+
+
+def totals(spark: SparkSession, cfg: Settings) -> DataFrame:
+    """sink, n, last_ts_ms from the footers of its files, and bytes from one look at the folder.
+
+    Counts and maxima are pushed into the Parquet reader, which has them from each file's footer. That
+    needs another reader than other queries use, so it is set in a session of its own.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    out = []
+    for name, schema in ((PAIRS_TABLE, PAIRS_SCHEMA), (RAW_TABLE, RAW_SCHEMA)):
+        n, last = read_footers(own, cfg.sinks.place(name), schema).first()
+        out.append((name, n, last, folder_bytes(spark, cfg.sinks.place(name))))
+    return spark.createDataFrame(out, "sink string, n bigint, last_ts_ms bigint, bytes bigint")
+
+
+def read_footers(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """n, last_ts_ms of a sink; one row."""
+    return read_sink(spark, path, schema).agg(F.count(F.lit(1)).alias("n"), F.max("ts_ms").alias("last_ts_ms"))
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """What a sink's partitions take; 0 for one that was never written. Files are not listed here."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return 0
+    shown = [f.getPath() for f in fs.listStatus(p) if f.getPath().getName()[0] not in "_."]
+    return sum(fs.getContentSummary(child).getLength() for child in shown)
+
+
 def read_late(spark: SparkSession, cfg: Settings) -> DataFrame:
     """Events that came behind the watermark, by how much, and in which batch."""
     return read_sink(spark, cfg.sinks.place(LATE), LATE_SCHEMA)
@@ -126,16 +174,9 @@ def file_listing(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def sink_bytes(spark: SparkSession, cfg: Settings) -> DataFrame:
     """sink, bytes: 0 for a sink that was never written."""
-    names = spark.createDataFrame([(PAIRS_TABLE,), (RAW_TABLE,)], "sink string")
-    # The sink is the folder right below the sink root, in whatever form the path is shown.
-    sink = F.regexp_extract("path", f"/({PAIRS_TABLE}|{RAW_TABLE})/", 1)
-    sizes = (
-        file_listing(spark, [cfg.sinks.pairs, cfg.sinks.raw])
-        .groupBy(sink.alias("sink")).agg(F.sum("length").alias("bytes"))
-    )
-    return names.join(sizes, "sink", "left").select(
-        "sink", F.coalesce("bytes", F.lit(0)).alias("bytes")
-    )
+    return spark.createDataFrame(
+        [(name, folder_bytes(spark, cfg.sinks.place(name))) for name in (PAIRS_TABLE, RAW_TABLE)],
+        "sink string, bytes bigint")
 
 
 def query_progress(spark: SparkSession, checkpoint_root: str, now_ms: int) -> DataFrame:
