@@ -41,17 +41,29 @@ def topic_depths(bus: DataFrame) -> DataFrame:
 
     Offsets a broker has compacted away count as well.
     """
-    ends = bus.groupBy("topic", "partition").agg(
-        (F.max("offset") + 1 - F.min("offset")).alias("depth")
-    )
-    return ends.groupBy("topic").agg(F.sum("depth").alias("depth"))
+    return depths_of(ends_of(bus))
+
+
+def ends_of(bus: DataFrame) -> DataFrame:
+    """topic, partition, first offset and the offset behind the last, of the rows of a bus frame."""
+    return bus.groupBy("topic", "partition").agg(
+        F.min("offset").alias("begin_offset"), (F.max("offset") + 1).alias("end_offset"))
+
+
+def depths_of(ends: DataFrame) -> DataFrame:
+    """topic, depth from the ends of partitions, however they were learnt."""
+    return ends.groupBy("topic").agg(F.sum(F.col("end_offset") - F.col("begin_offset")).alias("depth"))
 
 
 def dlq_depths(registry: DataFrame, bus: DataFrame) -> DataFrame:
     """Depth of every configured source's dead-letter topic, 0 if there is none."""
     topics = registry.select(F.concat("topic", F.lit(".dlq")).alias("topic"))
-    dead = topic_depths(bus.filter(F.endswith(F.col("topic"), F.lit(".dlq"))))
-    return topics.join(dead, "topic", "left").select(
+    return named_depths(topics, bus.filter(F.endswith(F.col("topic"), F.lit(".dlq"))))
+
+
+def named_depths(topics: DataFrame, bus: DataFrame) -> DataFrame:
+    """Depth of each of these topics, whether or not a source is configured for it."""
+    return topics.join(topic_depths(bus), "topic", "left").select(
         "topic", F.coalesce("depth", F.lit(0)).alias("depth")
     )
 
@@ -124,10 +136,15 @@ def sink_totals(pairs: DataFrame, raw: DataFrame) -> DataFrame:
 
 def sink_signature(pairs: DataFrame, raw: DataFrame) -> DataFrame:
     """One row; it differs from an earlier one whenever a sink has gained rows."""
+    return signature(sink_totals(pairs, raw))
+
+
+def signature(totals: DataFrame) -> DataFrame:
+    """The same from totals, such as ``sources.sinks.totals`` has them without reading rows."""
     def of(sink: str, c: str) -> Column:
         return F.max(F.when(F.col("sink") == sink, F.col(c)))
 
-    return sink_totals(pairs, raw).agg(
+    return totals.agg(
         of("correlated", "n").alias("n_pairs"),
         of("events_raw", "n").alias("n_raw"),
         of("correlated", "last_ts_ms").alias("last_pair_ms"),

@@ -32,6 +32,8 @@ from eventlens.streaming.sinks import (
 
 # How far an event's time may lie after the record's arrival on the bus.
 AHEAD_MS = 24 * 3_600_000
+# Rows of a sink that the overview lists.
+SHOWN = 2000
 COMMANDS = ("ingest", "correlate", "fanout", "backfill", "query", "status", "overview", "dlq", "sources")
 FEEDS = {"hn": feeds.hn_envelopes, "lobsters": feeds.lobsters_envelopes, "rss": feeds.rss_envelopes,
          "news": feeds.news_envelopes, "stocks": feeds.stocks_envelopes}
@@ -129,8 +131,8 @@ def query(spark: SparkSession, cfg: Settings, n: int = 10) -> tuple[DataFrame, D
         raw = spark.table(repair.table_name(cfg, sinks.RAW_TABLE)).select("event_id", "source", "ts_ms", "dt")
         found = spark.table(repair.table_name(cfg, sinks.PAIRS_TABLE))
     else:
-        sinks.register_views(spark, cfg)
-        raw, found = spark.table(sinks.RAW_TABLE), spark.table(sinks.PAIRS_TABLE)
+        raw = sinks.newest_days(spark, cfg.sinks.raw, sinks.RAW_SCHEMA, n)
+        found = sinks.newest_days(spark, cfg.sinks.pairs, sinks.PAIRS_SCHEMA, n)
     return latest.latest_raw(raw, n), latest.latest_pairs(found, n)
 
 
@@ -157,9 +159,9 @@ def status_report(spark: SparkSession, registry: Registry, cursors: DataFrame, b
 def dlq_report(spark: SparkSession, registry: Registry, bus: DataFrame, topic: str | None = None,
                n: int = 5) -> tuple[DataFrame, DataFrame]:
     """Dead-letter depths and the last records of each topic with their reason."""
-    depths = status.dlq_depths(registry.frame(spark), bus)
     topics = [topic] if topic else [s.dlq_topic for s in registry]
-    depths = depths.filter(F.col("topic").isin(topics))
+    named = spark.createDataFrame([(t,) for t in topics], "topic string")
+    depths = status.named_depths(named, bus.filter(F.col("topic").isin(topics)))
     return depths.orderBy("topic"), latest.peek(bus, topics, n)
 
 
@@ -168,8 +170,8 @@ def overview(spark: SparkSession, registry: Registry, cursors: DataFrame, bus: D
     """Every frame the operations views show."""
     feed = B.decode_feed(B.topic_filter(bus, B.ALL_TOPICS))
     events, dead = latest.ring(feed, cap)
-    raw, found = sinks.read_raw(spark, cfg), sinks.read_pairs(spark, cfg)
-    shown = latest.store_view(found)
+    raw = sinks.newest_days(spark, cfg.sinks.raw, sinks.RAW_SCHEMA, SHOWN)
+    shown = latest.store_view(sinks.newest_days(spark, cfg.sinks.pairs, sinks.PAIRS_SCHEMA, SHOWN), SHOWN)
     # Any event on the bus may be in a pair that is shown; only those are looked up.
     ids = shown.select(F.explode(F.array("a_id", "b_id")).alias("event_id")).distinct()
     known = latest.last_by_id(
@@ -183,10 +185,10 @@ def overview(spark: SparkSession, registry: Registry, cursors: DataFrame, bus: D
         "rate": rates,
         "mean_rate": status.mean_rate(rates, now_ms // 1000),
         "queries": sinks.query_progress(spark, cfg.sinks.checkpoint_root, now_ms),
-        "sinks": status.sink_overview(found, raw, sinks.sink_bytes(spark, cfg)),
+        "sinks": status.with_share(sinks.totals(spark, cfg), "bytes"),
         "stream": events,
         "dlq": dead,
-        "stored": latest.store_view(raw),
+        "stored": latest.store_view(raw, SHOWN),
         "correlated": views.resolve_pairs(shown, known),
     }
 

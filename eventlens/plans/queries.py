@@ -27,7 +27,7 @@ from eventlens.sources import feeds, sinks
 from eventlens.streaming import repair
 from eventlens.streaming import sinks as K
 from eventlens.streaming.fanout import write_fanout
-from eventlens.streaming.pairs import stream_pairs
+from eventlens.streaming.pairs import state_rows, stream_pairs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -593,6 +593,26 @@ def stream_raw_to_sink(spark, sf_dir):
     return _text_dt(sinks.read_raw(spark, cfg).drop("entities"))
 
 
+@query(f"""WITH {BUS}, live AS (SELECT *, ts_ms < 1705276800000 AS early FROM bus
+ WHERE topic NOT LIKE '%.dlq' AND ts_ms IS NOT NULL),
+last AS (SELECT max(ts_ms) - 600000 AS mark FROM live)
+SELECT side, count(*) * copies AS n, count(DISTINCT event_id) AS events FROM live, last,
+ (VALUES ('a', 1), ('b', 3)) AS v(side, copies) WHERE len(entities) > 0 AND ts_ms > mark - 600000 GROUP BY side, copies""")
+def stream_state_rows(spark, sf_dir):
+    """What the pair join still holds after a stop, a restart and all rows: those within the watermark
+    and the window, once on its left side and in three time bins on its right."""
+    cfg = _scratch(spark, "state")
+    events = W.table(spark, sf_dir, "events")
+    early = c("ts").cast("timestamp") < "2024-01-15"
+    for rows in (events.filter(early), events.filter(~early)):
+        rows.coalesce(1).write.mode("append").parquet(cfg.sinks.place("land"))
+        stream = spark.readStream.schema(events.schema).parquet(cfg.sinks.place("land"))
+        envelopes = B.parse_envelopes(B.topic_filter(W.bus_rows(stream)), position=True)
+        K.start_pairs(stream_pairs(envelopes), cfg, available_now=True).awaitTermination()
+    held = state_rows(spark, f"{cfg.sinks.checkpoint_root}/{K.PAIRS_QUERY}")
+    return held.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("events"))
+
+
 # Every 97th event is broken and never reaches the sinks.
 _SINK_TOTALS = f"""WITH {PAIRS.replace('FROM env)', 'FROM env WHERE n % 97 != 0)')}
 SELECT 'correlated' AS sink, count(*) AS n, max(ts_ms) AS last_ts_ms FROM pairs
@@ -977,6 +997,29 @@ def totals_from_footers(spark, sf_dir):
     return sinks.totals(spark, cfg).select("sink", "n", "last_ts_ms")
 
 
+_PEEK = ORACLES["peek"]
+
+
+@query(_PEEK)
+def peek_of_ranges(spark, sf_dir):
+    """The same from bounded ranges: the last records of each partition and no others are looked at."""
+    bus, topics = W.bus(spark, sf_dir), [s.dlq_topic for s in W.registry()]
+    ranges = B.tail_ranges(S.ends_of(bus.filter(c("topic").isin(topics))), 5)
+    tail = L.peek(B.within(bus, ranges), topics)
+    number = F.split_part(F.get_json_object("value", "$.event_id"), F.lit(":"), F.lit(2))
+    return tail.select("topic", "offset", "error", number.cast("bigint").alias("n"))
+
+
+@query(f"""WITH {BUS} SELECT 'events.' || k || '.dlq' AS topic,
+(SELECT coalesce(sum(d), 0)::BIGINT FROM (SELECT max("offset") + 1 - min("offset") AS d FROM bus
+ WHERE topic = 'events.' || k || '.dlq' GROUP BY "partition")) AS depth
+FROM (SELECT unnest(['view', 'nowhere']) AS k)""")
+def depths_of_named_topics(spark, sf_dir):
+    """Also of a topic that no source is configured for, as ``dlq TOPIC`` shows it."""
+    names = spark.createDataFrame([("events.view.dlq",), ("events.nowhere.dlq",)], "topic string")
+    return S.named_depths(names, W.bus(spark, sf_dir))
+
+
 def _over_views(spark: SparkSession, cfg: Settings, statement: str) -> DataFrame:
     """A statement over the sinks' views, which are gone again once it is resolved."""
     sinks.register_views(spark, cfg)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +63,39 @@ def read_bus(spark: SparkSession, cfg: Settings, pattern: str | None = None) ->
     return spark.read.format("kafka").options(**options).load()
 
 
+def tail_ranges(ends: DataFrame, n: int) -> DataFrame:
+    """``ends`` (topic, partition, begin_offset, end_offset) cut to the last ``n`` records of each partition."""
+    return ends.withColumn("begin_offset", F.greatest("begin_offset", F.col("end_offset") - n))
+
+
+def range_options(ranges: DataFrame) -> dict[str, str]:
+    """The options of a bounded read that opens just these offsets; a row per partition comes here."""
+    rows = ranges.select("topic", "partition", "begin_offset", "end_offset").collect()
+
+    def offsets(column: str) -> str:
+        out: dict[str, dict[str, int]] = {}
+        for r in sorted(rows):
+            out.setdefault(r.topic, {})[str(r.partition)] = r[column]
+        return json.dumps(out)
+
+    return {"assign": json.dumps({t: sorted(r.partition for r in rows if r.topic == t)
+                                  for t in sorted({r.topic for r in rows})}),
+            "startingOffsets": offsets("begin_offset"), "endingOffsets": offsets("end_offset")}
+
+
+def read_ranges(spark: SparkSession, cfg: Settings, ranges: DataFrame) -> DataFrame:
+    """The records of these offset ranges, and no others."""
+    options = {k: v for k, v in kafka_options(cfg).items() if k != "subscribePattern"} | range_options(ranges)
+    return spark.read.format("kafka").options(**options).load()
+
+
+def within(bus: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The rows of a bus frame that lie in the ranges."""
+    return (bus.join(ranges.select("topic", "partition", "begin_offset", "end_offset"), ["topic", "partition"])
+            .filter((F.col("offset") >= F.col("begin_offset")) & (F.col("offset") < F.col("end_offset")))
+            .select(*bus.columns))
+
+
 def topic_filter(bus: DataFrame, pattern: str = EVENT_TOPICS) -> DataFrame:
     """Rows whose whole topic name matches; the default leaves dead-letter topics out."""
     return bus.filter(F.col("topic").rlike(f"^(?:{pattern})$"))

@@ -16,6 +16,9 @@ from eventlens.functions.once import with_once
 from eventlens.functions.times import rfc2822_ms
 from eventlens.registry import Registry
 
+# Cursors of so many sources at most are looked up in a map.
+MAX_SOURCES = 1000
+
 
 def hn_envelopes(items: DataFrame) -> DataFrame:
     """One story item per document; other item types are left out."""
@@ -146,14 +149,25 @@ def _envelopes(rows: DataFrame, source: str, event_id: Column, ts_ms: Column,
 def newer_than(envelopes: DataFrame, cursors: DataFrame) -> DataFrame:
     """Rows past their source's cursor; a source without a cursor keeps all its rows.
 
-    ``cursors`` has one row per source; Spark broadcasts it when its size allows.
+    ``cursors`` has one row per source. Up to ``MAX_SOURCES`` they are looked up in a map, so the
+    envelopes stay where they are; beyond that both are joined.
     """
-    seen = cursors.select(F.col("source").alias("_source"), "cursor_ms")
+    known = cursors.select("source", "cursor_ms").filter("source IS NOT NULL")
+    rows = known.limit(MAX_SOURCES + 1).collect()
+    if len(rows) <= MAX_SOURCES:
+        furthest: dict[str, int | None] = {}
+        for r in rows:
+            if r.cursor_ms is not None:
+                furthest[r.source] = max(r.cursor_ms, furthest.get(r.source, r.cursor_ms))
+        pairs = [F.lit(x) for source, at in furthest.items() for x in (source, at)]
+        found = F.try_element_at(F.create_map(*pairs), F.col("source")) if pairs else F.lit(None)
+        return envelopes.filter(found.isNull() | (F.col("ts_ms") > found) | F.col("ts_ms").isNull())
+    seen = known.groupBy(F.col("source").alias("_source")).agg(F.max("cursor_ms").alias("_cursor_ms"))
     return (
         envelopes.join(seen, F.col("source") == F.col("_source"), "left")
-        .filter(F.col("cursor_ms").isNull() | (F.col("ts_ms") > F.col("cursor_ms"))
+        .filter(F.col("_cursor_ms").isNull() | (F.col("ts_ms") > F.col("_cursor_ms"))
                 | F.col("ts_ms").isNull())
-        .drop("_source", "cursor_ms")
+        .drop("_source", "_cursor_ms")
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.functions.times import event_date, event_time
@@ -18,6 +18,22 @@ def with_event_time(envelopes: DataFrame, window: str) -> DataFrame:
     )
 
 
+def state_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(side, entity, event_id, ts_ms) of the rows that the pair join holds, from its last state on disk."""
+    def side(name: str, prefix: str) -> DataFrame:
+        state = spark.read.format("statestore").option("joinSide", name).load(checkpoint)
+        return state.select(F.lit(prefix).alias("side"), *(
+            F.col(f"value.{prefix}_{c}").alias(c) for c in ("entity", "event_id", "ts_ms")))
+
+    return side("left", "a").union(side("right", "b"))
+
+
+def state_versions(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """operator, batches of the state that a restart can go back to."""
+    return spark.read.format("state-metadata").load(checkpoint).select(
+        "operatorName", "stateStoreName", "minBatchId", "maxBatchId")
+
+
 def stream_pairs(envelopes: DataFrame, window: str = "10 minutes", hot_grid: int = 8,
                  hot_entities: tuple[str, ...] = ()) -> DataFrame:
     """``operators.correlate.pairs`` over a stream; works on a batch frame as well.
