@@ -8,6 +8,11 @@ left part of that, ...). The longest such chain of rising ranks bounds all movem
 ends ``lookahead`` bytes before the end of what is known never changes. ``Encoder`` therefore
 holds ``lookahead`` bytes and the open token, however long the text is.
 
+A text goes through in windows that end where the tokenizer's own split certainly ends a piece. Most
+pieces are shorter than the lookahead, so nothing in them is stable before their end: they are merged
+whole, and remembered. A piece longer than a window goes through ``Encoder``. Ids and the bytes they
+decode to enter their digests window by window.
+
 Decoding is a state machine over bytes: complete characters leave at once, at most three bytes of
 an open one are held, and bytes that cannot be UTF-8 become U+FFFD.
 
@@ -34,11 +39,13 @@ from pyspark.sql import DataFrame
 MAX_FILE_BYTES = 64 << 20
 CACHED_PIECES = 1 << 19
 CACHED_CHARS = 48
+WINDOW = 1 << 14
 SHORT = 64
 ID_BITS = 24
 NEVER = 1 << 40
 SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+SAFE = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
 DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -173,29 +180,25 @@ class Decoder:
 
     def feed(self, ids: Iterable[int]) -> str:
         """The characters that these tokens complete."""
-        return self.state.decode(b"".join([self.merges.tokens.get(i, b"") for i in ids]))
+        return self.feed_bytes(b"".join([self.merges.tokens.get(i, b"") for i in ids]))
+
+    def feed_bytes(self, data: bytes) -> str:
+        """The same for tokens whose bytes are looked up already."""
+        return self.state.decode(data)
 
     def flush(self) -> str:
         return self.state.decode(b"", True)
 
 
 class _Pieces(dict):
-    """For a piece of text: its ids as text, how many they are, what they decode to."""
+    """For a piece of text: its ids as text, how many they are, their bytes."""
 
     def __init__(self, merges: Merges):
         super().__init__()
         self.merges = merges
 
-    def __missing__(self, piece: str) -> tuple[str, int, str]:
-        data, decoder = piece.encode(), Decoder(self.merges)
-        if len(data) <= self.merges.lookahead:  # nothing is stable before the piece's end
-            ids = self.merges.merge(data)
-        else:
-            encoder = Encoder(self.merges)
-            ids = [*encoder.feed(data), *encoder.flush()]
-        # A piece is whole characters, so the decoder's state is empty before and after it.
-        text = decoder.feed(ids) + decoder.flush()
-        found = (",".join(map(str, ids)), len(ids), text)
+    def __missing__(self, piece: str) -> tuple[str, int, bytes]:
+        found = shown(self.merges, self.merges.merge(piece.encode()))
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED_PIECES:
                 self.clear()
@@ -203,36 +206,71 @@ class _Pieces(dict):
         return found
 
 
+def shown(merges: Merges, ids: list[int]) -> tuple[str, int, bytes]:
+    return ",".join(map(str, ids)), len(ids), b"".join([merges.tokens[i] for i in ids])
+
+
 class Tokenizer:
+    """Texts to ids and back, as streams: what is held beside a text does not grow with it."""
+
     def __init__(self, merges: Merges):
         self.merges, self.pieces = merges, _Pieces(merges)
         self.split = regex.compile(SPLIT)
         names = sorted(merges.added, key=len, reverse=True)
-        self.added = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.named = {name: (str(number), 1, name) for name, number in merges.added.items()}
-
-    def _found(self, text: str) -> Iterator[tuple[str, int, str]]:
-        parts = self.added.split(text) if self.added else [text]
-        for k, part in enumerate(parts):
-            if k % 2:
-                yield self.named[part]
-            elif part:
-                yield from map(self.pieces.__getitem__, self.split.findall(part))
+        self.added = regex.compile("|".join(map(regex.escape, names))) if names else None
+        self.named = {name: (str(number), 1, name.encode()) for name, number in merges.added.items()}
+
+    def _found(self, text: str) -> Iterator[list[tuple[str, int, bytes]]]:
+        """(ids as text, how many, their bytes) in the order of the text, some thousand at a time."""
+        at = 0
+        for name in self.added.finditer(text) if self.added else ():
+            yield from self._between(text, at, name.start())
+            yield [self.named[name[0]]]
+            at = name.end()
+        yield from self._between(text, at, len(text))
+
+    def _between(self, text: str, low: int, high: int) -> Iterator[list[tuple[str, int, bytes]]]:
+        """Window by window; a single space between two words always is where pieces meet."""
+        while low < high:
+            cut = SAFE.search(text, low + WINDOW, high) if high - low > 2 * WINDOW else None
+            upto = cut.start() if cut else high
+            window = text[low:upto]
+            if len(window) <= 2 * WINDOW:
+                yield list(map(self.pieces.__getitem__, self.split.findall(window)))
+            else:
+                for match in self.split.finditer(window):
+                    piece = match[0]
+                    yield from [[self.pieces[piece]]] if len(piece) <= WINDOW else self._long(piece)
+            low = upto
+
+    def _long(self, piece: str) -> Iterator[list[tuple[str, int, bytes]]]:
+        """A long piece through the transducer: tokens leave once they are stable."""
+        encoder = Encoder(self.merges)
+        for at in range(0, len(piece), encoder.step):
+            if ids := list(encoder.feed(piece[at:at + encoder.step].encode())):
+                yield [shown(self.merges, ids)]
+        if ids := list(encoder.flush()):
+            yield [shown(self.merges, ids)]
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for found in self._found(text or "") for i in found[0].split(",")]
+        return [int(i) for part in self._found(text or "") for found in part for i in found[0].split(",")]
 
     def decode(self, ids: Iterable[int]) -> str:
         decoder = Decoder(self.merges)
         return "".join(decoder.feed((i,)) for i in ids) + decoder.flush()
 
     def round_trip(self, text: str | None) -> tuple[int, str, str]:
-        """Number of tokens, SHA-256 of the ids joined by commas, SHA-256 of the decoded text."""
-        found = list(self._found(text or ""))
-        ids = ",".join([f[0] for f in found])
-        decoded = "".join([f[2] for f in found])
-        return (sum([f[1] for f in found]), sha256(ids.encode()).hexdigest(),
-                sha256(decoded.encode()).hexdigest())
+        """Number of tokens, SHA-256 of the ids joined by commas, SHA-256 of the decoded text.
+
+        Both digests are fed as tokens leave; one decoder follows the whole stream.
+        """
+        n, ids, decoded, decoder = 0, sha256(), sha256(), Decoder(self.merges)
+        for part in self._found(text or ""):
+            ids.update(((b"," if n else b"") + ",".join([f[0] for f in part]).encode()))
+            n += sum([f[1] for f in part])
+            decoded.update(decoder.feed_bytes(b"".join([f[2] for f in part])).encode())
+        decoded.update(decoder.flush().encode())
+        return n, ids.hexdigest(), decoded.hexdigest()
 
 
 _loaded: dict[str, Tokenizer] = {}

@@ -364,3 +364,25 @@ def test_rules_and_their_sql_agree_where_documents_share_their_smallest_line(spa
     expected = cursor.fetchall()
     assert ordered(found.select(*names).collect()) == ordered(expected)
     assert len({(r[names.index("kept")], r[names.index("n_removed_words")] > 0) for r in expected}) >= 3
+
+
+# ---- BPE in windows --------------------------------------------------------------------
+
+@pytest.mark.parametrize("window", [1, 7, 60])
+def test_windows_change_no_token(monkeypatch, window):
+    public = pytest.importorskip("public_tokenizers")
+    library = pytest.importorskip("tokenizers")
+    from eventlens.llm import bpe
+    path = public.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as file:
+        ours = bpe.Tokenizer(bpe.Merges.from_json(file.read()))
+    theirs = library.Tokenizer.from_file(path)
+    monkeypatch.setattr(bpe, "WINDOW", window)
+    rng = random.Random(window)
+    for _ in range(150):
+        text = "".join(rng.choice("ab c'  \n\té漢1.<|>x") for _ in range(rng.choice([5, 80, 900])))
+        text += rng.choice(["", " <|endoftext|> ", "=" * 400, "don't  stop"])
+        ids = theirs.encode(text, add_special_tokens=False).ids
+        assert ours.encode(text) == ids
+        decoded = theirs.decode(ids, skip_special_tokens=False)
+        assert ours.round_trip(text) == (len(ids), sha(",".join(map(str, ids))), sha(decoded))
