@@ -27,6 +27,7 @@ from eventlens.sources import feeds, sinks
 from eventlens.streaming import repair
 from eventlens.streaming import sinks as K
 from eventlens.streaming.fanout import write_fanout
+from eventlens.streaming.index import read_index, update_index
 from eventlens.streaming.pairs import state_rows, stream_pairs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -936,6 +937,24 @@ def last_by_id(spark, sf_dir):
     return L.last_by_id(by_user).select("event_id", "topic", "offset", "ts_ms", "summary")
 
 
+@query(f"""WITH {BUS}, live AS (SELECT CASE WHEN n % 4 = 0 THEN 'U' || (n % 40) ELSE event_id END AS event_id,
+ topic, "partition", "offset", "timestamp", ts_ms FROM bus WHERE topic NOT LIKE '%.dlq'),
+keyed AS (SELECT *, row_number() OVER (PARTITION BY event_id
+ORDER BY "timestamp" DESC, topic DESC, "partition" DESC, "offset" DESC) AS r FROM live)
+SELECT event_id, topic, "offset", ts_ms FROM keyed WHERE r = 1""")
+def index_after_batches(spark, sf_dir):
+    """The index of last rows after five batches with two rebuilt bases; a quarter of the rows repeat ids."""
+    cfg = _scratch(spark, "index")
+    n = c("offset") * 6 + c("partition")
+    own = F.concat(F.lit('"event_id":"U'), (n % 40).cast("string"), F.lit('"'))
+    value = F.when(n % 4 == 0, F.regexp_replace(c("value").cast("string"), F.lit('"event_id":"[^"]*"'), own)).otherwise(
+        c("value").cast("string"))
+    bus = W.bus(spark, sf_dir).withColumn("value", value.cast("binary"))
+    for batch in range(5):
+        update_index(bus.filter(c("offset") % 5 == batch), batch, cfg, every=2)
+    return read_index(spark, cfg).select("event_id", "topic", "offset", "ts_ms")
+
+
 _ARRIVAL = '"timestamp" DESC, topic DESC, "partition" DESC, "offset" DESC'
 
 
