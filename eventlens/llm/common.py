@@ -33,10 +33,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _shipped: set[str] = set()
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+USUAL_LIMIT, SMALL_LIMIT = "67108864b", "8388608b"
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors' Python, once per application."""
+    """Sends this package to the executors' Python, once per application.
+
+    Arrow batches of texts are held twice, by the executor and by its Python worker, for each task. Where
+    the session leaves their size at Spark's own value, it is set to 8 MB.
+    """
+    if spark.conf.get(BATCH_LIMIT) == USUAL_LIMIT:
+        spark.conf.set(BATCH_LIMIT, SMALL_LIMIT)
     sc = spark.sparkContext
     if sc.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
