@@ -12,6 +12,8 @@ from eventlens.functions.times import event_date
 CHUNK = 20_000
 # A boolean column of envelopes: pairs then need one side for which it holds.
 FRESH = "_fresh"
+# What tells the cells of an entity apart.
+CELL = ("bin", "source")
 
 
 def entityless(envelopes: DataFrame) -> DataFrame:
@@ -47,7 +49,7 @@ def pairs(envelopes: DataFrame, window: str = "10 minutes", chunk: int = CHUNK)
     With a column ``FRESH`` only pairs with a fresh side are returned, and cells of old rows never meet.
     """
     width = window_ms(window)
-    cell = ["bin", "source", *([FRESH] if FRESH in envelopes.columns else [])]
+    cell = (*CELL, FRESH) if FRESH in envelopes.columns else CELL
     rows = _distinct_rows(per_entity(envelopes), width, cell)
     links = _links(_cells(rows, cell), width, chunk, cell)
     left = _side(rows, links, "a", chunk, cell)
@@ -64,7 +66,7 @@ def pairs(envelopes: DataFrame, window: str = "10 minutes", chunk: int = CHUNK)
     )
 
 
-def _distinct_rows(rows: DataFrame, width: int, cell: list[str]) -> DataFrame:
+def _distinct_rows(rows: DataFrame, width: int, cell: tuple[str, ...] = CELL) -> DataFrame:
     """Copies folded into a count before anything is shuffled whole."""
     bin_ = ((F.col("ts_ms") - F.pmod("ts_ms", F.lit(width))) / width).cast("bigint")
     # Nulls are ruled out here and not left to each join to infer: the five uses of this
@@ -82,13 +84,13 @@ def _pieces(chunk: int) -> Column:
     return F.ceil(F.col("copies") / chunk)
 
 
-def _cells(rows: DataFrame, cell: list[str]) -> DataFrame:
+def _cells(rows: DataFrame, cell: tuple[str, ...] = CELL) -> DataFrame:
     return rows.groupBy("entity", *cell).agg(
         F.sum("copies").alias("n"), F.min("ts_ms").alias("first"), F.max("ts_ms").alias("last")
     )
 
 
-def _links(cells: DataFrame, width: int, chunk: int, cell: list[str]) -> DataFrame:
+def _links(cells: DataFrame, width: int, chunk: int, cell: tuple[str, ...] = CELL) -> DataFrame:
     """Cells that can pair, with the number of chunks each side of the link is cut into."""
     def side(name: str) -> DataFrame:
         return cells.select(
@@ -111,7 +113,8 @@ def _links(cells: DataFrame, width: int, chunk: int, cell: list[str]) -> DataFra
     )
 
 
-def _side(rows: DataFrame, links: DataFrame, me: str, chunk: int, cell: list[str]) -> DataFrame:
+def _side(rows: DataFrame, links: DataFrame, me: str, chunk: int,
+          cell: tuple[str, ...] = CELL) -> DataFrame:
     """Rows of one side of every link, placed in their own chunk and shown to each
     chunk of the other side."""
     other = "b" if me == "a" else "a"
