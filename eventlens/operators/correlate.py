@@ -51,7 +51,7 @@ def pairs(envelopes: DataFrame, window: str = "10 minutes", chunk: int = CHUNK)
     width = window_ms(window)
     cell = (*CELL, FRESH) if FRESH in envelopes.columns else CELL
     rows = _distinct_rows(per_entity(envelopes), width, cell)
-    links = _links(_cells(rows, cell), width, chunk, cell)
+    links = _links(_cells(rows, chunk, cell), width, chunk, cell)
     left = _side(rows, links, "a", chunk, cell)
     right = _side(rows, links, "b", chunk, cell)
     matched = left.join(
@@ -84,7 +84,7 @@ def _pieces(chunk: int) -> Column:
     return F.ceil(F.col("copies") / chunk)
 
 
-def _cells(rows: DataFrame, cell: tuple[str, ...] = CELL) -> DataFrame:
+def _cells(rows: DataFrame, chunk: int, cell: tuple[str, ...] = CELL) -> DataFrame:
     return rows.groupBy("entity", *cell).agg(
         F.sum("copies").alias("n"), F.min("ts_ms").alias("first"), F.max("ts_ms").alias("last")
     )
