@@ -20,12 +20,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELLS = 4096
+CELL_ROWS = 50_000
 SEED = 20261
 
 
-def shuffle_key(key: Column, seed: int) -> Column:
-    """A seeded hash of ``key`` in [0, 2^52), exact as a double."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 12)
+def shuffle_key(seed: int, *values: Column) -> Column:
+    """A seeded hash of ``values`` in [0, 2^52), exact as a double."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *values), 12)
+
+
+def cells_for(n: int) -> int:
+    """A power of two: ``CELLS`` at least, else cells of some ``CELL_ROWS`` rows."""
+    return max(CELLS, 1 << (n // CELL_ROWS).bit_length())
 
 
 def _place(rows: DataFrame, group: list[str], cell: str, order: list, name: str) -> DataFrame:
@@ -46,7 +52,7 @@ def _place(rows: DataFrame, group: list[str], cell: str, order: list, name: str)
 
 
 def assign(
-    rows: DataFrame, key: str, source: str, n_shards: int, *, seed: int = SEED, cells: int = CELLS
+    rows: DataFrame, key: str, source: str, n_shards: int, *, seed: int = SEED, cells: int | None = None
 ) -> DataFrame:
     """``rows`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 in each shard).
 
@@ -54,13 +60,15 @@ def assign(
     """
     if n_shards < 1:
         raise ValueError("n_shards has to be positive")
+    cells = cells or cells_for(rows.count())
     kept = [c for c in rows.columns if c not in ("shard", "slot")]
     source = F.col(source)
     keyed = rows.select(
         F.struct(*kept).alias("row"), F.col(key).alias("key"),
         F.concat(source.isNull().cast("int").cast("string"),
                  F.coalesce(source.cast("string"), F.lit(""))).alias("source"),
-        shuffle_key(F.col(key), seed).alias("hash"), F.xxhash64(*kept).alias("whole")
+        # Of the whole row, so that rows without a key, or with a common one, are dealt out as well.
+        shuffle_key(seed, F.col(key), *map(F.col, kept)).alias("hash"), F.xxhash64(*kept).alias("whole")
     ).withColumn("cell", F.shiftright("hash", 52 - (cells.bit_length() - 1)))
     # The hash, then the key and the whole row: repeated keys stay in one order.
     order = ["hash", "key", "whole"]

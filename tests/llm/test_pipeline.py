@@ -38,3 +38,9 @@ def test_pipeline_equals_brute_force(spark, table):
     got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256)
            for r in corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()}
     assert got == wanted and len(one) > len(clean)
+
+
+def test_pipeline_of_empty_tables(spark, table, tmp_path):
+    for name in ("documents", "benchmark"):
+        table(name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -386,3 +386,17 @@ def test_windows_change_no_token(monkeypatch, window):
         assert ours.encode(text) == ids
         decoded = theirs.decode(ids, skip_special_tokens=False)
         assert ours.round_trip(text) == (len(ids), sha(",".join(map(str, ids))), sha(decoded))
+
+
+# ---- shards ----------------------------------------------------------------------------
+
+def test_rows_of_one_key_are_dealt_to_many_cells(docs):
+    from eventlens.llm import sharding
+    rows = docs(*[(None, f"text {k}", "one") for k in range(600)])
+    hashes = rows.select(sharding.shuffle_key(1, F.col("doc_id"), F.col("text")).alias("h"))
+    assert hashes.select(F.shiftright("h", 46)).distinct().count() > 50
+    got = sharding.assign(rows, "doc_id", "source", 7).collect()
+    sizes = [sum(r.shard == s for r in got) for s in range(7)]
+    assert sorted((r.shard, r.slot) for r in got) == [(s, k) for s in range(7) for k in range(sizes[s])]
+    assert sum(sizes) == 600 and max(sizes) - min(sizes) <= 1
+    assert sharding.cells_for(10) == 4096 and sharding.cells_for(10**9) == 32768
