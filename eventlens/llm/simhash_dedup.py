@@ -34,7 +34,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlens.llm import words as W
 from eventlens.llm.common import arrow_map, materialize
 from eventlens.llm.jaccard_join import components
 
