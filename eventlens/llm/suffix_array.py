@@ -1,9 +1,9 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
 
-The algorithm is SA-IS: classify suffixes, sort and name the leftmost-smaller (LMS) substrings,
-recurse on the names while two are equal, and induce all suffixes from the sorted LMS suffixes.
-(The substrings themselves are sorted as packed integers, which arrays do faster than inducing.) An inducing scan reads and writes one array in order; here it advances by blocks, each
-the longest whose own insertions all land behind it, so a block is a handful of array operations.
+The algorithm is SA-IS: classify suffixes, sort the leftmost-smaller (LMS) substrings by inducing, name
+them, recurse on the names while two are equal, and induce all suffixes from the sorted LMS
+suffixes. An inducing scan reads and writes one array in order; here it advances by blocks, each the
+longest whose own insertions all land behind it, so a block is a handful of array operations.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 _FIRST_BLOCK = 64
+_COMPARED = 1 << 20  # symbols of LMS substrings compared at once
 _COUNT = np.arange(1 << 16)
 
 
@@ -96,39 +97,35 @@ def _induce(text, smaller, starts, ends, lms: np.ndarray) -> np.ndarray:
     return sa
 
 
-def _names(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray:
+def _names(text, smaller, starts, ends, lms: np.ndarray) -> np.ndarray:
     """Ranks of the LMS substrings, each from its LMS position to the next one, both included.
 
-    Symbols are compared with their suffix's type, so that no substring begins another one; as many
-    as fit into 32 bits are compared at once, and only unequal-length rests go on.
+    Inducing from LMS positions in any order sorts all suffixes by their first LMS substring; then
+    neighbours of equal length are compared, more symbols at a time the fewer are left.
     """
-    symbols = 2 * text.astype(np.int64) + smaller
-    bits = int(symbols.max()).bit_length()
-    each = max(1, 32 // bits)
-    stop = np.append(lms[1:], lms[-1]) + 1
-    # A rank is the number of smaller substrings known so far; equal ranks are told apart further.
-    ranks, at = np.zeros(len(lms), np.int64), lms.copy()
-    tied = np.arange(len(lms))
+    sa = _induce(text, smaller, starts, ends, lms)
+    width = np.zeros(len(text), np.int64)
+    width[lms] = np.append(np.diff(lms), 0) + 1
+    order = sa[width[sa] > 0].astype(np.int64)
+    one, other = order[:-1], order[1:]
+    equal = width[one] == width[other]
+    tied, done = np.flatnonzero(equal), 0
     while len(tied):
-        part = np.zeros(len(tied), np.int64)
-        for k in range(each):
-            place = at[tied] + k
-            inside = place < stop[tied]
-            part = (part << bits) | np.where(inside, symbols[np.minimum(place, len(text) - 1)], 0)
-        key = (ranks[tied] << (bits * each)) | part
-        order = key.argsort()
-        key, tied = key[order], tied[order]
-        old, count = ranks[tied], np.arange(len(tied))
-        group = np.append(True, old[1:] != old[:-1])
-        new = np.append(True, key[1:] != key[:-1])
-        ranks[tied] = old + np.maximum.accumulate(np.where(new, count, 0)) - np.maximum.accumulate(
-            np.where(group, count, 0))
-        at[tied] += each
-        alone = new & np.append(new[1:], True)
-        tied = tied[~alone & (at[tied] < stop[tied])]
-    present = np.zeros(len(lms), np.int64)
-    present[ranks] = 1
-    return (present.cumsum() - 1)[ranks]
+        a, b = one[tied] + done, other[tied] + done
+        step = max(1, min(4096, _COMPARED // len(tied)))
+        if step == 1:
+            agree = text[a] == text[b]
+        else:
+            inside = np.arange(step) < (width[one[tied]] - done)[:, None]
+            a, b = (np.minimum(x[:, None] + np.arange(step), len(text) - 1) for x in (a, b))
+            agree = ((text[a] == text[b]) | ~inside).all(axis=1)
+        equal[tied[~agree]] = False
+        done += step
+        tied = tied[agree]
+        tied = tied[width[one[tied]] > done]
+    names = np.zeros(len(text), np.int64)
+    names[order] = np.append(0, np.cumsum(~equal))
+    return names[lms]
 
 
 def induced_sort(text: np.ndarray) -> np.ndarray:
@@ -142,13 +139,14 @@ def induced_sort(text: np.ndarray) -> np.ndarray:
     counts = np.bincount(text)
     ends = np.cumsum(counts)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
-    names = _names(text, smaller, lms)
+    starts = ends - counts
+    names = _names(text, smaller, starts, ends, lms)
     if int(names.max()) + 1 < len(lms):
         order = lms[induced_sort(names)]
     else:
         order = np.empty(len(lms), np.int64)
         order[names] = lms
-    return _induce(text, smaller, ends - counts, ends, order)
+    return _induce(text, smaller, starts, ends, order)
 
 
 def permuted_common_prefixes(
