@@ -8,11 +8,12 @@ pair, so only segments of repeated anchors leave their document.
 
 A shard is a suffix array over its segments (induced sorting) with permuted common prefixes: a
 window is repeated when the suffix before or after it in the array shares ``length`` bytes.
-Segments of one anchor stay together; an anchor with more than ``HOT`` segments is not put into one
-task: its windows are counted by two independent 64-bit hashes instead, in an ordinary aggregation.
+Segments of one anchor stay together; an anchor whose segments have more than ``HOT`` bytes is not put
+into one task: its windows are counted by two independent 64-bit hashes instead, in an ordinary
+aggregation.
 
-Equal texts are one text here: their segments are the same rows, and what is known from counting
-texts (all of a copy is repeated) needs no array.
+Equal texts are one text here, named by 128 bits of hash: one of them is cut into segments, and what
+is known from counting texts (all of a copy is repeated) needs no array.
 
 Defined results: a null text is empty; texts shorter than ``length`` lose nothing; equal texts of
 ``length`` bytes or more lose everything, as do repeated rows; an empty table gives an empty result;
@@ -36,7 +37,8 @@ from eventlens.llm.common import arrow_map, materialize
 LENGTH = 400
 GRAM = 96
 SHARD_BYTES = 4 << 20
-HOT = 16_384
+HOT = 8 << 20
+COMMON = 1_000  # a text that makes up more than this share of the table has rows in every task
 _LETTER = np.random.default_rng(400).integers(1, 2**64, (2, 256), dtype=np.uint64)
 _PLACE = 21
 
@@ -103,8 +105,8 @@ def _pieces(raw: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple[
 
 def _anchor_rows(length: int, gram: int):
     def of(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        raw, bounds = W.text_bytes(batch.column(1))
-        keys = batch.column(0).to_numpy()
+        raw, bounds = W.text_bytes(batch.column(2))
+        keys, checks = (batch.column(k).to_numpy() for k in (0, 1))
         out = []
         for first, last, low, high in _pieces(raw, bounds, length):
             inner = np.clip(bounds[first:last + 1] - low, 0, high - low)
@@ -114,12 +116,13 @@ def _anchor_rows(length: int, gram: int):
                 text = first + np.searchsorted(inner, a, "right") - 1
                 text = np.minimum(text, last - 1)
                 shift = low - bounds[text]
-                out.append((keys[text], anchor.view(np.int64), a + shift, b + shift, places))
+                out.append((keys[text], checks[text], anchor.view(np.int64), a + shift, b + shift,
+                            places))
         if not out:
             return None
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)],
-            ["key", "anchor", "a", "b", "places"])
+            ["key", "check", "anchor", "a", "b", "places"])
 
     return of
 
@@ -153,90 +156,93 @@ def _runs(starts: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
 
 def _shard(length: int):
     def run(table: pa.Table) -> pa.Table:
-        places: dict[bytes, set[tuple[int, int]]] = {}
-        for key, a, data in zip(table["key"].to_pylist(), table["a"].to_pylist(),
-                                table["data"].to_pylist(), strict=True):
-            places.setdefault(data, set()).add((key, a))
+        places: dict[bytes, set[tuple[int, int, int]]] = {}
+        for *place, data in zip(*(table[c].to_pylist() for c in ("key", "check", "a", "data")),
+                                strict=True):
+            places.setdefault(data, set()).add(tuple(place))
         segments = list(places)
-        found: list[tuple[int, int, int]] = []
+        found: list[tuple[int, int, int, int]] = []
         for data, starts in zip(segments, repeated_starts(segments, length), strict=True):
             at = places[data]
             if len(at) > 1:  # equal segments: each of their windows is repeated
                 runs = [(0, len(data))]
             else:
                 runs = list(_runs(starts, length))
-            found += [(key, a + s, a + e) for key, a in at for s, e in runs]
-        keys, low, high = zip(*found, strict=True) if found else ((), (), ())
-        return pa.table({"key": pa.array(keys, pa.int64()), "s": pa.array(low, pa.int64()),
-                         "e": pa.array(high, pa.int64())})
+            found += [(key, check, a + s, a + e) for key, check, a in at for s, e in runs]
+        columns = zip(*found, strict=True) if found else ((),) * 4
+        return pa.table([pa.array(c, pa.int64()) for c in columns], ["key", "check", "s", "e"])
 
     return run
 
 
 def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Segments of the texts of a batch: shard, key, a, data."""
-    shard, keys, begin, data = [], [], [], []
-    for key, text, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+    """Segments of the texts of a batch: shard, key, check, a, data."""
+    shard, keys, checks, begin, data = [], [], [], [], []
+    for key, check, text, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
         raw = text.encode()
         for part in parts:
             shard.append(part["shard"])
             keys.append(key)
+            checks.append(check)
             begin.append(part["a"])
             data.append(raw[part["a"]:part["e"]])
     return pa.RecordBatch.from_arrays(
-        [pa.array(shard, pa.int64()), pa.array(keys, pa.int64()), pa.array(begin, pa.int64()),
-         pa.array(data, pa.binary())], ["shard", "key", "a", "data"])
+        [*(pa.array(c, pa.int64()) for c in (shard, keys, checks, begin)), pa.array(data, pa.binary())],
+        ["shard", "key", "check", "a", "data"])
 
 
 def _hot_windows(length: int):
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for key, a, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for key, check, a, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             raw = np.frombuffer(data, np.uint8)
             for low in range(0, len(raw) - length + 1, W.PIECE - length + 1):
                 piece = raw[low:low + W.PIECE]
                 one, two = (_grams(piece, length, k).view(np.int64) for k in (0, 1))
-                out.append((np.full(len(one), key), a + low + np.arange(len(one)), one, two))
+                out.append((np.full(len(one), key), np.full(len(one), check),
+                            a + low + np.arange(len(one)), one, two))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "s", "h1", "h2"])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "check", "s", "h1", "h2"])
 
     return of
 
 
 def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
                    hot: int = HOT) -> DataFrame:
-    """(key, spans) of different texts: sorted, disjoint byte runs that repeated windows cover.
+    """(key, check, runs) of different texts: byte runs that repeated windows cover.
 
-    ``docs`` has ``key``, a text's hash, and ``text``.
+    ``docs`` has ``key`` and ``check``, hashes of a text, and ``text``; rows may repeat.
     """
-    texts = docs.select("key", "text").filter(F.octet_length("text") >= length)
-    # Rows of equal texts are equal and fold before they travel.
+    name = ["key", "check"]
+    # Rows of equal texts fold before they travel.
+    texts = docs.select(*name, "text").filter(F.octet_length("text") >= length)
     segments = materialize(
         arrow_map(texts, _anchor_rows(length, gram),
-                  "key bigint, anchor bigint, a bigint, b bigint, places bigint", text=1).distinct())
+                  "key bigint, check bigint, anchor bigint, a bigint, b bigint, places bigint",
+                  text=2).distinct())
     counted = (segments.groupBy("anchor")
-               .agg(F.sum("places").alias("places"), F.count(F.lit(1)).alias("n"))
-               .filter("places > 1").select("anchor", (F.col("n") > hot).alias("hot")))
+               .agg(F.sum("places").alias("places"),
+                    F.sum(F.col("b") - F.col("a") + length).alias("bytes"))
+               .filter("places > 1").select("anchor", (F.col("bytes") > hot).alias("hot")))
     repeated = materialize(segments.join(counted, "anchor")
-                           .select("key", "anchor", "hot", "a", (F.col("b") + length).alias("e")))
+                           .select(*name, "anchor", "hot", "a", (F.col("b") + length).alias("e")))
     total = repeated.filter("NOT hot").agg(F.sum(F.col("e") - F.col("a"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     shard = F.when(F.col("hot"), F.lit(-1)).otherwise(F.pmod("anchor", F.lit(shards)))
-    per_text = repeated.groupBy("key").agg(F.collect_list(
+    per_text = repeated.groupBy(*name).agg(F.collect_list(
         F.struct(shard.cast("bigint").alias("shard"), "a", "e")).alias("parts"))  # of one text
-    cut = arrow_map(texts.join(per_text, "key").select("key", "text", "parts"), _cut,
-                    "shard bigint, key bigint, a bigint, data binary", text=1)
-    in_shards = (cut.filter("shard >= 0").groupBy("shard")
-                 .applyInArrow(_shard(length), "key bigint, s bigint, e bigint"))
-    runs = in_shards
+    cut = arrow_map(texts.dropDuplicates(name).join(per_text, name).select(*name, "text", "parts"),
+                    _cut, "shard bigint, key bigint, check bigint, a bigint, data binary", text=2)
+    runs = (cut.filter("shard >= 0").groupBy("shard")
+            .applyInArrow(_shard(length), "key bigint, check bigint, s bigint, e bigint"))
     if not repeated.filter("hot").isEmpty():
-        windows = arrow_map(cut.filter("shard < 0").select("key", "a", "data"),
-                            _hot_windows(length), "key bigint, s bigint, h1 bigint, h2 bigint",
-                            text=2).distinct()
+        windows = arrow_map(cut.filter("shard < 0").select(*name, "a", "data"), _hot_windows(length),
+                            "key bigint, check bigint, s bigint, h1 bigint, h2 bigint",
+                            text=3).distinct()
         twice = (windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
         runs = runs.union(windows.join(twice, ["h1", "h2"], "left_semi")
-                          .select("key", "s", (F.col("s") + length).alias("e")))
-    return runs.groupBy("key").agg(F.collect_set(F.struct("s", "e")).alias("runs"))
+                          .select(*name, "s", (F.col("s") + length).alias("e")))
+    return runs.groupBy(*name).agg(F.collect_set(F.struct("s", "e")).alias("runs"))
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -276,15 +282,24 @@ def _removed(length: int):
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
                    hot: int = HOT) -> DataFrame:
     """Per document: sizes, the removed spans, the bytes that are left and their digest."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.coalesce("text", F.lit("")).alias("text"),
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    name = ["key", "check"]
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"),
+                       F.xxhash64(text).alias("key"), F.xxhash64(F.lit(length), text).alias("check"))
+    counted = materialize(rows.filter(F.octet_length("text") >= length).groupBy(*name)
+                          .agg(F.count(F.lit(1)).alias("n")))
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    # At most COMMON texts; all of their rows are removed whole and need not meet.
+    often = counted.filter((F.col("n") > 1) & (F.col("n") * COMMON > total)).select(*name)
     spans = repeated_spans(rows, length=length, gram=gram, hot=hot)
-    copies = (rows.filter(F.octet_length("text") >= length).groupBy("key")
-              .agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-              .select("key", F.lit(True).alias("copied")))
-    known = spans.join(copies, "key", "full_outer")
+    known = spans.join(counted.filter("n > 1").select(*name, F.lit(True).alias("copied")), name,
+                       "full_outer")
+    here = (rows.join(F.broadcast(often), name, "left_semi")
+            .select("doc_id", "text", F.lit(True).alias("copied"),
+                    F.lit(None).cast("array<struct<s:bigint,e:bigint>>").alias("runs")))
+    met = (rows.join(F.broadcast(often), name, "left_anti").join(known, name, "left")
+           .select("doc_id", "text", "copied", "runs"))
     return arrow_map(
-        rows.join(known, "key", "left").select("doc_id", "text", "copied", "runs"), _removed(length),
+        here.union(met), _removed(length),
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
         "spans array<struct<s:bigint,e:bigint>>, kept binary", text=1)

@@ -8,8 +8,11 @@ import zlib
 from collections import Counter
 
 import brute
+import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from eventlens.llm import (
@@ -21,6 +24,7 @@ from eventlens.llm import (
     quality_rules,
     secret_scan,
     sharding,
+    suffix_array,
     suffix_dedup,
     warc,
 )
@@ -101,6 +105,24 @@ def test_repeats_equal_brute_force(docs, hot):
         brute.without_repeats(rows, 40))
 
 
+@given(st.lists(st.binary(max_size=60), max_size=4), st.integers(1, 30))
+@settings(max_examples=150, deadline=None)
+def test_suffix_arrays_equal_sorting(parts, times):
+    text = [b + 2 for part in parts for b in part * times] + [0]
+    assert suffix_array.induced_sort(np.array(text)).tolist() == sorted(
+        range(len(text)), key=lambda k: text[k:])
+
+
+def test_common_texts_and_copies_of_a_text_with_a_shared_passage(docs):
+    rng = random.Random(6)
+    passage, a, b = ("".join(rng.choice("abcdefgh ") for _ in range(80)) for _ in range(3))
+    rows = [(k, a) for k in range(30)] + [(None, b + passage), (41, b + passage), (42, passage + "q" * 39)]
+    rows += [(50 + k, f"{k}" * 41 + passage[:45]) for k in range(3)]
+    got = suffix_dedup.remove_repeats(docs(*rows), length=40, gram=12)
+    assert ordered(tuple(r[:5]) for r in got.drop("kept", "spans").collect()) == ordered(
+        brute.without_repeats(rows, 40))
+
+
 def test_repeats_of_the_given_table(spark, table):
     d = table("documents")
     got = suffix_dedup.remove_repeats(d).drop("kept", "spans").collect()
