@@ -432,10 +432,12 @@ FROM (SELECT event_id, event_id * event_id * event_id * 8 AS b FROM events)""")
 def readable_texts(spark, sf_dir):
     n = c("event_id")
     unit = F.element_at(F.array(F.lit("s"), F.lit("m"), F.lit("h")), (n % 3 + 1).cast("int"))
+    # From about a million on the cube of an id no longer fits 64 bits.
+    wide = n.cast("decimal(20,0)")
     return W.table(spark, sf_dir, "events").select(
         "event_id", T.age(n * 4567).alias("age"),
         T.interval_seconds(F.concat((n % 100).cast("string"), unit)).alias("interval_s"),
-        J.human_bytes(n * n * n * 8).alias("size"))
+        J.human_bytes(wide * wide * wide * 8).alias("size"))
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 3 > 0 THEN event_type END AS first_error,
