@@ -1,6 +1,11 @@
 """Figures and shapes that only larger tables ask for."""
 
+import json
+
 from eventlens.plans.queries import QUERIES
+from eventlens.settings import Settings
+from eventlens.sources import sinks
+from eventlens.streaming import fanout
 
 
 def test_sizes_beyond_64_bits(spark, tmp_path):
@@ -11,3 +16,31 @@ def test_sizes_beyond_64_bits(spark, tmp_path):
     assert (rows[0].size, rows[5].size) == ("0 B", "1000 B")
     for i in ids[2:]:
         assert rows[i].size == f"{i ** 3 * 8 / 1024 ** 4:.1f} TiB"
+
+
+def test_pairs_are_made_of_one_scan_and_land_where_they_are_made(spark, bus, tmp_path, monkeypatch):
+    cfg, landed, real = Settings.at(str(tmp_path / "sinks")), {}, fanout.land
+
+    def seeing(df, path, partitions, batch):
+        landed[path.rsplit("/", 1)[-1]] = df
+        return real(df, path, partitions, batch)
+
+    monkeypatch.setattr(fanout, "land", seeing)
+    values = [json.dumps({"event_id": f"e{k}", "source": "ab"[k % 2], "entities": ["X"], "ts_ms": 1_700_000_000_000 + k})
+              for k in range(20)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for batch in range(2):
+            half = values[batch * 10:][:10]
+            fanout.write_fanout(bus(*[("events.x", 0, k, v, None, 1_700_000_000) for k, v in enumerate(half)]), batch, cfg)
+        pairs = landed[sinks.PAIRS_TABLE]
+        assert pairs.count() == 10 * 10 - 5 * 5
+        pairs.collect()
+        plan = pairs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("FileScan") == 1 and "InMemoryTableScan" not in plan
+    assert "REBALANCE" not in plan
+    assert sinks.read_pairs(spark, cfg).count() == 10 * 10
+    assert spark.conf.get(fanout.WRITERS) == "0"
