@@ -2,6 +2,9 @@
 
 import json
 
+import pytest
+
+from eventlens.plans import queries
 from eventlens.plans.queries import QUERIES
 from eventlens.settings import Settings
 from eventlens.sources import sinks
@@ -44,3 +47,20 @@ def test_pairs_are_made_of_one_scan_and_land_where_they_are_made(spark, bus, tmp
     assert "REBALANCE" not in plan
     assert sinks.read_pairs(spark, cfg).count() == 10 * 10
     assert spark.conf.get(fanout.WRITERS) == "0"
+
+
+@pytest.mark.parametrize("name", ["fanout_pairs", "stream_state_rows"])
+def test_streams_land_by_as_many_tasks_as_the_table_has(spark, tmp_path, monkeypatch, name):
+    cfg = Settings.at(str(tmp_path / "sinks"))
+    monkeypatch.setattr(queries, "_scratch", lambda *_: cfg)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(4).write.parquet(str(tmp_path / "in" / "events.parquet"))
+    try:
+        QUERIES[name](spark, str(tmp_path / "in")).count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    landed = spark.read.schema(events.schema).parquet(cfg.sinks.place("land"))
+    assert landed.select("_metadata.file_path").distinct().count() > 3
+    assert landed.count() == events.count()
