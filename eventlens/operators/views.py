@@ -137,9 +137,11 @@ def resolve_pairs(pairs: DataFrame, events: DataFrame) -> DataFrame:
     ``events`` has one row per ``event_id``, as ``last_by_id`` returns it.
     """
     def known(side: str) -> DataFrame:
+        # All events: what their files take says little of what they take in memory, so they are merged
+        # by id, as the aggregation has sorted them, and never collected for a broadcast.
         return events.select(F.col("event_id").alias(f"{side}_id"),
                              F.col("summary").alias(f"_{side}_text"),
-                             F.col("ts_ms").alias(f"_{side}_ms"))
+                             F.col("ts_ms").alias(f"_{side}_ms")).hint("merge")
 
     joined = pairs.join(known("a"), "a_id", "left").join(known("b"), "b_id", "left")
     return joined.select(

@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from eventlens.operators import views
 from eventlens.plans import queries
 from eventlens.plans.queries import QUERIES
 from eventlens.settings import Settings
@@ -64,3 +65,12 @@ def test_streams_land_by_as_many_tasks_as_the_table_has(spark, tmp_path, monkeyp
     landed = spark.read.schema(events.schema).parquet(cfg.sinks.place("land"))
     assert landed.select("_metadata.file_path").distinct().count() > 3
     assert landed.count() == events.count()
+
+
+def test_events_are_never_broadcast_to_pairs(spark):
+    pairs = spark.createDataFrame([("X", "a", "b", 7, None)], sinks.PAIRS_SCHEMA)
+    events = spark.createDataFrame([("a", 5, "first")], "event_id string, ts_ms bigint, summary string")
+    df = views.resolve_pairs(pairs, events)
+    assert [tuple(r) for r in df.select("a", "b", "gap_ms").collect()] == [("first", "b", None)]
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
