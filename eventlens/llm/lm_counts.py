@@ -16,6 +16,9 @@ The counts are a distributed table and never a model that one task or the driver
 3. a block meets its answers, which follow the order of its own sorted hashes, and scores its
    documents.
 
+All of this is one plan: the texts are shuffled to their blocks once and the requests to their buckets once,
+and whatever reads them again reuses the exchange.
+
 So a frequent pair is sent once per block, no bucket depends on how often its words occur, and what is
 gathered grows with the corpus. Hashes have ``SPARE_BITS`` more bits than it takes to number the
 corpus's bytes: at any size about one n-gram in a million shares its count with another one.
@@ -37,7 +40,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.llm import words as W
-from eventlens.llm.common import materialize
 
 INTERPOLATION = 0.6
 ADDED = 0.1
@@ -49,8 +51,8 @@ MAX_BROADCAST_IDS = 1_000_000
 SCORES = "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double"
 REQUESTS = ("bucket bigint, block bigint, n bigint, keys binary, target binary, background binary, "
             "target_tokens bigint, background_tokens bigint")
-REPLIES = ("block bigint, bucket bigint, n bigint, target binary, background binary, words bigint, "
-           "target_tokens bigint, background_tokens bigint")
+REPLIES = "block bigint, bucket bigint, n bigint, target binary, background binary"
+TOTALS = "words bigint, target_tokens bigint, background_tokens bigint"
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -168,39 +170,46 @@ def _reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = np.concatenate([unpack(c, n) for c, n in zip(rows[side].to_pylist(), sizes, strict=True)])
             # Exact: counts are far below 2**53.
             totals.append(np.bincount(place, own.astype(np.float64), len(keys)).astype(np.uint64)[place])
-        words = int((keys & np.uint64(1) == 0).sum())
         out, at = [], 0
-        for block, n, tt, bt in zip(*(rows[c].to_pylist() for c in (
-                "block", "n", "target_tokens", "background_tokens")), strict=True):
-            out.append((block, bucket, n, *(pack(t[at:at + n]) for t in totals), words if at == 0 else 0, tt, bt))
+        for block, n in zip(rows["block"].to_pylist(), sizes, strict=True):
+            out.append((block, bucket, n, *(pack(t[at:at + n]) for t in totals)))
             at += n
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)
 
 
-def _score(bits: int, totals: tuple[int, int], vocabulary: int, interpolation: float, added: float):
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of each bucket, and the tokens of the blocks whose first request it has."""
+    names = [f.split()[0] for f in TOTALS.split(", ")]
+    for _, rows in _blocks(batches):
+        parts = (unpack_sorted(k, n) for k, n in zip(rows["keys"].to_pylist(), rows["n"].to_pylist(), strict=True))
+        words = len(np.unique(np.concatenate([p[p & np.uint64(1) == 0] for p in parts])))
+        tokens = [sum(rows[c].to_pylist()) for c in names[1:]]
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (words, *tokens)], names)
+
+
+def _score(bits: int, interpolation: float, added: float):
     names = [f.split()[0] for f in SCORES.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _blocks(batches):
-            is_doc = rows["bucket"].is_null().to_numpy()
-            replies, docs = rows.filter(pa.array(~is_doc)), rows.filter(pa.array(is_doc))
-            texts = docs["text"].combine_chunks()
-            grams = Grams(texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts, bits)
-            n = np.bincount(grams.text, minlength=docs.num_rows)
-            means = []
-            for side, total in zip(("target", "background"), totals, strict=True):
-                parts = [unpack(c, k) for c, k in zip(replies[side].to_pylist(), replies["n"].to_pylist(), strict=True)]
-                counts = np.concatenate([np.zeros(0, np.uint64), *parts])
-                if len(counts) != len(grams.keys):
-                    raise RuntimeError("a block has other rows than when it was counted")
-                scale = totals[0] / total if total and totals[0] else 1.0
-                losses = grams.losses(counts, total, scale, vocabulary, interpolation, added)
-                means.append(np.bincount(grams.text, losses, docs.num_rows) / np.maximum(n, 1))
-            columns = [docs["doc_id"].combine_chunks(), pa.array(n, pa.int64())]
-            columns += [pa.array(x, pa.float64(), mask=n == 0) for x in (*means, means[0] - means[1])]
-            if docs.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns], names)
+    def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
+        texts = docs["text"].combine_chunks()
+        grams = Grams(texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts, bits)
+        n = np.bincount(grams.text, minlength=docs.num_rows)
+        replies = replies.sort_by("bucket")
+        # A block without replies has no tokens. The start is counted like a word, so it is taken off.
+        words, *totals = (replies[c][0].as_py() if replies.num_rows else 0 for c in (
+            f.split()[0] for f in TOTALS.split(", ")))
+        means = []
+        for side, total in zip(("target", "background"), totals, strict=True):
+            parts = [unpack(c, k) for c, k in zip(replies[side].to_pylist(), replies["n"].to_pylist(), strict=True)]
+            counts = np.concatenate([np.zeros(0, np.uint64), *parts])
+            if len(counts) != len(grams.keys):
+                raise RuntimeError("a block has other rows than when it was counted")
+            scale = totals[0] / total if total and totals[0] else 1.0
+            losses = grams.losses(counts, total, scale, max(0, words - 1), interpolation, added)
+            means.append(np.bincount(grams.text, losses, docs.num_rows) / np.maximum(n, 1))
+        columns = [docs["doc_id"], pa.array(n, pa.int64())]
+        columns += [pa.array(x, pa.float64(), mask=n == 0) for x in (*means, means[0] - means[1])]
+        return pa.table(columns, names)
 
     return run
 
@@ -227,15 +236,12 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, *, interpolatio
     bits = min(MAX_BITS, SPARE_BITS + max(1, size).bit_length())
     bucket_bits = min(max(0, (size // bucket_bytes).bit_length()), bits - 2)
     rows = with_target(docs, labels).select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // block_bytes + 1)).alias("block"), "doc_id", "text", "target")
-    requests = rows.repartition("block").sortWithinPartitions("block").mapInArrow(_request(bits, bucket_bits), REQUESTS)
-    replies = materialize(requests.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_reply, REPLIES))
-    known = replies.agg(F.sum("words"), F.sum("target_tokens"), F.sum("background_tokens")).first()
-    vocabulary, *totals = (x or 0 for x in known)
-    none = F.lit(None)
-    both = rows.select("block", none.cast("bigint").alias("bucket"), "doc_id", "text", none.cast("bigint").alias("n"),
-                       none.cast("binary").alias("target"), none.cast("binary").alias("background")).union(
-        replies.select("block", "bucket", none.cast("bigint"), none.cast("string"), "n", "target", "background"))
-    # The start is counted like a word, so it is taken off the vocabulary.
-    return (both.repartition("block").sortWithinPartitions("block", F.col("bucket").asc_nulls_last())
-            .mapInArrow(_score(bits, tuple(totals), max(0, vocabulary - 1), interpolation, added), SCORES))
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // block_bytes + 1)).alias("block"), "doc_id", "text", "target",
+    ).repartition("block")
+    requests = (rows.sortWithinPartitions("block").mapInArrow(_request(bits, bucket_bits), REQUESTS)
+                .repartition("bucket").sortWithinPartitions("bucket"))
+    totals = requests.mapInArrow(_totals, TOTALS).agg(*(
+        F.sum(c).alias(c) for c in (f.split()[0] for f in TOTALS.split(", "))))
+    replies = requests.mapInArrow(_reply, REPLIES).crossJoin(F.broadcast(totals))
+    return rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+        _score(bits, interpolation, added), SCORES)

@@ -92,3 +92,16 @@ def test_what_is_gathered_grows_with_the_corpus(spark, docs, words):
         return sum(r.n for r in rows.mapInArrow(L._request(50, 2), L.REQUESTS).select("n").collect())
 
     assert sent(200) > 3.5 * sent(50)
+
+
+def test_texts_and_requests_are_shuffled_once_in_one_plan(spark, docs, words):
+    frame = docs(*[(i, " ".join(words(i, 60))) for i in range(30)])
+    scores = L.cross_entropy_difference(frame, spark.createDataFrame([(1, 1, 0)], LABELS))
+    assert len(scores.collect()) == 30
+    plan = scores._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    for key, columns in (("block", ("doc_id", "text", "target")), ("bucket", ("block", "keys"))):
+        own = [x for x in plan if f" Exchange hashpartitioning({key}#" in x and "ReusedExchange" not in x]
+        again = [x for x in plan if "ReusedExchange" in x and all(f"{c}#" in x for c in columns)]
+        assert len(again) == 1, key
+        # The replies go to their blocks too.
+        assert len(own) == (2 if key == "block" else 1), key
