@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 
 MAX_FILE_BYTES = 64 << 20
-CACHED_PIECES = 1 << 19
+CACHED_PIECES = 1 << 16
 CACHED_CHARS = 48
 WINDOW = 1 << 14
 SHORT = 64
@@ -191,16 +191,21 @@ class Decoder:
 
 
 class _Pieces(dict):
-    """For a piece of text: its ids as text, how many they are, their bytes."""
+    """For a piece of text: its ids as text, how many they are, their bytes.
+
+    Two generations of ``CACHED_PIECES``: when the newer one is full the older one goes, and what is asked
+    for again moves to the newer one, so common pieces stay.
+    """
 
     def __init__(self, merges: Merges):
         super().__init__()
-        self.merges = merges
+        self.merges, self.older = merges, {}
 
     def __missing__(self, piece: str) -> tuple[str, int, bytes]:
-        found = shown(self.merges, self.merges.merge(piece.encode()))
+        found = self.older.get(piece) or shown(self.merges, self.merges.merge(piece.encode()))
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = found
         return found

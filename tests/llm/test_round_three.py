@@ -388,6 +388,36 @@ def test_windows_change_no_token(monkeypatch, window):
         assert ours.round_trip(text) == (len(ids), sha(",".join(map(str, ids))), sha(decoded))
 
 
+def test_remembered_pieces_stay_few_megabytes():
+    import tracemalloc
+
+    from eventlens.llm import bpe
+    from eventlens.llm import queries as Q
+    with open(Q.tokenizer_path(), encoding="utf-8") as file:
+        ours = bpe.Tokenizer(bpe.Merges.from_json(file.read()))
+    texts = [" ".join(f"w{k}x" for k in range(low, low + 1000)) for low in range(0, 250_000, 1000)]
+    tracemalloc.start()
+    for text in texts:
+        ours.round_trip(text)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 48 << 20
+
+
+def test_common_pieces_outlast_rare_ones(monkeypatch):
+    from eventlens.llm import bpe
+    from eventlens.llm import queries as Q
+    with open(Q.tokenizer_path(), encoding="utf-8") as file:
+        ours = bpe.Tokenizer(bpe.Merges.from_json(file.read()))
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 50)
+    merged, merge = [], ours.merges.merge
+    monkeypatch.setattr(ours.merges, "merge", lambda data: merged.append(data) or merge(data))
+    for k in range(400):
+        ours.round_trip(f" common r{k}")
+        assert len(ours.pieces) + len(ours.pieces.older) <= 100
+    assert merged.count(b" common") == 1
+
+
 # ---- shards ----------------------------------------------------------------------------
 
 def test_rows_of_one_key_are_dealt_to_many_cells(docs):
